@@ -71,6 +71,11 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
     return F.round(part.cast("double") * 100.0 / F.nullif(whole, F.lit(0)).cast("double"), digits)
 
 
+def mean(value: str | Column) -> Column:
+    """Average as a double, from the exact sum; a decimal average would round to a few digits."""
+    return F.sum(as_col(value)).cast("double") / F.nullif(F.count(as_col(value)), F.lit(0)).cast("double")
+
+
 def lookback(df: DataFrame, column: str, as_of, *, days: int = 0, hours: int = 0, kind: str = "timestamp") -> DataFrame:
     """Rows whose time is at or after `as_of` minus the given span.
 

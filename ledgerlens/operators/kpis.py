@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.functions.scalars import instant, lookback, percent, severity_range_label, time_key
+from ledgerlens.functions.scalars import instant, lookback, mean, percent, severity_range_label, time_key
 
 
 def status_filter(alerts: DataFrame, statuses: tuple[str, ...] = ("open",)) -> DataFrame:
@@ -29,7 +29,7 @@ def headline_kpis(mart: DataFrame, as_of, days: int = 30) -> DataFrame:
 def kpis_from_fact(facts: DataFrame, as_of, days: int = 30) -> DataFrame:
     flagged = F.count_if("is_flagged_fraud")
     return lookback(facts, "time_sk", as_of, days=days, kind="key").agg(
-        F.sum(_done_amount()).alias("tpv"), F.count("*").alias("total_txns"), F.avg(_done_amount()).alias("avg_txn_value"),
+        F.sum(_done_amount()).alias("tpv"), F.count("*").alias("total_txns"), mean(_done_amount()).alias("avg_txn_value"),
         percent(flagged, F.count("*"), 4).alias("fraud_rate_pct"))
 
 
@@ -70,12 +70,12 @@ def alert_kpis(alerts: DataFrame, as_of, days: int = 7, statuses: tuple[str, ...
     rows = status_filter(lookback(alerts, "alert_timestamp", as_of, days=days), statuses)
     return rows.agg(
         F.count("*").alias("total_alerts"), F.count_if(F.col("status") == "open").alias("open_alerts"),
-        F.round(F.avg("severity_score"), 3).alias("avg_severity"), F.count_distinct("transaction_id").alias("unique_txns"))
+        F.round(mean("severity_score"), 3).alias("avg_severity"), F.count_distinct("transaction_id").alias("unique_txns"))
 
 
 def alerts_by_rule(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:
     return (lookback(alerts, "alert_timestamp", as_of, days=days).groupBy("reason_code")
-            .agg(F.count("*").alias("count"), F.avg("severity_score").alias("avg_severity")).orderBy(F.col("count").desc(), "reason_code"))
+            .agg(F.count("*").alias("count"), mean("severity_score").alias("avg_severity")).orderBy(F.col("count").desc(), "reason_code"))
 
 
 def alert_timeline(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:

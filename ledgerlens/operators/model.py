@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlens import schemas as S
-from ledgerlens.functions.scalars import (as_col, day_literal, instant, percent, severity_bucket, surrogate_key, time_key)
+from ledgerlens.functions.scalars import (as_col, day_literal, instant, mean, percent, severity_bucket, surrogate_key, time_key)
 from ledgerlens.operators.skew import HEAVY_ROWS, count_per_key, heavy_keys, salted_join
 from ledgerlens.operators.windows import distinct_on, rolling_over_days
 
@@ -267,7 +267,7 @@ def daily_kpis(dated: DataFrame, day: str = "date") -> DataFrame:
         F.count("transaction_id").alias("total_transactions"),
         F.count_if(done & F.col("transaction_id").isNotNull()).alias("completed_transactions"),
         F.sum(F.when(done, F.col("amount"))).alias("daily_tpv"),
-        F.avg(F.when(done, F.col("amount"))).alias("avg_txn_value"),
+        mean(F.when(done, F.col("amount"))).alias("avg_txn_value"),
         flagged.alias("fraud_alerts"),
         percent(flagged, F.count("*"), 4).alias("fraud_rate_pct"))
 
@@ -288,7 +288,7 @@ def mart_executive_kpis(facts: DataFrame, days: DataFrame, calendar_days: bool =
 def fraud_summary(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy(
         F.to_date("alert_timestamp").alias("alert_date"), "reason_code", severity_bucket().alias("severity_bucket"), "status"
-    ).agg(F.count("*").alias("alert_count"), F.avg("severity_score").alias("avg_severity"),
+    ).agg(F.count("*").alias("alert_count"), mean("severity_score").alias("avg_severity"),
           F.max("severity_score").alias("max_severity"), F.count_distinct("transaction_id").alias("unique_transactions"))
 
 

@@ -16,11 +16,20 @@ ALERT_STATUSES = ["open", "investigating", "closed_false_positive", "confirmed_f
 REASON_CODES = ["VELOCITY_ATTACK", "HIGH_AMOUNT", "GEO_IMPOSSIBLE", "ML_ANOMALY"]
 
 
+_TYPES = {
+    "string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
+    "decimal(18,2)": AMOUNT, "decimal(9,6)": COORDINATE, "decimal(5,4)": SCORE,
+}
+
+
 def _struct(spec: str, required: str = "") -> T.StructType:
-    """A StructType from DDL; columns named in `required` are not nullable."""
+    """A StructType from "name type, ..."; columns named in `required` are not nullable.
+
+    Built without `fromDDL`, which needs a running session at import time.
+    """
     needed = set(required.split())
-    parsed = T.StructType.fromDDL(spec)
-    return T.StructType([T.StructField(f.name, f.dataType, f.name not in needed) for f in parsed])
+    pairs = [item.split() for item in spec.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind], name not in needed) for name, kind in pairs])
 
 
 # Coordinates are parsed as decimals: a float would lose digits of 139.6503.

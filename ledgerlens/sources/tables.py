@@ -76,3 +76,22 @@ def raw_json(rows: DataFrame) -> DataFrame:
     text = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) if c in ("transaction_id", "user_id", "merchant_id", "timestamp")
                                 else F.col(c) for c in names]))
     return rows.select(text.alias("value"), "transaction_id", "timestamp")
+
+
+def land_transactions(rows: DataFrame, root: str, hours_per_folder: int = 6) -> None:
+    """Write transactions as JSON lines into landing folders yyyy/mm/dd/HH."""
+    spark = rows.sparkSession
+    hour = (F.floor(F.hour("timestamp") / hours_per_folder) * hours_per_folder).cast("int")
+    slot = F.concat_ws("-", F.date_format("timestamp", "yyyy-MM-dd"), F.lpad(hour.cast("string"), 2, "0"))
+    lines = raw_json(rows).select("value", slot.alias("slot"), F.pmod("transaction_id", F.lit(4)).alias("_part"))
+    staging = f"{root}/landing"
+    lines.repartition("slot", "_part").drop("_part").write.partitionBy("slot").text(staging)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(staging).getFileSystem(conf)
+    for entry in fs.listStatus(path(staging)):
+        name = entry.getPath().getName()
+        if name.startswith("slot="):
+            folder = path(f"{root}/raw/transactions/{name[5:].replace('-', '/')}")
+            fs.mkdirs(folder.getParent())
+            fs.rename(entry.getPath(), folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions.scalars import (as_col, day_literal, instant, mean, percent, severity_bucket, surrogate_key, time_key)
@@ -59,6 +59,14 @@ def stage_users(silver: DataFrame, as_of=None, order: list[Column] | None = None
     return _loaded(distinct_on(silver.select(*used), ["user_id"], newest).select("user_id", "country_code", *optional), as_of)
 
 
+def stage_users_by_day(silver: DataFrame) -> DataFrame:
+    """One row per user and day, from the user's newest transaction of the day."""
+    order = [F.col("timestamp").desc_nulls_last(), F.col("transaction_id").desc_nulls_last()]
+    optional = [F.col(c) if c in silver.columns else F.lit(None).cast("string").alias(c) for c in ("email_hash", "risk_tier")]
+    one = distinct_on(silver, ["user_id", "partition_date"], order)
+    return one.select("partition_date", "user_id", "country_code", *optional)
+
+
 def stage_merchants(silver: DataFrame, as_of=None) -> DataFrame:
     return _loaded(distinct_rows(silver, ["merchant_id", "mcc_code", "country_code"]), as_of)
 
@@ -141,10 +149,37 @@ def _history_field(column: str, key: str, tracked, since: Column) -> Column:
     return value[column].alias(column)
 
 
-def profile_for_history(staged: DataFrame) -> DataFrame:
+def scd2_from_days(history: DataFrame, daily: DataFrame, key: str = "user_id",
+                   tracked: tuple[str, ...] = ("email_hash", "risk_tier", "country_code"), day: str = "partition_date") -> DataFrame:
+    """The history after many days at once: what applying `scd2_snapshot` day by day
+    (without hard deletes) gives, in one window per key instead of a rewrite per day.
+    Days up to the start of a key's open version are already in the history and are
+    left out, so applying the same days again changes nothing.
+
+    `daily` holds at most one row per key and day, so a window group has at most one
+    row per day and the open row.
+    """
+    is_open = F.col("valid_to").isNull()
+    since = F.col(day).cast("timestamp")
+    steps = daily.select(key, *tracked, since.alias("updated_at"), since.alias("valid_from"), F.lit(False).alias("_old"),
+                         F.lit(None).cast("string").alias("scd_id"))
+    start = history.where(is_open).select(key, *tracked, "updated_at", "valid_from", F.lit(True).alias("_old"), "scd_id")
+    order = Window.partitionBy(key).orderBy(F.col("_old").desc(), "valid_from")
+    before = F.lag(F.struct(*tracked)).over(order)
+    known_until = F.max(F.when(F.col("_old"), F.col("valid_from"))).over(Window.partitionBy(key))
+    fresh = F.col("_old") | F.col("_known").isNull() | (F.col("valid_from") > F.col("_known"))
+    rows = start.unionByName(steps).withColumn("_known", known_until).where(fresh).withColumn("_before", before)
+    opens = rows.where(F.col("_old") | F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct(*tracked)))
+    versions = opens.withColumns({
+        "valid_to": F.lead("valid_from").over(order),
+        "scd_id": F.coalesce("scd_id", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("valid_from").cast("string"))))})
+    return history.where(~is_open).unionByName(versions.select(*history.columns))
+
+
+def profile_for_history(staged: DataFrame, *extra: str) -> DataFrame:
     """Staged users as history input: a missing hash is derived, a missing tier is low."""
     return staged.select(
-        "user_id", F.coalesce("email_hash", F.md5(F.col("user_id").cast("string"))).alias("email_hash"),
+        *extra, "user_id", F.coalesce("email_hash", F.md5(F.col("user_id").cast("string"))).alias("email_hash"),
         F.coalesce("risk_tier", F.lit("low")).alias("risk_tier"), "country_code")
 
 

@@ -30,18 +30,28 @@ def _as_list(date: str | list[str]) -> str | list[str]:
     return date if date == "all" or isinstance(date, list) else [date]
 
 
-def run_bronze_ingest(spark: SparkSession, root: str, date: str, hours: int | str | list, *, as_of=None) -> dict:
-    """Land one or more hours of raw lines in bronze."""
+def _many(date: str | list[str]) -> bool:
+    return date == "all" or isinstance(date, list) and len(date) > 1
+
+
+def run_bronze_ingest(spark: SparkSession, root: str, date: str | list[str], hours: int | str | list | None = None, *, as_of=None,
+                      raw_root: str | None = None) -> dict:
+    """Land one or more hours of raw lines in bronze; without `hours`, whole days.
+
+    Several dates go through one read; each line's day is then that of its folder.
+    """
     started, batch_id, lake = time.monotonic(), str(uuid.uuid4()), Lake(root)
-    hours = hours if isinstance(hours, list) else [hours]
-    paths = [scans.landing_path(root, date, h) for h in hours]
-    empty = S.BRONZE.fieldNames()[:1] + ["source_file"]
-    raw = scans.scan_or_empty(spark, lambda: scans.scan_raw_jsonl(spark, paths), S._struct(", ".join(f"{c} string" for c in empty)))
+    dates = date if isinstance(date, list) else [date]
+    wanted = None if hours is None else hours if isinstance(hours, list) else [hours]
+    paths = [p for d in dates for p in scans.landed_folders(spark, raw_root or root, d, wanted)]
+    raw = scans.scan_raw_jsonl(spark, paths) if paths else spark.createDataFrame([], "raw_data string, source_file string")
     seen = Observation()
     counted = raw.observe(seen, F.count("*").alias("lines"))
     lines = cleanse.drop_blank_lines(counted)
-    bronze = cleanse.bronze_metadata(lines, as_of=as_of or _now(), partition_date=date, batch_id=batch_id)
-    rows = sinks.write_bronze(bronze, lake.bronze)
+    bronze = cleanse.bronze_metadata(lines, as_of=as_of or _now(), partition_date=dates[0], batch_id=batch_id)
+    if len(dates) > 1:
+        bronze = bronze.withColumn("partition_date", scans.landing_day("source_file"))
+    rows = sinks.write_bronze(bronze, lake.bronze, many_days=len(dates) > 1)
     return _finish(spark, lake, "bronze_ingest", batch_id, started, input_rows=seen.get["lines"], output_rows=rows,
                    blank_lines=seen.get["lines"] - rows, date=date)
 
@@ -58,13 +68,12 @@ def run_silver_cleanse(spark: SparkSession, root: str, date: str | list[str], *,
     Input, valid and output rows are counted while the one write runs.
     """
     started, lake, as_of = time.monotonic(), Lake(root), as_of or _now()
-    bronze = scans.scan_or_empty(
-        spark, lambda: scans.scan_layer(spark, lake.bronze, _as_list(date), S.BRONZE), S.BRONZE)
+    bronze = scans.scan_layer(spark, lake.bronze, _as_list(date), S.BRONZE)
     seen, kept = Observation(), Observation()
     typed = cleanse_bronze(bronze.observe(seen, F.count("*").alias("rows")), as_of)
     valid = cleanse.validate_rows(typed, as_of).observe(kept, F.count("*").alias("rows"))
     unique = cleanse.dedup_latest(valid)
-    rows = sinks.write_silver(cleanse.enforce_schema(unique, S.SILVER), lake.silver)
+    rows = sinks.write_silver(cleanse.enforce_schema(unique, S.SILVER), lake.silver, many_days=_many(date))
     read, ok = seen.get["rows"], kept.get["rows"]
     return _finish(spark, lake, "silver_cleanse", f"silver-{date}", started, input_rows=read, output_rows=rows,
                    rejected_rows=read - rows, invalid_rows=read - ok, duplicate_rows=ok - rows,
@@ -72,7 +81,7 @@ def run_silver_cleanse(spark: SparkSession, root: str, date: str | list[str], *,
 
 
 def _silver(spark: SparkSession, lake: Lake, date) -> DataFrame:
-    return scans.scan_or_empty(spark, lambda: scans.scan_layer(spark, lake.silver, _as_list(date), S.SILVER), S.SILVER)
+    return scans.scan_layer(spark, lake.silver, _as_list(date), S.SILVER)
 
 
 def run_quality_gate(spark: SparkSession, root: str, date: str | list[str]) -> dict:
@@ -83,7 +92,7 @@ def run_quality_gate(spark: SparkSession, root: str, date: str | list[str]) -> d
 
 
 def _merge_small(spark: SparkSession, path: str, batch: DataFrame, key: str) -> int:
-    if sinks.table_exists(spark, path):
+    if scans.path_exists(spark, path):
         batch = model.incremental_upsert(spark.read.parquet(path), batch, key)
     return sinks.rewrite_table(batch, path)
 
@@ -108,9 +117,14 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
         raise quality.QualityGateError("staging", [f"{r['table_name']}.{r['check']}" for r in problems])
 
     history_path = lake.gold("users_history")
-    history = scans.scan_or_empty(spark, lambda: spark.read.schema(S.USER_HISTORY).parquet(history_path), S.USER_HISTORY)
-    profile = model.profile_for_history(users if users is not None else model.stg_users(tables["users"]))
-    sinks.rewrite_table(model.scd2_snapshot(history, profile, as_of=as_of, hard_deletes=users is not None), history_path)
+    history = scans.scan_or_empty(spark, history_path, S.USER_HISTORY)
+    if users is None and _many(date):
+        by_day = model.profile_for_history(model.stage_users_by_day(silver), "partition_date")
+        updated = model.scd2_from_days(history, by_day)
+    else:
+        profile = model.profile_for_history(users if users is not None else tables["users"])
+        updated = model.scd2_snapshot(history, profile, as_of=as_of, hard_deletes=users is not None)
+    sinks.rewrite_table(updated, history_path)
     sinks.rewrite_table(model.dim_users(spark.read.parquet(history_path)), lake.gold("dim_users"))
     _merge_small(spark, lake.gold("dim_merchants"),
                  model.dim_merchants(model.stg_merchants(tables["merchants"]), as_of, merchants), "merchant_id")
@@ -132,7 +146,7 @@ def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str],
     """
     started, lake, as_of = time.monotonic(), Lake(root), as_of or _now()
     silver = _silver(spark, lake, date)
-    many = isinstance(date, list) and len(date) > 1 or date == "all"
+    many = _many(date)
     keyed = silver.withColumn("user_id", F.concat_ws("|", F.col("partition_date").cast("string"), "user_id")) if many else silver
     history = None
     if history_dates:
@@ -147,35 +161,37 @@ def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str],
 
 
 def alerts_log(spark: SparkSession, lake: Lake) -> DataFrame:
-    return scans.scan_or_empty(spark, lambda: spark.read.schema(S.ALERTS).parquet(lake.gold("alerts_log")), S.ALERTS)
+    return scans.scan_or_empty(spark, lake.gold("alerts_log"), S.ALERTS)
 
 
 def run_flag_update(spark: SparkSession, root: str, date: str | list[str]) -> dict:
     """Flag the facts of a day that have open alerts; only that day's partitions are rewritten."""
     lake = Lake(root)
     path = lake.gold("fact_transactions")
+    if date == "all":
+        raise ValueError("name the days to flag")
     days = [date] if isinstance(date, str) else date
     keys = [int(d.replace("-", "")) for d in days]
     facts = spark.read.parquet(path).where(F.col("time_sk").isin(keys))
     alerts = alerts_log(spark, lake).where(F.col("alert_date").isin([dt.date.fromisoformat(d) for d in days]))
     flagged = materialize_scratch(model.apply_fraud_flags(facts, alerts), "flags")
-    rows = sinks.replace_partitions(flagged, path, "time_sk")
+    rows = sinks.replace_partitions(flagged, path, "time_sk", many=len(days) > 1)
     return {"facts": rows}
 
 
-def run_ml_scoring(spark: SparkSession, root: str, date: str, *, train: bool = False, as_of=None, threshold: float = 0.7,
+def run_ml_scoring(spark: SparkSession, root: str, date: str | list[str], *, train: bool = False, as_of=None, threshold: float = 0.7,
                    **forest_options) -> dict:
     """Score a day with the stored forest, training one first if asked or absent."""
     started, lake, as_of = time.monotonic(), Lake(root), as_of or _now()
-    rows = scans.scan_features(_silver(spark, lake, date))
+    rows = _silver(spark, lake, date).select("transaction_id", "user_id", *S.FEATURE_COLUMNS, "partition_date")
     if rows.isEmpty():
         return _finish(spark, lake, "ml_scoring", f"ml-{date}", started, ml_alerts=0)
-    if train or not sinks.table_exists(spark, f"{lake.model}/trees"):
+    if train or not scans.path_exists(spark, f"{lake.model}/trees"):
         sinks.save_model(forest.train_isolation_forest(rows, **forest_options), forest.fit_scaler(rows), lake.model)
     trees, _ = sinks.load_model(spark, lake.model)
     scored = forest.score_isolation_forest(rows, trees)
-    found = forest.ml_alerts(scored, alerts_log(spark, lake), threshold)
-    shaped = rules.alert_envelope(found, alert_time=instant(as_of), alert_day=F.lit(date).cast("date"), ml=True)
+    found = forest.ml_alerts(scored, alerts_log(spark, lake), threshold, extra=("partition_date",))
+    shaped = rules.alert_envelope(found, alert_time=instant(as_of), alert_day=F.col("partition_date"), ml=True)
     counts = sinks.append_alerts(shaped, lake.gold("alerts_log"), one_per_transaction=True)
     return _finish(spark, lake, "ml_scoring", f"ml-{date}", started, ml_alerts=counts["ML_ANOMALY"])
 
@@ -203,12 +219,20 @@ def run_gold_tests(spark: SparkSession, root: str) -> dict:
     return {"evaluated": evaluated + 2}
 
 
-def run_daily(spark: SparkSession, root: str, date: str, hours: list | None = None, *, as_of=None, ml: bool = False,
-              users: DataFrame | None = None, merchants: DataFrame | None = None, **thresholds) -> dict:
-    """A whole day in order: the gate stands before modelling, flags before marts."""
+def run_all_layers(spark: SparkSession, root: str, date: str | list[str], hours: list | None = None, *, as_of=None, ml: bool = False,
+                   users: DataFrame | None = None, merchants: DataFrame | None = None, raw_root: str | None = None, **thresholds) -> dict:
+    """A day in order: the gate stands before modelling, flags before marts.
+
+    With several dates every layer makes one read and one write for all of them.
+    """
     as_of = as_of or _now()
-    out = {"bronze": run_bronze_ingest(spark, root, date, hours if hours is not None else list(range(24)), as_of=as_of)}
-    out["silver"] = run_silver_cleanse(spark, root, date, as_of=as_of)
+    out = {"bronze": run_bronze_ingest(spark, root, date, hours, as_of=as_of, raw_root=raw_root)}
+    out.update(_after_bronze(spark, root, date, as_of, ml, users, merchants, thresholds))
+    return out
+
+
+def _after_bronze(spark, root, date, as_of, ml, users, merchants, thresholds) -> dict:
+    out = {"silver": run_silver_cleanse(spark, root, date, as_of=as_of)}
     out["gate"] = run_quality_gate(spark, root, date)
     out["gold"] = run_gold_modeling(spark, root, date, as_of=as_of, users=users, merchants=merchants)
     out["rules"] = run_anomaly_detection(spark, root, date, as_of=as_of, **thresholds)
@@ -220,14 +244,6 @@ def run_daily(spark: SparkSession, root: str, date: str, hours: list | None = No
     return out
 
 
-def backfill(spark: SparkSession, root: str, dates: list[str], *, as_of=None, **thresholds) -> dict:
-    """Many bronze days at once: one read and one write per layer instead of a run per day."""
-    as_of = as_of or _now()
-    out = {"silver": run_silver_cleanse(spark, root, dates, as_of=as_of)}
-    out["gate"] = run_quality_gate(spark, root, dates)
-    out["gold"] = run_gold_modeling(spark, root, dates, as_of=as_of)
-    out["rules"] = run_anomaly_detection(spark, root, dates, as_of=as_of, **thresholds)
-    out["flags"] = run_flag_update(spark, root, dates)
-    out["marts"] = run_marts(spark, root)
-    out["tests"] = run_gold_tests(spark, root)
-    return out
+def backfill(spark: SparkSession, root: str, dates: list[str], *, as_of=None, ml: bool = False, **thresholds) -> dict:
+    """Rebuild everything behind bronze for many days, in one pass per layer."""
+    return _after_bronze(spark, root, sorted(dates), as_of or _now(), ml, None, None, thresholds)

@@ -51,6 +51,48 @@ def query(name: str, sql: str | None = None):
 
 # ---------------------------------------------------------------- views in SQL
 
+def rule_views(source: str, group: str, suffix: str = "") -> dict[str, str]:
+    """The three rules over a view, users being told apart by the `group` columns."""
+    views = {
+        "rolled": """
+  SELECT *, count(*) OVER (PARTITION BY GROUP_KEYS ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS n FROM {SOURCE}""",
+        # The average is kept to six digits, half up, with whole-number arithmetic.
+        "baseline": """
+  SELECT GROUP_KEYS, count(*) AS n, CAST((CAST(sum(amount) * 100 AS BIGINT) * 20000 + count(*)) // (2 * count(*)) AS BIGINT) AS avg6,
+    stddev_samp(CAST(amount AS DOUBLE)) AS stddev_amount
+  FROM {SOURCE} WHERE event_ts >= TIMESTAMP '2024-01-01' GROUP BY GROUP_KEYS""",
+        "hops": """
+  SELECT *, lag(event_ts) OVER w AS prev_ts, lag(sec) OVER w AS prev_sec, lag(latitude) OVER w AS prev_lat,
+    lag(longitude) OVER w AS prev_lon, lag(country_code) OVER w AS prev_country
+  FROM {SOURCE} WINDOW w AS (PARTITION BY GROUP_KEYS ORDER BY event_ts, transaction_id)""",
+        "speeds": """
+  SELECT *, km / CASE WHEN hours > 0 THEN hours ELSE 0.001 END AS kmh FROM (
+    SELECT *, (sec - prev_sec) / 3600.0::DOUBLE AS hours,
+      12742.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin((radians(CAST(latitude AS DOUBLE)) - radians(CAST(prev_lat AS DOUBLE))) / 2), 2)
+        + cos(radians(CAST(prev_lat AS DOUBLE))) * cos(radians(CAST(latitude AS DOUBLE)))
+        * pow(sin((radians(CAST(longitude AS DOUBLE)) - radians(CAST(prev_lon AS DOUBLE))) / 2), 2)))) AS km
+    FROM {hops} WHERE prev_lat IS NOT NULL AND country_code <> prev_country)""",
+        "velocity": """
+  SELECT transaction_id, event_ts, 'VELOCITY_ATTACK' AS reason_code, n / 6.0::DOUBLE AS raw_severity,
+    'User had ' || n || ' transactions in 3600 seconds' AS description FROM {rolled} WHERE n >= 3""",
+        "high_amount": """
+  SELECT transaction_id, event_ts, 'HIGH_AMOUNT' AS reason_code,
+    ((CAST(amount * 100 AS BIGINT) * 10000 - avg6) / 1000000.0::DOUBLE) / ((avg6 / 1000000.0::DOUBLE) * 5.0::DOUBLE) AS raw_severity,
+    'Amount $' || amount || ' vs user avg $' || CAST(((avg6 + 5000) // 10000) / 100.0 AS DECIMAL(18,2)) AS description
+  FROM {SOURCE} JOIN {baseline} USING (GROUP_KEYS) WHERE avg6 > 0 AND CAST(amount AS DOUBLE) > (avg6 / 1000000.0::DOUBLE) * 5.0::DOUBLE""",
+        "geo": """
+  SELECT transaction_id, event_ts, 'GEO_IMPOSSIBLE' AS reason_code, kmh / 2000.0::DOUBLE AS raw_severity, '' AS description
+  FROM {speeds} WHERE kmh > 800""",
+    }
+
+    def adapt(text: str) -> str:
+        text = text.replace("{SOURCE}", f"{{{source}}}").replace("GROUP_KEYS", group)
+        for name in views:
+            text = text.replace(f"{{{name}}}", f"{{{name}{suffix}}}")
+        return text
+    return {f"{name}{suffix}": adapt(text) for name, text in views.items()}
+
+
 VIEWS = {
     "t": """
   SELECT event_id AS transaction_id, user_id, CAST(k AS BIGINT) AS merchant_id, CAST(value AS DECIMAL(18,2)) AS amount,
@@ -82,35 +124,10 @@ VIEWS = {
     CASE WHEN c_acctbal < 0 THEN 'high' WHEN c_acctbal < 3000 THEN 'medium' ELSE 'low' END AS risk_tier,
     CAST(c_nationkey AS VARCHAR) AS country_code
   FROM customer""",
-    "rolled": """
-  SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS n FROM {t}""",
-    # The average is kept to six digits, half up, with whole-number arithmetic.
-    "baseline": """
-  SELECT user_id, count(*) AS n, CAST((CAST(sum(amount) * 100 AS BIGINT) * 20000 + count(*)) // (2 * count(*)) AS BIGINT) AS avg6,
-    stddev_samp(CAST(amount AS DOUBLE)) AS stddev_amount
-  FROM {t} WHERE event_ts >= TIMESTAMP '2024-01-01' GROUP BY user_id""",
-    "hops": """
-  SELECT *, lag(event_ts) OVER w AS prev_ts, lag(sec) OVER w AS prev_sec, lag(latitude) OVER w AS prev_lat,
-    lag(longitude) OVER w AS prev_lon, lag(country_code) OVER w AS prev_country
-  FROM {t} WINDOW w AS (PARTITION BY user_id ORDER BY event_ts, transaction_id)""",
-    "speeds": """
-  SELECT *, km / CASE WHEN hours > 0 THEN hours ELSE 0.001 END AS kmh FROM (
-    SELECT *, (sec - prev_sec) / 3600.0::DOUBLE AS hours,
-      12742.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin((radians(CAST(latitude AS DOUBLE)) - radians(CAST(prev_lat AS DOUBLE))) / 2), 2)
-        + cos(radians(CAST(prev_lat AS DOUBLE))) * cos(radians(CAST(latitude AS DOUBLE)))
-        * pow(sin((radians(CAST(longitude AS DOUBLE)) - radians(CAST(prev_lon AS DOUBLE))) / 2), 2)))) AS km
-    FROM {hops} WHERE prev_lat IS NOT NULL AND country_code <> prev_country)""",
-    "velocity": """
-  SELECT transaction_id, event_ts, 'VELOCITY_ATTACK' AS reason_code, n / 6.0::DOUBLE AS raw_severity,
-    'User had ' || n || ' transactions in 3600 seconds' AS description FROM {rolled} WHERE n >= 3""",
-    "high_amount": """
-  SELECT transaction_id, event_ts, 'HIGH_AMOUNT' AS reason_code,
-    ((CAST(amount * 100 AS BIGINT) * 10000 - avg6) / 1000000.0::DOUBLE) / ((avg6 / 1000000.0::DOUBLE) * 5.0::DOUBLE) AS raw_severity,
-    'Amount $' || amount || ' vs user avg $' || CAST(((avg6 + 5000) // 10000) / 100.0 AS DECIMAL(18,2)) AS description
-  FROM {t} JOIN {baseline} USING (user_id) WHERE avg6 > 0 AND CAST(amount AS DOUBLE) > (avg6 / 1000000.0::DOUBLE) * 5.0::DOUBLE""",
-    "geo": """
-  SELECT transaction_id, event_ts, 'GEO_IMPOSSIBLE' AS reason_code, kmh / 2000.0::DOUBLE AS raw_severity, '' AS description
-  FROM {speeds} WHERE kmh > 800""",
+    # What the silver layer holds, and the rules run on each of its days alone.
+    "silver": "SELECT * FROM {checked} WHERE ok",
+    **rule_views("t", "user_id"),
+    **rule_views("silver", "partition_date, user_id", "_by_day"),
     "alerts": """
   SELECT transaction_id, event_ts AS alert_timestamp, CAST(event_ts AS DATE) AS alert_date, reason_code,
     CAST(round(CAST(CAST(least(raw_severity, 1.0) AS FLOAT) AS DOUBLE), 4) AS DECIMAL(5,4)) AS severity_score, description,

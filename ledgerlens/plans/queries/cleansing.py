@@ -39,8 +39,7 @@ def landing_path(spark, sf):
     days = [str(r[0]) for r in model.calendar_of(table(spark, sf, "events"), "ts").collect()]  # one row per day
     slots = table(spark, sf, "events").select(F.floor(F.hour("ts") / 6) * 6).distinct().collect()  # four rows
     wanted = [scans.landing_path(root, d, h[0]) for d in days for h in slots]
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    paths = [p for p in wanted if jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).exists(jvm.org.apache.hadoop.fs.Path(p))]
+    paths = [p for p in wanted if scans.path_exists(spark, p)]
     folder = F.regexp_extract("source_file", r"/transactions/(\d{4}/\d{2}/\d{2}/\d{2})/", 1)
     return scans.scan_raw_jsonl(spark, paths).groupBy(folder.alias("folder")).agg(F.count("*").alias("lines"))
 
@@ -64,9 +63,9 @@ def scan_layer(spark, sf):
 
 @query("scan_or_empty", "SELECT 'present' AS layer, count(*) AS rows FROM {t} UNION ALL SELECT 'absent', 0")
 def scan_or_empty(spark, sf):
-    out = []
+    out, shape = [], spark.read.parquet(_layer(spark, sf)).schema
     for name, path in (("present", _layer(spark, sf)), ("absent", f"{_layer(spark, sf)}-absent")):
-        df = scans.scan_or_empty(spark, lambda p=path: spark.read.parquet(p), S.SILVER)
+        df = scans.scan_or_empty(spark, path, shape)
         out.append(df.agg(F.lit(name).alias("layer"), F.count("*").alias("rows")))
     return kpis.union_reports(out)
 

@@ -69,12 +69,12 @@ def alert_counts(spark, sf):
 
 
 @query("rule_precision", """
-WITH j AS (SELECT a.reason_code, a.transaction_id, t.is_fraud FROM (
+SELECT * FROM (WITH j AS (SELECT a.reason_code, a.transaction_id, t.is_fraud FROM (
     SELECT DISTINCT transaction_id, reason_code FROM {alerts} UNION ALL SELECT DISTINCT transaction_id, 'ANY' FROM {alerts}) a
   JOIN {t} t USING (transaction_id)), total AS (SELECT count(*) FILTER (WHERE is_fraud) AS n FROM {t})
 SELECT reason_code, count(*) AS alerted, count(*) FILTER (WHERE is_fraud) AS true_positives,
   round(CAST(count(*) FILTER (WHERE is_fraud) AS DOUBLE) * 100.0::DOUBLE / count(*), 4) AS precision_pct,
-  round(CAST(count(*) FILTER (WHERE is_fraud) AS DOUBLE) * 100.0::DOUBLE / (SELECT n FROM total), 4) AS recall_pct FROM j GROUP BY 1""")
+  round(CAST(count(*) FILTER (WHERE is_fraud) AS DOUBLE) * 100.0::DOUBLE / (SELECT n FROM total), 4) AS recall_pct FROM j GROUP BY 1)""")
 def rule_precision(spark, sf):
     t = transactions(spark, sf)
     return rules.rule_precision(alerts(t), t.select("transaction_id", "is_fraud"))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlens import schemas as S
 
@@ -19,6 +18,22 @@ def landing_path(root: str, day: str, hour: int | str, entity: str = "transactio
     return f"{root.rstrip('/')}/raw/{entity}/{d:%Y/%m/%d}/{int(hour):02d}/"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def landed_folders(spark: SparkSession, root: str, day: str, hours: list | None = None, entity: str = "transactions") -> list[str]:
+    """The landing folders of a day that exist; without `hours`, all of them."""
+    paths = [landing_path(root, day, h, entity) for h in (hours if hours is not None else range(24))]
+    return [p for p in paths if path_exists(spark, p)]
+
+
+def landing_day(source_file: str | Column) -> Column:
+    """The day of a landing folder, from a file's path."""
+    return F.to_date(F.regexp_replace(F.regexp_extract(source_file, r"/(\d{4}/\d{2}/\d{2})/\d{2}/", 1), "/", "-"))
+
+
 def scan_raw_jsonl(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per text line with the file it came from; several hours in one read."""
     return spark.read.text(paths).select(F.col("value").alias("raw_data"), F.col("_metadata.file_path").alias("source_file"))
@@ -32,23 +47,27 @@ def scan_entity(spark: SparkSession, path: str | list[str], entity: str) -> Data
 
 
 def scan_layer(spark: SparkSession, root: str, date: str | list[str] = "all", schema: T.StructType | None = None) -> DataFrame:
-    """A layer, or some of its days; the date filter prunes partitions."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(root)
+    """A layer, or some of its days; the date filter prunes partitions.
+
+    With a schema, a layer that does not exist yet reads as empty.
+    """
+    df = scan_or_empty(spark, root, schema)
     if date == "all":
         return df
     days = [date] if isinstance(date, str) else list(date)
     return df.where(F.col("partition_date").isin([dt.date.fromisoformat(str(d)) for d in days]))
 
 
-def scan_or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
-    """The result of `read()`, or an empty table where the path does not exist."""
-    try:
-        return read()
-    except AnalysisException as exc:
-        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A Parquet table, or an empty one where the path does not exist.
+
+    Without `schema`, the files give it and the path has to exist.
+    """
+    if schema is None:
+        return spark.read.parquet(path)
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def scan_features(silver: DataFrame, features: list[str] | None = None) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.operators.model import incremental_upsert, keep_flags
 from ledgerlens.session import materialize_scratch
-from ledgerlens.sources.scans import scan_or_empty
+from ledgerlens.sources.scans import path_exists, scan_or_empty
 
 
 def _write_counted(df: DataFrame, write) -> int:
@@ -20,28 +19,27 @@ def _write_counted(df: DataFrame, write) -> int:
     return seen.get["rows"]
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+def _by_partition(df: DataFrame, partition: str, many: bool) -> DataFrame:
+    """Gather rows of many table partitions into files of even size; a hot partition is split.
+
+    A single partition needs no shuffle: each task writes one file of it.
+    """
+    return df.hint("rebalance", partition) if many else df
 
 
-def write_bronze(df: DataFrame, path: str) -> int:
-    return _write_counted(df, lambda d: d.write.mode("append").partitionBy("partition_date").parquet(path))
+def write_bronze(df: DataFrame, path: str, *, many_days: bool = False) -> int:
+    return _write_counted(_by_partition(df, "partition_date", many_days),
+                          lambda d: d.write.mode("append").partitionBy("partition_date").parquet(path))
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str) -> int:
+def replace_partitions(df: DataFrame, path: str, partition: str, *, many: bool = False) -> int:
     """Replace the partitions present in `df`, keep all others."""
-    return _write_counted(df, lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                          .partitionBy(partition).parquet(path))
+    return _write_counted(_by_partition(df, partition, many), lambda d: d.write.mode("overwrite")
+                          .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
 
 
-def write_silver(df: DataFrame, path: str) -> int:
-    return replace_partitions(df, path, "partition_date")
+def write_silver(df: DataFrame, path: str, *, many_days: bool = False) -> int:
+    return replace_partitions(df, path, "partition_date", many=many_days)
 
 
 def write_staging(df: DataFrame, target: str, *, jdbc: dict | None = None) -> int:
@@ -70,7 +68,7 @@ def append_alerts(alerts: DataFrame, path: str, *, one_per_transaction: bool = F
     """
     spark = alerts.sparkSession
     batch = materialize_scratch(alerts, "alerts")
-    log = scan_or_empty(spark, lambda: spark.read.schema(S.ALERTS).parquet(path), S.ALERTS)
+    log = scan_or_empty(spark, path, S.ALERTS)
     if one_per_transaction:
         fresh = batch.join(log.select("transaction_id"), "transaction_id", "left_anti")
     else:
@@ -91,8 +89,8 @@ def upsert_partitions(batch: DataFrame, path: str, key: str = "transaction_id",
     to rewrite are looked up in the key column of the whole target.
     """
     spark = batch.sparkSession
-    if not table_exists(spark, path):
-        return replace_partitions(batch, path, partition)
+    if not path_exists(spark, path):
+        return replace_partitions(batch, path, partition, many=True)
     target = spark.read.parquet(path)
     incoming = materialize_scratch(batch, "upsert-batch")
     if keep_fraud_flags:
@@ -102,7 +100,7 @@ def upsert_partitions(batch: DataFrame, path: str, key: str = "transaction_id",
     touched = [r[0] for r in holding.union(incoming.select(partition)).distinct().collect()]
     slice_ = target.where(F.col(partition).isin(touched))
     merged = materialize_scratch(incremental_upsert(slice_, incoming, key), "upsert")
-    rows = replace_partitions(merged, path, partition)
+    rows = replace_partitions(merged, path, partition, many=len(touched) > 1)
     left = {r[0] for r in merged.select(partition).distinct().collect()}
     _drop_partitions(spark, path, partition, [p for p in touched if p not in left])
     return rows
@@ -125,7 +123,7 @@ def materialize(df: DataFrame, how: str, name: str, path: str | None = None, key
     if how == "table":
         rewrite_table(df, path)
     elif how == "incremental":
-        if table_exists(spark, path):
+        if path_exists(spark, path):
             rewrite_table(incremental_upsert(spark.read.parquet(path), df, key), path)
         else:
             df.write.mode("overwrite").parquet(path)
@@ -148,6 +146,6 @@ def save_model(nodes: DataFrame, scaler: DataFrame, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    if not table_exists(spark, f"{path}/trees"):
+    if not path_exists(spark, f"{path}/trees"):
         raise FileNotFoundError(f"no trained model under {path}; train one first")
     return spark.read.parquet(f"{path}/trees"), spark.read.parquet(f"{path}/scaler")

@@ -21,23 +21,25 @@ def count_per_key(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, heavy: DataFrame, spread_by: Column, salts: int = 64) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, heavy: DataFrame, spread_by: Column, salts: int = 64,
+                hot: Column | None = None) -> DataFrame:
     """Equi join where the heavy keys of `left` go to `salts` tasks each.
 
-    `right` holds one row per key; only its heavy rows are copied, at most
-    HEAVY_KEYS * salts of them. The list of heavy keys is bounded and broadcast.
+    `right` holds one row per key; only its heavy rows are copied `salts` times. The
+    list of heavy keys is bounded and broadcast. `hot` may say on the right side alone
+    which rows to copy (any superset of the list), which saves looking the list up there.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join keeps every left row once, so it does inner and left joins only")
     marks = F.broadcast(heavy.select(F.col(key).alias("_heavy_key")))
-    hot = F.col("_heavy_key").isNotNull()
+    listed = F.col("_heavy_key").isNotNull()
     spread = (left.join(marks, F.col(key) == F.col("_heavy_key"), "left")
-              .withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+              .withColumn("_salt", F.when(listed, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
               .drop("_heavy_key"))
-    copies = (right.join(marks, F.col(key) == F.col("_heavy_key"), "left")
-              .withColumn("_salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-              .drop("_heavy_key"))
-    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+    marked = right if hot is not None else right.join(marks, F.col(key) == F.col("_heavy_key"), "left")
+    every, one = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
+    copies = marked.withColumn("_salt", F.explode(F.when(listed if hot is None else hot, every).otherwise(one)))
+    return spread.join(copies.drop("_heavy_key"), [key, "_salt"], how).drop("_salt")
 
 
 def time_cuts(df: DataFrame, key: str, micros: Column, heavy: DataFrame, pieces: int = 256) -> DataFrame:
@@ -51,34 +53,33 @@ def time_cuts(df: DataFrame, key: str, micros: Column, heavy: DataFrame, pieces:
     return rows.groupBy(key).agg(F.array_distinct(F.percentile_approx("_us", points, pieces * 10)).alias("_cuts"))
 
 
-def with_time_piece(df: DataFrame, key: str, micros: Column, cuts: DataFrame) -> DataFrame:
-    """Add `_piece`: which stretch of its key's time a row lies in, 0 for light keys."""
+def with_time_piece(df: DataFrame, key: str, micros: Column, cuts: DataFrame, how: str = "left") -> DataFrame:
+    """Add `_piece`: which stretch of its key's time a row lies in, NULL for light keys."""
     bounds = F.broadcast(cuts.withColumnRenamed(key, "_cut_key"))
-    position = F.size(F.filter("_cuts", lambda c: c <= micros))
-    return (df.join(bounds, F.col(key) == F.col("_cut_key"), "left")
-            .withColumn("_piece", F.when(F.col("_cuts").isNotNull(), position).otherwise(F.lit(0)).cast("int"))
+    return (df.join(bounds, F.col(key) == F.col("_cut_key"), how)
+            .withColumn("_piece", F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c <= micros))))
             .drop("_cut_key", "_cuts"))
 
 
 def lag_in_pieces(df: DataFrame, key: str, order: list[str], micros: Column, columns: list[str], cuts: DataFrame,
                   output: str = "_prev") -> DataFrame:
-    """`lag(struct(columns))` per key in time order, without holding a heavy key in one task.
+    """The previous row's columns per key in time order, without holding a heavy key in one task.
 
     Rows are windowed per (key, piece). The first row of a piece needs the last row
     of the piece before it: those last rows (one per heavy key and piece, so a
     bounded number) are carried into the next piece as extra rows and removed again.
     """
-    pieces = with_time_piece(df, key, micros, cuts)
-    payload = F.struct(*[F.col(c) for c in columns])
-    rows = pieces.withColumns({"_carried": F.lit(False), "_value": payload})
-
-    heavy_only = rows.join(F.broadcast(cuts.select(key)), key, "left_semi")
-    last = heavy_only.groupBy(key, "_piece").agg(F.max_by("_value", F.struct(*[F.col(c) for c in order])).alias("_value"))
-    next_piece = F.lead("_piece").over(Window.partitionBy(key).orderBy("_piece"))
-    carried = last.withColumn("_piece", next_piece).where(F.col("_piece").isNotNull()).withColumn("_carried", F.lit(True))
+    rows = with_time_piece(df, key, micros, cuts)
+    # An inner join with the heavy keys: where there are none, nothing is read again.
+    last = (with_time_piece(df, key, micros, cuts, "inner").groupBy(key, "_piece")
+            .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last")))
+    following = F.lead("_piece").over(Window.partitionBy(key).orderBy("_piece"))
+    carried = last.withColumn("_piece", following).where(F.col("_piece").isNotNull()).select(key, "_piece", "_last.*", F.lit(True).alias("_carried"))
 
     w = Window.partitionBy(key, "_piece").orderBy(F.col("_carried").desc(), *[F.col(c) for c in order])
-    return (rows.unionByName(carried, allowMissingColumns=True)
-            .withColumn(output, F.lag("_value").over(w))
-            .where(~F.col("_carried"))
-            .drop("_carried", "_value", "_piece"))
+    # One lag per column: a struct built before the window would be shuffled as well.
+    lagged = {f"_lag_{c}": F.lag(c).over(w) for c in columns}
+    linked = (rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+              .withColumns({**lagged, "_linked": F.lag("_carried").over(w)}).where(~F.col("_carried")))
+    previous = F.when(F.col("_linked").isNotNull(), F.struct(*[F.col(f"_lag_{c}").alias(c) for c in columns]))
+    return linked.select(*df.columns, previous.alias(output))

@@ -34,7 +34,9 @@ def parse_raw_json(df: DataFrame, schema: T.StructType = S.RAW_TRANSACTION, *, k
         schema = T.StructType([*schema.fields, T.StructField("metadata", T.MapType(T.StringType(), T.StringType()))])
     carried = [c for c in ("ingestion_timestamp", "source_file", "partition_date") if c in df.columns]
     parsed = F.from_json("raw_data", schema, {"mode": "PERMISSIVE"})
-    return df.select(parsed.alias("_payload"), *carried).select("_payload.*", *carried)
+    # As a generator the parser runs once per row. As a projection it would be copied
+    # into every predicate that validation puts on a field, and run once for each.
+    return df.select(F.inline(F.array(parsed)), *carried)
 
 
 def cast_types(df: DataFrame) -> DataFrame:

@@ -320,6 +320,14 @@ def mart_executive_kpis(facts: DataFrame, days: DataFrame, calendar_days: bool =
     return with_rolling_kpis(daily.select("txn_date", *[c for c in daily.columns if c != "txn_date"]), calendar_days)
 
 
+def refresh_executive_kpis(mart: DataFrame, facts: DataFrame, days: DataFrame, changed: list[int]) -> DataFrame:
+    """The mart after some days of the fact table changed: only those days are aggregated
+    again (the list prunes partitions), the rolling columns run over the days' rows."""
+    fresh = mart_executive_kpis(facts.where(F.col("time_sk").isin(changed)), days).drop("tpv_30d", "fraud_rate_7d_avg")
+    kept = mart.where(~time_key("txn_date").isin(changed)).select(*fresh.columns)
+    return with_rolling_kpis(kept.unionByName(fresh))
+
+
 def fraud_summary(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy(
         F.to_date("alert_timestamp").alias("alert_date"), "reason_code", severity_bucket().alias("severity_bucket"), "status"

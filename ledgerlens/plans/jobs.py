@@ -129,16 +129,17 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
         profile = model.profile_for_history(users if users is not None else tables["users"])
         updated = model.scd2_snapshot(history, profile, as_of=as_of, hard_deletes=users is not None)
     sinks.rewrite_table(updated, history_path)
-    sinks.rewrite_table(model.dim_users(spark.read.parquet(history_path)), lake.gold("dim_users"))
+    sinks.overwrite_table(model.dim_users(spark.read.parquet(history_path)), lake.gold("dim_users"))
     _merge_small(spark, lake.gold("dim_merchants"),
                  model.dim_merchants(model.stg_merchants(tables["merchants"]), as_of, merchants), "merchant_id")
 
     facts = model.fct_transactions(
         model.stg_transactions(tables["transactions"]), spark.read.parquet(lake.gold("dim_users")),
         spark.read.parquet(lake.gold("dim_merchants")), spread_heavy=spread_heavy)
-    written = sinks.upsert_partitions(facts, lake.gold("fact_transactions"))
+    written, touched = sinks.upsert_partitions(facts, lake.gold("fact_transactions"))
     return _finish(spark, lake, "gold_modeling", f"gold-{_label(date)}", started, output_rows=staged["transactions"],
-                   merchants_staged=staged["merchants"], users_staged=staged["users"], fact_rows_written=written)
+                   merchants_staged=staged["merchants"], users_staged=staged["users"], fact_rows_written=written,
+                   touched_days=touched)
 
 
 def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str], *, as_of=None, history_dates: list[str] | None = None,
@@ -200,12 +201,18 @@ def run_ml_scoring(spark: SparkSession, root: str, date: str | list[str], *, tra
     return _finish(spark, lake, "ml_scoring", f"ml-{_label(date)}", started, ml_alerts=counts["ML_ANOMALY"])
 
 
-def run_marts(spark: SparkSession, root: str, calendar: DataFrame | None = None) -> dict:
+def run_marts(spark: SparkSession, root: str, calendar: DataFrame | None = None, changed_days: list[int] | None = None) -> dict:
+    """Rebuild the marts. With `changed_days` (yyyymmdd), only these days of the fact table
+    are read; the other days' rows come from the mart as it is."""
     lake = Lake(root)
     days = calendar if calendar is not None else model.dim_time(model.calendar(spark))
-    kpis = model.mart_executive_kpis(spark.read.parquet(lake.gold("fact_transactions")), days)
-    return {"executive_kpis": sinks.rewrite_table(kpis, lake.gold("mart_executive_kpis")),
-            "fraud_summary": sinks.rewrite_table(model.mart_fraud_summary(alerts_log(spark, lake)), lake.gold("mart_fraud_summary"))}
+    facts, path = spark.read.parquet(lake.gold("fact_transactions")), lake.gold("mart_executive_kpis")
+    if changed_days is not None and scans.path_exists(spark, path):
+        kpis = sinks.rewrite_table(model.refresh_executive_kpis(spark.read.parquet(path), facts, days, changed_days), path)
+    else:
+        kpis = sinks.overwrite_table(model.mart_executive_kpis(facts, days), path)
+    return {"executive_kpis": kpis,
+            "fraud_summary": sinks.overwrite_table(model.mart_fraud_summary(alerts_log(spark, lake)), lake.gold("mart_fraud_summary"))}
 
 
 def run_gold_tests(spark: SparkSession, root: str) -> dict:
@@ -245,7 +252,8 @@ def _after_bronze(spark, root, date, as_of, ml, users, merchants, thresholds) ->
     if ml:
         out["ml"] = run_ml_scoring(spark, root, date, as_of=as_of)
     out["flags"] = run_flag_update(spark, root, date)
-    out["marts"] = run_marts(spark, root)
+    flagged = [int(d.replace("-", "")) for d in _as_list(date)]
+    out["marts"] = run_marts(spark, root, changed_days=sorted({*out["gold"]["touched_days"], *flagged}))
     out["tests"] = run_gold_tests(spark, root)
     return out
 

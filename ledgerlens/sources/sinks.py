@@ -50,6 +50,11 @@ def write_staging(df: DataFrame, target: str, *, jdbc: dict | None = None) -> in
                           .option("dbtable", target).mode("overwrite").save())
 
 
+def overwrite_table(df: DataFrame, path: str) -> int:
+    """Overwrite a table that `df` does not read from."""
+    return _write_counted(df, lambda d: d.write.mode("overwrite").parquet(path))
+
+
 def rewrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Overwrite a table that `df` may read from: the rows are staged first."""
     staged = materialize_scratch(df, "rewrite")
@@ -82,28 +87,34 @@ def append_alerts(alerts: DataFrame, path: str, *, one_per_transaction: bool = F
 
 
 def upsert_partitions(batch: DataFrame, path: str, key: str = "transaction_id", partition: str = "time_sk", *,
-                      keep_fraud_flags: bool = True) -> int:
+                      keep_fraud_flags: bool = True) -> tuple[int, list]:
     """Insert or replace rows by key, rewriting only the partitions that change.
 
     A key may already sit in another partition than the batch row, so the partitions
-    to rewrite are looked up in the key column of the whole target.
+    to rewrite are looked up in the key column of the whole target. Returns the rows
+    written and the partitions touched.
     """
     spark = batch.sparkSession
-    if not path_exists(spark, path):
-        return replace_partitions(batch, path, partition, many=True)
-    target = spark.read.parquet(path)
     incoming = materialize_scratch(batch, "upsert-batch")
+    exists = path_exists(spark, path)
+    target = spark.read.parquet(path) if exists else incoming.limit(0)
+    holding = target.select(key, partition).join(incoming.select(key), key, "left_semi").select(partition, F.lit(False).alias("_new"))
+    # One row per day at most.
+    touched = {r[0]: r[1] for r in holding.unionByName(incoming.select(partition, F.lit(True).alias("_new")))
+               .groupBy(partition).agg(F.max("_new")).collect()}
+    many = len(touched) > 1
+    if not exists:
+        return replace_partitions(incoming, path, partition, many=many), sorted(touched)
     if keep_fraud_flags:
-        incoming = keep_flags(incoming, target, key)
-    holding = target.select(key, partition).join(incoming.select(key), key, "left_semi").select(partition)
-    # One value per day at most.
-    touched = [r[0] for r in holding.union(incoming.select(partition)).distinct().collect()]
-    slice_ = target.where(F.col(partition).isin(touched))
+        incoming = keep_flags(incoming, target.where(F.col(partition).isin(list(touched))), key)
+    slice_ = target.where(F.col(partition).isin(list(touched)))
     merged = materialize_scratch(incremental_upsert(slice_, incoming, key), "upsert")
-    rows = replace_partitions(merged, path, partition, many=len(touched) > 1)
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    _drop_partitions(spark, path, partition, [p for p in touched if p not in left])
-    return rows
+    rows = replace_partitions(merged, path, partition, many=many)
+    losing = [p for p, gets_rows in touched.items() if not gets_rows]
+    if losing:
+        left = {r[0] for r in merged.where(F.col(partition).isin(losing)).select(partition).distinct().collect()}
+        _drop_partitions(spark, path, partition, [p for p in losing if p not in left])
+    return rows, sorted(touched)
 
 
 def _drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:

@@ -146,6 +146,14 @@ def test_kpi_marts(spark):
         ("2026-04-01", 2, 20.0, 20.0), ("2026-04-03", 1, 5.5, 25.5)]
 
 
+def test_refreshed_mart_equals_a_rebuilt_one(spark):
+    days = model.dim_time(model.calendar(spark))
+    old = model.fct_transactions(staged(spark, "a").unionAll(staged(spark, "b", sk=20260402, amount="3.00")), *star(spark))
+    new = model.fct_transactions(staged(spark, "a").unionAll(staged(spark, "b", "c", sk=20260403, amount="7.00")), *star(spark))
+    refreshed = model.refresh_executive_kpis(model.mart_executive_kpis(old, days), new, days, [20260402, 20260403])
+    assert sorted(refreshed.collect()) == sorted(model.mart_executive_kpis(new, days).collect())
+
+
 def test_merchant_details_from_the_raw_entity(spark):
     staged_m = spark.createDataFrame([("m1", "5411", "MX"), ("m1", "5411", "BR"), ("m2", "1", "X")], "merchant_id string, mcc_code string, country_code string")
     one = model.stg_merchants(staged_m.withColumn("loaded_at", F.lit(D1)))

@@ -1,6 +1,8 @@
 """The plans are the ones meant: pruned scans, limits before shuffles, bounded broadcasts."""
 
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +53,13 @@ def test_dedup_limits_each_key_before_the_shuffle(t):
     assert "WindowGroupLimit" in text and "row_number(), 1, Partial" in text
 
 
+def test_json_is_parsed_once_per_row(spark):
+    from ledgerlens.plans.jobs import cleanse_bronze
+    lines = spark.createDataFrame([("{}", dt.date(2024, 1, 1))], "raw_data string, partition_date date")
+    text = cleanse.validate_rows(cleanse_bronze(lines, "2024-01-31 00:00:00"), "2024-01-31 00:00:00")._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1
+
+
 def test_calendar_join_is_broadcast_by_size(spark, t):
     text = executed(model.fact_calendar(model.stage_fact(t), model.dim_time(model.calendar(spark))))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text

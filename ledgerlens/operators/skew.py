@@ -33,8 +33,10 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, heavy: Da
         raise ValueError("salted_join keeps every left row once, so it does inner and left joins only")
     marks = F.broadcast(heavy.select(F.col(key).alias("_heavy_key")))
     listed = F.col("_heavy_key").isNotNull()
+    # NULL keys match nothing, but a left join keeps them and would shuffle them to one task.
+    wide = listed | F.col(key).isNull()
     spread = (left.join(marks, F.col(key) == F.col("_heavy_key"), "left")
-              .withColumn("_salt", F.when(listed, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+              .withColumn("_salt", F.when(wide, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
               .drop("_heavy_key"))
     marked = right if hot is not None else right.join(marks, F.col(key) == F.col("_heavy_key"), "left")
     every, one = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))

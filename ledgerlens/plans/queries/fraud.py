@@ -132,9 +132,19 @@ def _silver_shape(df):
     return cleanse.stamp_processed(cleanse.hash_pii(df), AS_OF)
 
 
-@query("expect_columns")
+FILLED_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, TRUE AS present, count({expr}) AS filled FROM {{dirty}}" for c, expr in
+    {**{c: c for c in S.SILVER_REQUIRED_COLUMNS}, "timestamp": "event_ts", "ip_address_hash": "ip_address", "_silver_processed_at": "*"}.items())
+
+
+@query("expect_columns", FILLED_SQL + " UNION ALL SELECT 'source_file', FALSE, NULL")
 def expect_columns(spark, sf):
-    return quality.expect_columns(_silver_shape(transactions(spark, sf)))
+    """Which columns exist, and in how many rows those that do are filled."""
+    df = _silver_shape(dirty_transactions(spark, sf))
+    wanted = [*S.SILVER_REQUIRED_COLUMNS, "source_file"]
+    cells = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("filled")) for c in wanted if c in df.columns]
+    filled = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return quality.expect_columns(df, wanted).join(filled, "column_name", "left")
 
 
 @query("forbid_column", "SELECT count(*) AS rows, count(DISTINCT sha256(ip_address)) AS hashes FROM {t}")

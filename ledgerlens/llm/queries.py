@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import outliers
-from ledgerlens.llm.common import documents
+from ledgerlens.llm import mixing, outliers, pieces, records
+from ledgerlens.llm.common import documents, new_folder
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -20,3 +21,23 @@ def query(f):
 @query
 def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality(documents(spark, sf_dir)).select("doc_id", *outliers.COUNTS, "base_failed", "kept", "distance")
+
+
+@query
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", *pieces.digests(F.col("ids"), F.col("decoded")))
+
+
+@query
+def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    folder = new_folder(spark, "records")
+    index = records.write(documents(spark, sf_dir), tokenizer, folder, end_id=1)
+    found = records.starts(records.read(index, folder, tokenizer), index)
+    return found.select("doc_id", "start", (F.octet_length("payload") / 4).cast("long").alias("n_tokens"), F.crc32("payload").alias("ids_crc32"))
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))

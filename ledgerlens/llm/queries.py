@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, lines, mixing, outliers, pieces, records, urls
-from ledgerlens.llm.common import documents, new_folder
+from ledgerlens.llm import chat, fingerprints, lines, mixing, outliers, pieces, records, urls
+from ledgerlens.llm.common import documents, new_folder, saved
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,16 @@ by_url AS (
 hits AS (SELECT page_id, count(*) AS n, min(category) AS category FROM (SELECT * FROM by_host UNION ALL SELECT * FROM by_url) GROUP BY page_id)
 SELECT page_id, url, strftime(t, '%Y-%m-%d %H:%M:%S') AS fetched_at, n IS NOT NULL AS blocked, coalesce(n, 0) AS n_entries, category
 FROM captures LEFT JOIN hits USING (page_id)"""
+
+
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.with_next_half(documents(spark, sf_dir))
+    both = rows.select("doc_id", "next_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       fingerprints.fingerprint(F.col("text")).alias("fingerprint"), fingerprints.fingerprint(F.col("edited")).alias("edited_fingerprint"))
+    both = saved(both, "fingerprints")
+    after = both.groupBy(F.col("doc_id").alias("__id")).agg(F.min("fingerprint").alias("__next"))
+    near = both.join(after, F.col("next_id") == F.col("__id"), "left")
+    return near.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                       fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                       fingerprints.likeness(F.col("fingerprint"), F.col("__next")).alias("near_next"))

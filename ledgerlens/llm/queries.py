@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, fingerprints, lines, mixing, outliers, pieces, records, suffixes, urls
+from ledgerlens.llm import chat, fingerprints, jaccard, lines, mixing, outliers, pieces, records, suffixes, urls
 from ledgerlens.llm.common import documents, new_folder, saved
 
 QUERIES = {}
@@ -158,3 +158,8 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffixes.remove(documents(spark, sf_dir))
     return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))

@@ -6,7 +6,7 @@ with an agenda, a heap of pairs ordered by score and place. `_merge_all` runs th
 each round takes from every word the pair that its heap would give. Characters without a piece become byte pieces.
 
 Where no piece holds a blank after another character, merges never cross a word's end, so a text is encoded word by word
-and each distinct word of a chunk once; at most CACHE words are kept between chunks. All words new to a worker are also
+and each distinct word of a chunk once; a bounded number of words is kept between chunks (store.py). All words new to a worker are also
 encoded by the sentencepiece library, in one call for each chunk of an Arrow batch, and a difference ends the job. Other
 vocabularies are taken text by text by the same agenda, each text checked.
 
@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import grid
+from ledgerlens.llm.store import Store, ragged
 
 BLANK = "▁"
-CACHE = 1_000_000
 # Bytes of text that are encoded together.
 CHUNK = 1 << 21
 # Longer words go through `merge` one at a time.
@@ -36,12 +36,6 @@ WIDTHS = (6, 10, 16, 28)
 _NONE = np.int32(2 ** 31 - 1)
 
 
-def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Places of the elements of spans laid one after another."""
-    total = np.cumsum(sizes)
-    return np.arange(total[-1] if len(total) else 0) + np.repeat(starts - (total - sizes), sizes)
-
-
 class Vocabulary:
     def __init__(self, path: str):
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -79,8 +73,7 @@ class Vocabulary:
         pairs = [(number[p[:k]], number[p[k:]], rank[i], i) for p, i in self.ids.items() for k in range(1, len(p))
                  if p[:k] in number and p[k:] in number]
         self._table(np.array(pairs, np.int64).reshape(-1, 4))
-        self.known, self.known_at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.known_size, self.store = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.store = Store("<i4")
 
     def _table(self, pairs: np.ndarray) -> None:
         """A hash table of pairs, open addressing, as arrays."""
@@ -254,40 +247,23 @@ class Vocabulary:
             prefix = np.zeros(len(points) + 1, np.uint64)
             np.cumsum((points.astype(np.uint64) + np.uint64(1)) * grid.powers(len(points)), out=prefix[1:])
             word, first, back = np.unique(grid.Chunk.span(prefix, start, end), return_index=True, return_inverse=True)
-            ids, at, number = self._look(word, points, start[first], (end - start)[first])
+            at, number = self.store.find(word, lambda new: self._learn(points, start[first[new]], (end - start)[first[new]]))
             each = number[back]
             row = np.searchsorted(begins[full], start, side="right") - 1
             per_row = np.zeros(chunk.rows, np.int64)
             per_row[full] = np.bincount(row, weights=each, minlength=int(full.sum())).astype(np.int64)
-            yield chunk.first, ids[ragged(at[back], each)], per_row
-
-    def _look(self, word: np.ndarray, points: np.ndarray, start: np.ndarray, size: np.ndarray):
-        """Where each word's ids lie in the store, and their number; unknown words are encoded first."""
-        at = np.minimum(np.searchsorted(self.known, word), max(len(self.known) - 1, 0))
-        fresh = np.flatnonzero(self.known[at] != word) if len(self.known) else np.arange(len(word))
-        if len(fresh):
-            ids, number = self._merge_all(points, start[fresh], size[fresh])
-            # A word of blanks only would grow together with the next one: those are checked one by one.
-            alone = points[start[fresh] + size[fresh] - 1] == ord(BLANK)
-            spans = fresh[~alone]
-            if len(spans):
-                self._check(points[ragged(start[spans], size[spans])], ids[np.repeat(~alone, number)])
-            for k in np.flatnonzero(alone & (size[fresh] > 1)):
-                self._check(points[start[fresh[k]]:][:size[fresh[k]]], ids[number[:k].sum():][:number[k]])
-            if len(self.known) + len(fresh) > CACHE:
-                used = np.flatnonzero(self.known[at] == word) if len(self.known) else np.zeros(0, np.int64)
-                keep = at[used]
-                self.store = self.store[ragged(self.known_at[keep], self.known_size[keep])]
-                self.known, self.known_size = self.known[keep], self.known_size[keep]
-                self.known_at = np.cumsum(self.known_size) - self.known_size
-            known = np.concatenate([self.known, word[fresh]])
-            begin = np.concatenate([self.known_at, len(self.store) + np.cumsum(number) - number])
-            sizes = np.concatenate([self.known_size, number])
-            order = np.argsort(known, kind="stable")
-            self.known, self.known_at, self.known_size = known[order], begin[order], sizes[order]
-            self.store = np.concatenate([self.store, ids])
-            at = np.searchsorted(self.known, word)
-        return self.store, self.known_at[at], self.known_size[at]
+            yield chunk.first, self.store.values[ragged(at[back], each)], per_row
+
+    def _learn(self, points: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words, checked against the library."""
+        ids, number = self._merge_all(points, start, size)
+        # A word of blanks only would grow together with the next one: those are checked one by one.
+        alone = points[start + size - 1] == ord(BLANK)
+        if not alone.all():
+            self._check(points[ragged(start[~alone], size[~alone])], ids[np.repeat(~alone, number)])
+        for k in np.flatnonzero(alone & (size > 1)):
+            self._check(points[start[k]:][:size[k]], ids[number[:k].sum():][:number[k]])
+        return ids, number
 
     def decode_all(self, ids: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes that the ids of many rows decode to, and the bytes of each row, without the blank put in front."""

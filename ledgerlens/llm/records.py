@@ -15,6 +15,7 @@ Null texts are empty; an empty text is a record with the end id alone. An empty
 
 from __future__ import annotations
 
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -25,63 +26,84 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import grid
 from ledgerlens.llm.common import new_folder, saved
+from ledgerlens.llm.store import Store, ragged
 
 MASK = 0xA282EAD8
 POLYNOMIAL = 0x82F63B78  # CRC-32C, reflected
 FRAME = 16
-CACHE = 300_000
-LONG_WORD = 64
 
 
-def _tables() -> list[np.ndarray]:
-    first = np.arange(256, dtype=np.uint32)
+def _byte_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
     for _ in range(8):
-        first = np.where(first & 1, (first >> 1) ^ np.uint32(POLYNOMIAL), first >> 1).astype(np.uint32)
-    out = [first]
-    for _ in range(7):
-        out.append((out[-1] >> 8) ^ first[out[-1] & 255])
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(POLYNOMIAL), table >> 1).astype(np.uint32)
+    return table
+
+
+TABLE = _byte_table()
+
+
+def _move(tables: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    """What zero bytes after it make of a checksum; tables: for each of its four bytes."""
+    out = tables[0][crc & 255]
+    for k in range(1, 4):
+        out = out ^ tables[k][(crc >> np.uint32(8 * k)) & 255]
     return out
 
 
-TABLES = _tables()
+def _zeros() -> list[np.ndarray]:
+    """Tables of _move for 1, 2, 4, ... zero bytes."""
+    one = np.stack([np.arange(256, dtype=np.uint32) << np.uint32(8 * k) for k in range(4)])
+    steps = [np.stack([TABLE[x & 255] ^ (x >> np.uint32(8)) for x in one])]
+    while len(steps) < 40:
+        steps.append(np.stack([_move(steps[-1], x) for x in steps[-1]]))
+    return steps
+
+
+ZEROS = _zeros()
+# For eight bytes at once: the j-th of them, with 7 - j bytes after it.
+EIGHT = [TABLE]
+for _ in range(7):
+    EIGHT.append(TABLE[EIGHT[-1] & 255] ^ (EIGHT[-1] >> np.uint32(8)))
+PIECE = 1 << 8
 
 
 def crc32c(data: bytes) -> int:
-    """One byte after another; for short inputs and as the plain form of crc32c_all."""
+    """One byte after another: the plain form of crc32c_all."""
     c = 0xFFFFFFFF
-    table = TABLES[0]
     for b in data:
-        c = int(table[(c ^ b) & 255]) ^ (c >> 8)
+        c = int(TABLE[(c ^ b) & 255]) ^ (c >> 8)
     return c ^ 0xFFFFFFFF
 
 
 def crc32c_all(rows: list[bytes]) -> np.ndarray:
-    """CRC-32C of many byte strings: all of them advance by eight bytes in each round, the longest first in the array."""
+    """CRC-32C of many byte strings.
+
+    Zeros in front change nothing as long as the register is 0, so every string is filled up in front to pieces of one
+    size. All pieces advance together, eight bytes at a time; then neighbours are joined, pairs, pairs of pairs and so on.
+    The register starts at all ones: that is added at the end, moved by the string's length.
+    """
     sizes = np.array([len(r) for r in rows], np.int64)
-    order = np.argsort(-sizes, kind="stable")
-    padded = (sizes + 7) // 8 * 8
-    begins = (np.cumsum(padded) - padded)[order]
-    words = np.frombuffer(b"".join(r.ljust(int(p), b"\0") for r, p in zip(rows, padded)), "<u8")
-    crc = np.full(len(rows), 0xFFFFFFFF, np.uint32)
-    falling = sizes[order]
-    step = 0
-    live = int(np.searchsorted(-falling, -8, side="right"))
-    while live:
-        x = words[(begins[:live] >> 3) + step] ^ crc[:live].astype(np.uint64)
-        crc[:live] = TABLES[7][(x & 255).astype(np.intp)]
-        for k in range(1, 8):
-            crc[:live] ^= TABLES[7 - k][((x >> np.uint64(8 * k)) & np.uint64(255)).astype(np.intp)]
-        step += 1
-        live = int(np.searchsorted(-falling, -8 * (step + 1), side="right"))
-    rest = falling % 8
-    last = np.frombuffer(words.tobytes(), np.uint8)
-    for k in range(7):
-        more = np.flatnonzero(rest > k)
-        b = last[begins[more] + falling[more] // 8 * 8 + k]
-        crc[more] = TABLES[0][(crc[more] ^ b) & 255] ^ (crc[more] >> np.uint32(8))
-    out = np.empty(len(rows), np.uint32)
-    out[order] = crc ^ np.uint32(0xFFFFFFFF)
-    return out
+    count = np.maximum((sizes + PIECE - 1) // PIECE, 1)
+    data = np.frombuffer(b"".join([r.rjust(int(c) * PIECE, b"\0") for r, c in zip(rows, count)]), "<u8").reshape(-1, PIECE // 8)
+    crc = np.zeros(len(data), np.uint32)
+    for step in range(PIECE // 8):
+        x = data[:, step] ^ crc
+        crc = EIGHT[7][x & np.uint64(255)]
+        for j in range(1, 8):
+            crc = crc ^ EIGHT[7 - j][(x >> np.uint64(8 * j)) & np.uint64(255)]
+    level = PIECE.bit_length() - 1
+    while count.max(initial=1) > 1:
+        odd = np.flatnonzero(count % 2)
+        crc = np.insert(crc, (np.cumsum(count) - count)[odd], 0)
+        count = (count + 1) // 2
+        crc = _move(ZEROS[level], crc[::2]) ^ crc[1::2]
+        level += 1
+    start = np.full(len(rows), 0xFFFFFFFF, np.uint32)
+    for bit in range(int(sizes.max(initial=0)).bit_length()):
+        has = (sizes >> bit) & 1 == 1
+        start[has] = _move(ZEROS[bit], start[has])
+    return crc ^ start ^ np.uint32(0xFFFFFFFF)
 
 
 def masked(crc: np.ndarray) -> np.ndarray:
@@ -99,33 +121,49 @@ def frames(payloads: list[bytes]) -> list[bytes]:
 class WordEncoder:
     """Ids of a tokenizers model whose texts can be encoded word by word: white space only parts words and leaves no id.
 
-    Words are runs between ASCII white space, so other white space stays inside a word and is left to the library.
+    Words are runs between ASCII white space, so other white space stays inside a word and is left to the library. The new words
+    of a chunk are encoded in one call, with SIGN between them, whose ids tell where each ends.
     """
 
+    SIGN = "\u2042"
+
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
+        self.store = Store(self.kind)
         both = [self.library.encode(t, add_special_tokens=False).ids for t in ("a b", "a", "b", " \n\t\r\x0b\x0c")]
         if both[0] != both[1] + both[2] or both[3]:
             raise ValueError("this tokenizer cannot be applied word by word")
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
-        if len(self.known) + len(new) > CACHE:
-            self.known = {w: self.known[w] for words in split for w in words if w in self.known}
-        fresh = list(new)
-        coded = self.library.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        known = self.known
-        rare = {}
-        for word, e in zip(fresh, coded):
-            (known if len(word) <= LONG_WORD else rare)[word] = np.array(e.ids, self.kind).tobytes()
-        if rare:
-            known = {**known, **rare}
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.sign = self.library.encode(self.SIGN, add_special_tokens=False).ids
+
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        joined = f" {self.SIGN} ".join([w.decode() for w in words])
+        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+        k = len(self.sign)
+        hit = np.ones(max(len(ids) - k + 1, 0), bool)
+        for j, i in enumerate(self.sign):
+            hit &= ids[j:len(hit) + j] == i
+        at = np.flatnonzero(hit)
+        if len(at) != len(words) - 1 or (np.diff(at) < k).any():
+            # A word holds the sign itself.
+            each = [e.ids for e in self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+            return np.array([i for e in each for i in e], self.kind), np.array([len(e) for e in each], np.int64)
+        size = np.diff(np.concatenate([[-k], at, [len(ids)]])) - k
+        keep = np.ones(len(ids), bool)
+        for j in range(k):
+            keep[at + j] = False
+        return ids[keep].astype(self.kind), size
+
+    def encode(self, chunk: grid.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a chunk's texts, and the number of each text."""
+        start, end, row = chunk.words()
+        word, first, back = np.unique(chunk.span(chunk.prefix(), start, end), return_index=True, return_inverse=True)
+        at, size = self.store.find(word, lambda new: self._learn([chunk.data[start[i]:end[i]].tobytes() for i in first[new]]))
+        each = size[back]
+        return self.store.values[ragged(at[back], each)], np.bincount(row, weights=each, minlength=chunk.rows).astype(np.int64)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -160,9 +198,10 @@ def write(df: DataFrame, tokenizer: str, folder: str | None = None, end_id: int
         place, before, out = 0, 0, None
         try:
             for batch in batches:
-                for chunk in grid.chunks(batch.column(1), 1 << 20):
-                    texts = [chunk.data[a:b].tobytes() for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:])]
-                    payloads = [p + end for p in tokens.encode(texts)]
+                for chunk in grid.chunks(batch.column(1), 1 << 21):
+                    ids, number = tokens.encode(chunk)
+                    flat, ends = ids.tobytes(), np.cumsum(number) * width
+                    payloads = [flat[b - n * width:b] + end for b, n in zip(ends.tolist(), number.tolist())]
                     out = out or system.open_output_stream(name)
                     out.write(b"".join(frames(payloads)))
                     number = np.array([len(p) // width for p in payloads], np.int64)

@@ -36,7 +36,7 @@ from ledgerlens.llm.components import components
 PERCENT = 80
 # Tokens of the lowest 30 % of hashes are counted.
 COUNTED = int(0.3 * 2 ** 64)
-HOT, MOST_HOT = 64, 1 << 20
+HOT, MOST_HOT = 8, 1 << 20
 STARS = 3
 GROUP = 64
 

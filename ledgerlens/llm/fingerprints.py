@@ -3,8 +3,8 @@
 Each run of five words is hashed once; the top bits of the hash name one of BINS bins, and a bin keeps its least hash.
 Empty bins are filled by optimal densification: bin i asks other bins in an order that depends on i alone until it
 finds a filled one. The first ROUNDS bins it asks are drawn by hash; after them, all filled bins are ranked by the hash
-of the pair, which is a draw without end that always finds one. Of each bin the lowest BITS bits are kept, one hex digit, so
-a fingerprint is a string of BINS digits.
+of the pair, which is a draw without end that always finds one. Of each bin's hash, mixed with the bin's number so that
+a borrowed hash shows other bits in every bin, the lowest BITS bits are kept, one hex digit: a fingerprint is a string of BINS digits.
 
 Likeness is the share of equal digits, corrected for digits equal by chance: (share - 2^-BITS) / (1 - 2^-BITS), within 0 and 1.
 
@@ -84,7 +84,7 @@ def fingerprint(text: Column) -> Column:
     digits = F.array(*[F.lit(f"{d:x}") for d in range(1 << BITS)])
 
     def pack(shingles: Column) -> Column:
-        packed = F.array_join(F.transform(densify(bins(shingles)), lambda x: F.get(digits, x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))), "")
+        packed = F.array_join(F.transform(densify(bins(shingles)), lambda x, i: F.get(digits, F.xxhash64(x, i).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))), "")
         return F.when(F.size(shingles) > 0, packed).otherwise(F.lit(""))
 
     return let(_shingles(text), pack)

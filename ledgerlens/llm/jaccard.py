@@ -208,7 +208,7 @@ def links(table: DataFrame, percent: int = PERCENT) -> DataFrame:
     asked = query.join(group, "token").where(smaller & in_size).select("sid", "n", "gid").distinct()
     asked = saved(asked, "asked")
 
-    def unite(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def unite(key, frame):
         union = np.unique(np.concatenate([np.frombuffer(t, grid.U) for t in frame["tokens"]]))
         return pd.DataFrame({"gid": [key[0]], "union": [union.tobytes()]})
 

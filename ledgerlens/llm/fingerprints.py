@@ -122,14 +122,18 @@ def with_next_half(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Columns id_col, text, edited and next_id. Of several rows of one id each is edited by itself; the least text stands for the id
     when it is the next one. A null id has no next text.
     """
-    rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    every = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # Both joins below are inner ones on the same rows and key, so the texts are shuffled once.
+    rows = every.where(F.col(id_col).isNotNull())
     halves = df.groupBy(id_col).agg(F.max(F.floor(F.char_length(F.coalesce(F.col(text_col), F.lit(""))) / 2).cast("int")).alias("__half"))
     before = saved(successors(df, id_col).join(halves, id_col).select(F.col("__next").alias(id_col), F.col(id_col).alias("__before"), "__half"), "order")
     # Only the part that the text before needs goes on to the second shuffle.
     part = rows.join(before, id_col).select("__before", F.col(id_col).alias("next_id"), F.substring("text", F.lit(1), F.col("__half")).alias("__start"))
     part = part.groupBy("__before").agg(F.min("__start").alias("__start"), F.min("next_id").alias("next_id"))
-    joined = rows.join(part, F.col(id_col) == F.col("__before"), "left")
+    joined = rows.join(part, F.col(id_col) == F.col("__before"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - half), F.coalesce(F.substring("__start", F.lit(1), half), F.lit("")))
-    return joined.select(id_col, "text", edited.alias("edited"), "next_id")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("__start", F.lit(1), half))
+    nameless = every.where(F.col(id_col).isNull())
+    alone = nameless.select(id_col, "text", F.substring("text", F.lit(1), n - half).alias("edited"), F.col(id_col).alias("next_id"))
+    return joined.select(id_col, "text", edited.alias("edited"), "next_id").union(alone)

@@ -143,14 +143,15 @@ FROM captures LEFT JOIN hits USING (page_id)"""
 @query
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.with_next_half(documents(spark, sf_dir))
-    both = rows.select("doc_id", "next_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       fingerprints.fingerprint(F.col("text")).alias("fingerprint"), fingerprints.fingerprint(F.col("edited")).alias("edited_fingerprint"))
-    both = saved(both, "fingerprints")
-    after = both.groupBy(F.col("doc_id").alias("__id")).agg(F.min("fingerprint").alias("__next"))
+    own, edited = fingerprints.fingerprint(F.col("text")), fingerprints.fingerprint(F.col("edited"))
+    # Between the steps a fingerprint is binary, half as long as its hex form.
+    both = saved(rows.select("doc_id", "next_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                             F.unhex(own).alias("own"), F.unhex(edited).alias("edited")), "fingerprints")
+    after = both.groupBy(F.col("doc_id").alias("__id")).agg(F.min("own").alias("__next"))
     near = both.join(after, F.col("next_id") == F.col("__id"), "left")
-    return near.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                       fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                       fingerprints.likeness(F.col("fingerprint"), F.col("__next")).alias("near_next"))
+    own, edited, next_ = (F.lower(F.hex(c)) for c in ("own", "edited", "__next"))
+    return near.select("doc_id", "n_chars", "edited_sha256", own.alias("fingerprint"), edited.alias("edited_fingerprint"),
+                       fingerprints.likeness(own, edited).alias("near_edited"), fingerprints.likeness(own, next_).alias("near_next"))
 
 
 @query

@@ -6,7 +6,8 @@ without blanks at their ends, by 64-bit hash.
 
 Counting shuffles (site, hash) pairs, summed per task first, so a large site or a line on all pages is no hot spot. A site has
 at most (lines per page / RATIO) boilerplate lines, so their hashes fit one array for each site; each page's lines are
-filtered in place, and no text is taken apart in a shuffle.
+filtered in place, and no text is taken apart in a shuffle. The table of them is broadcast when it holds at most BROADCAST
+hashes and letters; a larger one is joined with salted sites.
 
 Null texts stay null and have no lines; a null site is a site of its own; repeated rows count as pages each. Other columns
 are kept; result columns n_lines and n_dropped replace columns of those names.
@@ -17,8 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import saved
+
 RATIO = 0.1
 LEAST = 5
+BROADCAST = 1_000_000
+SALTS = 64
 
 # Elements whose content is no text, and tags that end a line (fixed values of HTML).
 UNSEEN = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>|<!--.*?-->"
@@ -55,8 +60,16 @@ def boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO, least
 
 def drop_boilerplate(df: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """df with the boilerplate lines taken out of the text, n_lines (lines with a word before) and n_dropped."""
-    common = boilerplate(df, site, text, ratio, least)
-    rows = df.drop("n_lines", "n_dropped").join(common, df[site].eqNullSafe(common["__site"]), "left")
+    common = saved(boilerplate(df, site, text, ratio, least), "boilerplate")
+    rows = df.drop("n_lines", "n_dropped")
+    held = common.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("__lines") + F.length(F.coalesce("__site", F.lit("")))), F.lit(0))).first()
+    if held[1] + held[0] <= BROADCAST:
+        rows = rows.join(F.broadcast(common), rows[site].eqNullSafe(common["__site"]), "left")
+    else:
+        # Too much for every executor: the pages of a site go to SALTS tasks, and so does a copy of its lines.
+        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(text), F.lit(SALTS)))
+        copies = common.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.join(copies, rows[site].eqNullSafe(copies["__site"]) & (F.col("__salt") == F.col("__part")), "left")
     worded = lambda lines: F.coalesce(F.size(F.filter(lines, lambda x: _bare(x) != "")), F.lit(0)).cast("long")
     lines = F.split(F.col(text), "\n")
     none = F.array().cast("array<bigint>")

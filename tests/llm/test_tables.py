@@ -31,7 +31,9 @@ def test_query_equals_its_twin(spark, name):
     assert counted(tuple(r[c] for c in order) for r in found.collect()) == counted(want.select(*order).fetchall())
 
 
-def test_line_dedup(frame, odd_rows):
+@pytest.mark.parametrize("broadcast", [lines.BROADCAST, 0])
+def test_line_dedup(frame, odd_rows, monkeypatch, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST", broadcast)
     rows = odd_rows + [(500 + i, f"site menu\n{prose(i, 12)}\n\n site menu \nonce {i}", "en", "menu" if i < 20 else "tiny") for i in range(23)]
     pages, held = Counter(), defaultdict(Counter)
     for _, t, _, s in rows:

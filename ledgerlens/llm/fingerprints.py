@@ -92,8 +92,7 @@ def fingerprint(text: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated share of common shingles (Jaccard) of two fingerprints."""
-    at = F.sequence(F.lit(1), F.lit(BINS))
-    equal = F.size(F.filter(at, lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1)))) / BINS
+    equal = F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x == y), lambda same: same)) / BINS
     chance = 2.0 ** -BITS
     estimate = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (equal - chance) / (1 - chance)))
     return F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(estimate)

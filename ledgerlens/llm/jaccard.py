@@ -3,16 +3,20 @@
 A text's set is its distinct five-word shingles (ASCII letters in lower case), as 64-bit hashes. Texts with equal sets are one node.
 
 Shared tokens. Order all tokens the same way; two sets with a Jaccard of t share a token among the first n - ceil(t n) + 1
-of each. The order is by hash, but the tokens found in very many texts (HOT, at most MOST_HOT of them, so they can be broadcast) go
-last, rare ones first. Any such order loses no pair. All tokens with a hash below COUNTED are counted over the whole corpus; of
-these only tokens that occur twice go on (bloom.py), the others go on unseen.
+of each, their prefixes. The order is by hash, but the tokens found in very many texts (HOT, at most MOST_HOT of them, so they can be
+broadcast) go last, rare ones first. Any such order loses no pair. All tokens with a hash below COUNTED are counted over the whole
+corpus; of these only tokens that occur twice go on (bloom.py), the others go on unseen.
 
-Stars. Every node is compared with one other, the one most of its tokens name as their least; links join nodes to families. A few rounds
-bring copies and near copies of one text together with one comparison a node and round, however large the family.
+Bound. Of a pair, take the set whose prefix ends first. All tokens that the other set shares with this prefix lie in the
+other's prefix too, so the overlap is at most the tokens shared by the prefixes plus the rest of the set. Pairs whose prefixes share too few
+tokens for a Jaccard of t are left out without looking at their sets. That keeps apart texts that only share a passage.
 
-Matrix. What is left are pairs of different families that share a token. Families are cut into groups of about GROUP nodes; a
-group's row is the union of its members' sets. A query node of the smaller family meets a group if they share a token and fit in size; the
-overlap with the group's union bounds the overlap with each member, and only groups where it reaches t of the query are opened, that is,
+Stars. Every node is compared with the nodes that most of its tokens name as their least (STARS different leasts); links join nodes to
+families. That brings copies and near copies of one text together with a few comparisons a node, however large the family.
+
+Matrix. What is left are pairs of different families that share a token. Families are cut into groups of about GROUP nodes; the matrix
+holds for each group the union of its members' prefix tokens, their range of sizes and of prefix ends. A query node of the smaller family counts its
+prefix tokens in the group's union, which bounds the overlap with every member as above; only groups that can reach t are opened, that is,
 compared member by member. Pairs inside a family need no comparison: they are connected already.
 
 Exact, up to collisions of 64-bit hashes. Null, empty and wordless texts have no set and are linked with nothing; texts with fewer than five words have one
@@ -24,9 +28,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bloom, grid
@@ -70,7 +73,8 @@ def _prefix(n: int, percent: int) -> int:
 
 
 def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """__id, n, sid (hash of the set), hits (tokens that may join it with others), tokens (the set, binary; null without hits)."""
+    """__id, n, sid (hash of the set), hits (prefix tokens that may join it with others), end_n and end_t (place of the prefix' last
+    token in the order of tokens)."""
     spark = df.sparkSession
     texts = df.select(F.col(text_col).alias("__text"))
 
@@ -106,20 +110,25 @@ def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> Data
                 is_hot = hot_token[at] == flat if len(hot_token) else np.zeros(len(flat), bool)
                 size = np.array([len(t) for t in found])
                 ends = np.cumsum(size)
-                sums = np.concatenate([[0], np.cumsum(grid.mix(flat ^ grid.U(0x51D)), dtype=grid.U)]).astype(grid.U)
-                sid = grid.mix((sums[ends] - sums[ends - size]) ^ grid.mix(size.astype(grid.U)))
-                first = []
+                sid = _sid(flat, size)
+                first, ends_n, ends_t = [], [], []
                 for t, e, n in zip(found, ends, size.tolist()):
                     wanted = _prefix(n, percent) if n else 0
-                    heavy_here = is_hot[e - n:e]
+                    heavy_here, last_n = is_hot[e - n:e], 0
                     if heavy_here[:wanted].any():
                         pre = t[~heavy_here][:wanted]
                         if len(pre) < wanted:
                             rest = np.flatnonzero(heavy_here)
-                            pre = np.concatenate([pre, t[rest[np.argsort(hot_count[at[e - n:e][rest]], kind="stable")]][:wanted - len(pre)]])
+                            number = hot_count[at[e - n:e][rest]]
+                            taken = np.argsort(number, kind="stable")[:wanted - len(pre)]
+                            last_n = int(number[taken[-1]])
+                            pre = np.concatenate([pre, t[rest[taken]]])
                     else:
                         pre = t[:wanted]
                     first.append(pre)
+                    ends_n.append(last_n)
+                    # Unsigned hashes in signed order.
+                    ends_t.append(int(pre[-1]) - (1 << 63) if wanted else 0)
                 flat = np.concatenate(first) if first else flat
                 of = np.repeat(np.arange(len(first)), [len(p) for p in first])
                 passed = flat >= grid.U(COUNTED)
@@ -131,9 +140,33 @@ def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(chunk.first, chunk.rows), pa.array(size, pa.int64()), pa.array(sid.view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))),
-                     pa.array([t.tobytes() if k else None for t, k in zip(found, number)], pa.binary())], ["__id", "n", "sid", "hits", "tokens"])
+                     pa.array(ends_n, pa.int64()), pa.array(ends_t, pa.int64())], ["__id", "n", "sid", "hits", "end_n", "end_t"])
+
+    return saved(rows.mapInArrow(list_, f"__id {kind}, n long, sid long, hits array<long>, end_n long, end_t long"), "nodes")
+
+
+def _sid(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of each of the sets that lie one after another in flat."""
+    ends = np.cumsum(size)
+    sums = np.concatenate([np.zeros(1, grid.U), np.cumsum(grid.mix(flat ^ grid.U(0x51D)), dtype=grid.U)])
+    return grid.mix((sums[ends] - sums[ends - size]) ^ grid.mix(size.astype(grid.U)))
+
+
+def _tokens(df: DataFrame, text_col: str, needed: DataFrame) -> DataFrame:
+    """sid and tokens (binary) of the needed nodes (sid), made again from the texts: far less to store than all sets."""
+    needed = saved(needed.distinct(), "needed")
+    wanted = bloom.build(needed, "sid", needed.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in grid.chunks(batch.column(0), 1 << 21):
+                found = sets(chunk)
+                sid = _sid(np.concatenate(found), np.array([len(t) for t in found])) if found else np.zeros(0, grid.U)
+                _, once = np.unique(sid, return_index=True)
+                once = once[bloom.test(wanted.value, sid[once])]
+                yield pa.RecordBatch.from_arrays([pa.array(sid[once].view(np.int64)), pa.array([found[i].tobytes() for i in once], pa.binary())], ["sid", "tokens"])
 
-    return saved(rows.mapInArrow(list_, f"__id {kind}, n long, sid long, hits array<long>, tokens binary"), "sets")
+    return df.select(F.col(text_col).alias("__text")).mapInArrow(run, "sid long, tokens binary").groupBy("sid").agg(F.any_value("tokens").alias("tokens"))
 
 
 def _verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -163,77 +196,73 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def _fit(n, m, percent: int):
+def _fit(n: Column, m: Column, percent: int) -> Column:
     """Sizes that a linked pair can have."""
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def _families(places: DataFrame, links: DataFrame | None) -> DataFrame:
-    """places (token, sid, n) with the family of each node."""
-    if links is None:
-        return places.withColumn("family", F.col("sid"))
-    found = components(links)
-    return places.join(found, F.col("sid") == F.col("node"), "left").withColumn("family", F.coalesce("component", "sid")).select("token", "sid", "n", "family")
+def _need(n: Column, m: Column, first: Column, percent: int) -> Column:
+    """Tokens that the prefixes of a pair of sizes n and m must share; `first`: the prefix of n ends before that of m.
 
+    The overlap of a linked pair is at least t (n + m) / (1 + t). The rest of a set after its prefix has ceil(t n) - 1 tokens.
+    """
+    overlap = F.ceil(F.lit(percent) * (n + m) / F.lit(100.0 + percent) - 1e-9)
+    rest = F.ceil(F.lit(percent) * F.when(first, n).otherwise(m) / F.lit(100.0) - 1e-9) - 1
+    return F.greatest(F.lit(1), overlap - rest)
 
-def links(table: DataFrame, percent: int = PERCENT) -> DataFrame:
+
+def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes of a table from _sets_table: enough of them that every linked pair is connected."""
-    tokens = table.where(F.col("tokens").isNotNull()).groupBy("sid").agg(F.any_value("tokens").alias("tokens"))
-    places = table.select("sid", "n", F.explode("hits").alias("token")).distinct()
+    places = table.select("sid", "n", F.struct("end_n", "end_t").alias("end"), F.explode("hits").alias("token")).distinct()
     several = places.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("token")
-    places = saved(places.join(several, "token", "left_semi").select("token", "sid", "n"), "places")
-    found = None
-    families = places.withColumn("family", F.col("sid"))
-    for round_ in range(STARS):
-        # The star of a token: the node with the least hash, another in each round.
-        star = families.groupBy("token").agg(F.min(F.struct(F.xxhash64("sid", F.lit(round_)), "sid", "n", "family")).alias("s"))
-        named = families.join(star, "token").where((F.col("s.family") != F.col("family")) & _fit(F.col("n"), F.col("s.n"), percent))
-        votes = named.groupBy(F.col("sid").alias("a"), F.col("s.sid").alias("b")).agg(F.count(F.lit(1)).alias("k"))
-        best = votes.groupBy("a").agg(F.max(F.struct("k", "b")).alias("s")).select("a", F.col("s.b").alias("b"))
-        new = saved(_verify(best, tokens, percent), "stars")
-        found = new if found is None else found.union(new)
-        families = saved(_families(places, found), "families")
+    places = saved(places.join(several, "token", "left_semi").select("token", "sid", "n", "end"), "places")
+    # The stars of a token: the nodes with the least hash under several hashes.
+    least = [F.min(F.struct(F.xxhash64("sid", F.lit(r)).alias("h"), "sid", "n", "end")).alias(f"s{r}") for r in range(STARS)]
+    stars = places.groupBy("token").agg(*least).select("token", F.explode(F.array(*[f"s{r}" for r in range(STARS)])).alias("s")).select("token", "s.*")
+    stars = stars.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("end").alias("b_end")).distinct()
+    named = places.join(stars, "token").where((F.col("sid") != F.col("b")) & _fit(F.col("n"), F.col("m"), percent))
+    votes = named.groupBy(F.col("sid").alias("a"), "b", "n", "m", (F.col("end") <= F.col("b_end")).alias("first")).agg(F.count(F.lit(1)).alias("k"))
+    # Half of the needed votes is enough to try: this step may miss pairs, the next one finds them.
+    tried = votes.where(2 * F.col("k") >= _need(F.col("n"), F.col("m"), F.col("first"), percent))
+    best = tried.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("k", "b")), asc=False), 1, STARS).alias("s"))
+    pairs = best.select("a", F.explode("s.b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = saved(pairs, "stars")
+    tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
+    found = saved(_verify(pairs, tokens, percent), "linked")
+    named = components(found)
+    families = places.join(named, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "end", F.coalesce("component", "sid").alias("family"))
     # Tokens that still lie in several families.
     open_ = families.groupBy("token").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("token")
     left = saved(families.join(open_, "token", "left_semi"), "open")
-    members = left.select("sid", "n", "family").distinct()
+    members = left.select("sid", "n", "end", "family").distinct()
     sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
     part = F.pmod(F.xxhash64("sid", F.lit(-1)), F.ceil(F.col("size") / GROUP))
     grouped = saved(members.join(sizes, "family").withColumn("gid", F.xxhash64("family", part)), "groups")
     rows = left.select("token", "sid").join(grouped, "sid")
-    query = rows.select("token", "sid", "n", "family", "size")
-    group = rows.groupBy("token", "gid", F.col("family").alias("g_family"), F.col("size").alias("g_size")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    matrix = rows.select("token", "gid").distinct()
+    group = grouped.groupBy("gid").agg(
+        F.first("family").alias("g_family"), F.first("size").alias("g_size"), F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min("end").alias("g_first"), F.max("end").alias("g_last"))
     smaller = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("family") < F.col("g_family")))
     in_size = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent)
-    asked = query.join(group, "token").where(smaller & in_size).select("sid", "n", "gid").distinct()
-    asked = saved(asked, "asked")
-
-    def unite(key, frame):
-        union = np.unique(np.concatenate([np.frombuffer(t, grid.U) for t in frame["tokens"]]))
-        return pd.DataFrame({"gid": [key[0]], "union": [union.tobytes()]})
-
-    wanted = grouped.join(asked.select("gid").distinct(), "gid", "left_semi").select("gid", "sid")
-    matrix = wanted.join(tokens, "sid").groupBy("gid").applyInPandas(unite, "gid long, union binary")
-
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), grid.U), np.frombuffer(y.as_buffer(), grid.U)
-                good.append(100 * _overlap(x, y) >= percent * len(x))
-            mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["sid", "gid"])
-
-    met = asked.join(tokens, "sid").join(matrix, "gid").select("sid", "gid", "tokens", "union").mapInArrow(bound, "sid long, gid long")
-    opened = saved(met, "opened").join(grouped.select("gid", F.col("sid").alias("b"), F.col("n").alias("m")), "gid")
-    pairs = opened.join(grouped.select("sid", "n"), "sid").where(_fit(F.col("n"), F.col("m"), percent)).select(F.col("sid").alias("a"), "b").distinct()
+    met = rows.select("token", "sid", "n", "end", "family", "size").join(matrix.join(group, "gid"), "token").where(smaller & in_size)
+    counted = met.groupBy("sid", "gid", "n", "end", "low", "high", "g_first", "g_last").agg(F.count(F.lit(1)).alias("k"))
+    # What the query must share with a member that ends after it grows with the member's size, with one that ends before it falls.
+    n = F.col("n")
+    small, large = F.greatest("low", F.ceil(n * percent / 100.0 - 1e-9)), F.least("high", F.floor(n * 100.0 / percent + 1e-9))
+    after = F.when(F.col("end") <= F.col("g_last"), _need(n, small, F.lit(True), percent))
+    before = F.when(F.col("end") > F.col("g_first"), _need(n, large, F.lit(False), percent))
+    opened = counted.where(F.col("k") >= F.least(after, before)).select("sid", "gid")
+    pairs = opened.join(grouped.select("gid", F.col("sid").alias("b"), F.col("n").alias("m")), "gid").join(grouped.select("sid", "n"), "sid")
+    pairs = saved(pairs.where(_fit(F.col("n"), F.col("m"), percent)).select(F.col("sid").alias("a"), "b").distinct(), "opened")
+    tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
     return saved(found.union(_verify(pairs, tokens, percent)), "links")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of df: id_col, n_shingles, component_id (least id of the texts connected by links)."""
     table = _sets_table(df, id_col, text_col, percent)
-    found = components(links(table, percent))
+    found = components(links(df, text_col, table, percent))
     nodes = table.where("n > 0").groupBy("sid").agg(F.min("__id").alias("least"))
     whole = nodes.join(found, F.col("sid") == F.col("node"), "left").select("sid", "least", F.coalesce("component", "sid").alias("component"))
     ids = whole.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -25,7 +25,7 @@ from ledgerlens.llm.common import saved, word_count
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK = 32
-SHARD_ROWS = 20_000
+SHARD_ROWS = 1_000
 SEED = 7
 
 

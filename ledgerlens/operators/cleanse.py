@@ -119,7 +119,7 @@ def reject_stats(df: DataFrame, as_of, key: str = "transaction_id") -> DataFrame
     )
 
 
-def dedup_latest(df: DataFrame, key: str = "transaction_id", order: str = "ingestion_timestamp",
+def dedup_latest(df: DataFrame, key: str | list[str] = "transaction_id", order: str = "ingestion_timestamp",
                  tie_break: list[str] | None = None) -> DataFrame:
     """The newest row per key; ties fall to the given columns, newest first.
 
@@ -127,7 +127,7 @@ def dedup_latest(df: DataFrame, key: str = "transaction_id", order: str = "inges
     so a re-run keeps the same one.
     """
     ties = [F.col(c).desc_nulls_last() for c in tie_break] if tie_break else [F.xxhash64(*[F.col(c) for c in sorted(df.columns)])]
-    return distinct_on(df, [key], [F.col(order).desc_nulls_last(), *ties])
+    return distinct_on(df, [key] if isinstance(key, str) else key, [F.col(order).desc_nulls_last(), *ties])
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType = S.SILVER) -> DataFrame:

@@ -18,6 +18,11 @@ def calendar(spark: SparkSession, first="2020-01-01", last="2030-12-31") -> Data
     return spark.range(1).select(F.explode(span).alias("date"))
 
 
+def calendar_of_keys(df: DataFrame, key: str = "time_sk") -> DataFrame:
+    """The days that a table has rows of, from its yyyymmdd key: with the key as partition column, no data is read."""
+    return df.select(key).where(F.col(key).isNotNull()).distinct().select(F.to_date(F.col(key).cast("string"), "yyyyMMdd").alias("date"))
+
+
 def calendar_of(df: DataFrame, column: str) -> DataFrame:
     """The calendar that spans a time column of a table."""
     span = df.agg(F.to_date(F.min(column)).alias("first"), F.to_date(F.max(column)).alias("last"))
@@ -176,6 +181,19 @@ def scd2_from_days(history: DataFrame, daily: DataFrame, key: str = "user_id",
     return history.where(~is_open).unionByName(versions.select(*history.columns))
 
 
+def scd2_rebuild(history: DataFrame, daily: DataFrame, first_day, key: str = "user_id",
+                 tracked: tuple[str, ...] = ("email_hash", "risk_tier", "country_code"), day: str = "partition_date") -> DataFrame:
+    """The history made anew from a day on; `daily` holds the profiles of all days from `first_day`.
+
+    What the history says up to `first_day` stays, the version open at that time is taken up
+    again. So days may come in any order and grouping and be repeated: the result is that of
+    all days at once.
+    """
+    start = day_literal(first_day).cast("timestamp")
+    known = history.where(F.col("valid_from") < start).withColumn("valid_to", F.when(F.col("valid_to") < start, F.col("valid_to")))
+    return scd2_from_days(known, daily.where(F.col(day) >= day_literal(first_day)), key, tracked, day)
+
+
 def profile_for_history(staged: DataFrame, *extra: str) -> DataFrame:
     """Staged users as history input: a missing hash is derived, a missing tier is low."""
     return staged.select(

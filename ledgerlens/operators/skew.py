@@ -4,54 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Heavy keys are looked for among the largest HEAVY_KEYS keys only. Any other key
-# holds at most 1/HEAVY_KEYS of the rows, so this bound costs no correctness: it
-# only decides which keys are spread over several tasks.
-HEAVY_KEYS = 200
-# A key below this number of rows fits one task and is never spread.
+# A key below this number of rows fits one task and is never spread. There are at most
+# rows / HEAVY_ROWS heavy keys (200,000 for 10^12 rows), so their list can be broadcast.
 HEAVY_ROWS = 5_000_000
 
 
-def heavy_keys(counts: DataFrame, key: str, n: str = "n", *, limit: int = HEAVY_KEYS, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """The heaviest keys of a (key, row count) table: at most `limit` rows."""
-    return counts.where((F.col(n) >= min_rows) & F.col(key).isNotNull()).orderBy(F.col(n).desc(), key).limit(limit).select(key)
+def heavy_keys(counts: DataFrame, key: str, n: str = "n", *, min_rows: int = HEAVY_ROWS) -> DataFrame:
+    """All keys of a (key, row count) table with at least `min_rows` rows, and the tasks that each needs."""
+    return counts.where((F.col(n) >= min_rows) & F.col(key).isNotNull()).select(key, F.ceil(F.col(n) / min_rows).cast("int").alias("parts"))
 
 
 def count_per_key(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, heavy: DataFrame, spread_by: Column, salts: int = 64,
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, heavy: DataFrame, spread_by: Column, null_parts: int = 64,
                 hot: Column | None = None) -> DataFrame:
-    """Equi join where the heavy keys of `left` go to `salts` tasks each.
+    """Equi join where each heavy key of `left` goes to as many tasks as its row count asks for.
 
-    `right` holds one row per key; only its heavy rows are copied `salts` times. The
-    list of heavy keys is bounded and broadcast. `hot` may say on the right side alone
-    which rows to copy (any superset of the list), which saves looking the list up there.
+    `right` holds one row per key; only its heavy rows are copied. The list of heavy keys
+    is bounded and broadcast. `hot` may give the copies of a right row from that row alone
+    (the list's number, NULL for light keys), which saves looking the list up there.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join keeps every left row once, so it does inner and left joins only")
-    marks = F.broadcast(heavy.select(F.col(key).alias("_heavy_key")))
-    listed = F.col("_heavy_key").isNotNull()
+    marks = F.broadcast(heavy.select(F.col(key).alias("_heavy_key"), F.col("parts").alias("_parts")))
     # NULL keys match nothing, but a left join keeps them and would shuffle them to one task.
-    wide = listed | F.col(key).isNull()
+    parts = F.coalesce("_parts", F.when(F.col(key).isNull(), F.lit(null_parts)), F.lit(1))
     spread = (left.join(marks, F.col(key) == F.col("_heavy_key"), "left")
-              .withColumn("_salt", F.when(wide, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-              .drop("_heavy_key"))
-    marked = right if hot is not None else right.join(marks, F.col(key) == F.col("_heavy_key"), "left")
-    every, one = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
-    copies = marked.withColumn("_salt", F.explode(F.when(listed if hot is None else hot, every).otherwise(one)))
-    return spread.join(copies.drop("_heavy_key"), [key, "_salt"], how).drop("_salt")
+              .withColumn("_salt", F.pmod(F.xxhash64(spread_by), parts).cast("int"))
+              .drop("_heavy_key", "_parts"))
+    marked = right.withColumn("_parts", hot) if hot is not None else right.join(marks, F.col(key) == F.col("_heavy_key"), "left").drop("_heavy_key")
+    copies = marked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return spread.join(copies, [key, "_salt"], how).drop("_salt")
 
 
 def time_cuts(df: DataFrame, key: str, micros: Column, heavy: DataFrame, pieces: int = 256) -> DataFrame:
     """For each heavy key, time points that split its rows into pieces of about equal size.
 
-    At most HEAVY_KEYS rows. The points come from a mergeable quantile sketch, so
+    One row per heavy key. The points come from a mergeable quantile sketch, so
     they are pre-aggregated before the shuffle; they steer balance, not results.
     """
     points = [i / pieces for i in range(1, pieces)]
-    rows = df.select(F.col(key), micros.alias("_us")).join(F.broadcast(heavy), key, "left_semi")
+    rows = df.select(F.col(key), micros.alias("_us")).join(F.broadcast(heavy.select(key)), key, "left_semi")
     return rows.groupBy(key).agg(F.array_distinct(F.percentile_approx("_us", points, pieces * 10)).alias("_cuts"))
 
 

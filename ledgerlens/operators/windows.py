@@ -43,7 +43,7 @@ def rolling_count_per_second(df: DataFrame, key: str, ts: str, counted: str, sec
 def rolling_count(df: DataFrame, key: str = "user_id", ts: str = "timestamp", counted: str = "transaction_id",
                   seconds: int = 60, output: str = "rolling_count", at_least: int | None = None,
                   tile_seconds: int | None = None) -> DataFrame:
-    """Every row with the number of rows of its key in the last `seconds` seconds.
+    """Every row with the number of rows of its key in the last `seconds` seconds, NULL for a row without key or time.
 
     With `at_least`, only rows that reach that number; the filter runs before the
     rows are joined back, so the join's small side is the hits alone.
@@ -53,7 +53,7 @@ def rolling_count(df: DataFrame, key: str = "user_id", ts: str = "timestamp", co
         counts = counts.where(F.col("rolling") >= at_least)
     counts = counts.withColumnRenamed("rolling", output)
     rows = df.withColumn("_second", F.col(ts).cast("timestamp").cast("long"))
-    return rows.join(counts, [key, "_second"], "inner").drop("_second")
+    return rows.join(counts, [key, "_second"], "left" if at_least is None else "inner").drop("_second")
 
 
 def lag_previous(df: DataFrame, key: str, ts: str, tie_break: str, columns: list[str], output: str = "_prev",

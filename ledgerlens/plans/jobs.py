@@ -9,10 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ledgerlens import schemas as S
-from ledgerlens.functions.scalars import instant, surrogate_key
+from ledgerlens.functions.scalars import instant, surrogate_key, time_key
 from ledgerlens.operators import cleanse, forest, model, quality, rules
 from ledgerlens.plans.layout import Lake
-from ledgerlens.session import materialize_scratch
+from ledgerlens.session import scratch
 from ledgerlens.sources import scans, sinks
 
 
@@ -40,7 +40,8 @@ def _many(date: str | list[str]) -> bool:
 
 def run_bronze_ingest(spark: SparkSession, root: str, date: str | list[str], hours: int | str | list | None = None, *, as_of=None,
                       raw_root: str | None = None) -> dict:
-    """Land one or more hours of raw lines in bronze; without `hours`, whole days.
+    """Land one or more hours of raw lines in bronze; without `hours`, whole days. Hours asked
+    for that were never landed are counted as `missing_folders`.
 
     Several dates go through one read; each line's day is then that of its folder.
     """
@@ -48,6 +49,7 @@ def run_bronze_ingest(spark: SparkSession, root: str, date: str | list[str], hou
     dates = date if isinstance(date, list) else [date]
     wanted = None if hours is None else hours if isinstance(hours, list) else [hours]
     paths = [p for d in dates for p in scans.landed_folders(spark, raw_root or root, d, wanted)]
+    missing = [p for d in dates for p in scans.missing_folders(spark, raw_root or root, d, wanted)] if wanted is not None else []
     raw = scans.scan_raw_jsonl(spark, paths) if paths else spark.createDataFrame([], "raw_data string, source_file string")
     seen = Observation()
     counted = raw.observe(seen, F.count("*").alias("lines"))
@@ -57,7 +59,7 @@ def run_bronze_ingest(spark: SparkSession, root: str, date: str | list[str], hou
         bronze = bronze.withColumn("partition_date", scans.landing_day("source_file"))
     rows = sinks.write_bronze(bronze, lake.bronze, many_days=len(dates) > 1)
     return _finish(spark, lake, "bronze_ingest", batch_id, started, input_rows=seen.get["lines"], output_rows=rows,
-                   blank_lines=seen.get["lines"] - rows, date=_label(date))
+                   blank_lines=seen.get["lines"] - rows, missing_folders=len(missing), date=_label(date))
 
 
 def cleanse_bronze(bronze: DataFrame, as_of) -> DataFrame:
@@ -67,7 +69,9 @@ def cleanse_bronze(bronze: DataFrame, as_of) -> DataFrame:
 
 
 def run_silver_cleanse(spark: SparkSession, root: str, date: str | list[str], *, as_of=None) -> dict:
-    """Clean bronze days into silver; the days are replaced, so a re-run changes nothing.
+    """Clean bronze days into silver; the days are replaced, so a re-run changes nothing, and a day
+    without good rows is emptied. Each day keeps its own copy of a transaction, so days give the
+    same rows in one run or in many.
 
     Input, valid and output rows are counted while the one write runs.
     """
@@ -76,14 +80,22 @@ def run_silver_cleanse(spark: SparkSession, root: str, date: str | list[str], *,
     seen, kept = Observation(), Observation()
     typed = cleanse_bronze(bronze.observe(seen, F.count("*").alias("rows")), as_of)
     valid = cleanse.validate_rows(typed, as_of).observe(kept, F.count("*").alias("rows"))
-    unique = cleanse.dedup_latest(valid)
-    rows = sinks.write_silver(cleanse.enforce_schema(unique, S.SILVER), lake.silver, many_days=_many(date))
+    unique = cleanse.dedup_latest(valid, ["partition_date", "transaction_id"])
+    rows = sinks.write_silver(cleanse.enforce_schema(unique, S.SILVER), lake.silver, many_days=_many(date), days=_days_of(spark, lake, date))
     read, ok = seen.get["rows"], kept.get["rows"]
     return _finish(spark, lake, "silver_cleanse", f"silver-{_label(date)}", started, input_rows=read, output_rows=rows,
                    rejected_rows=read - rows, invalid_rows=read - ok, duplicate_rows=ok - rows,
                    rejection_pct=round(100.0 * (read - rows) / read, 2) if read else 0.0)
 
 
+def _days_of(spark: SparkSession, lake: Lake, date: str | list[str]) -> list[str]:
+    """The named days; for `all`, the days that bronze or silver hold."""
+    if date != "all":
+        return sorted(_as_list(date))
+    layers = [scans.scan_layer(spark, path, "all", schema).select("partition_date") for path, schema in ((lake.bronze, S.BRONZE), (lake.silver, S.SILVER))]
+    return sorted(str(r[0]) for r in layers[0].union(layers[1]).distinct().collect())
+
+
 def _silver(spark: SparkSession, lake: Lake, date) -> DataFrame:
     return scans.scan_layer(spark, lake.silver, _as_list(date), S.SILVER)
 
@@ -105,10 +117,19 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
                       merchants: DataFrame | None = None, spread_heavy: bool = True) -> dict:
     """Stage a day, bring user history and dimensions up to date, upsert the facts.
 
-    `users` and `merchants` are the optional raw entities. A full user entity also
-    closes users that vanished; users seen in one day's transactions cannot tell that.
+    `users` and `merchants` are the optional raw entities, by default those landed for the
+    last day. A full user entity also closes users that vanished; users seen in one day's
+    transactions cannot tell that.
+
+    The user history is made of one profile per user and day, and changes hold from their
+    day on: days may come one by one, together, or late, with the same result.
     """
-    started, lake, as_of = time.monotonic(), Lake(root), as_of or _now()
+    started, lake = time.monotonic(), Lake(root)
+    days = _days_of(spark, lake, date)
+    # The clock only stamps what was loaded when; what is valid from when follows the data's days.
+    as_of = as_of or _now()
+    users = users if users is not None else _landed_entity(spark, lake, "users", days)
+    merchants = merchants if merchants is not None else _landed_entity(spark, lake, "merchants", days)
     silver = _silver(spark, lake, date)
     staged = {
         "merchants": sinks.write_staging(model.stage_merchants(silver, as_of), lake.staging("merchants")),
@@ -122,49 +143,72 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
 
     history_path = lake.gold("users_history")
     history = scans.scan_or_empty(spark, history_path, S.USER_HISTORY)
-    if users is None and _many(date):
-        by_day = model.profile_for_history(model.stage_users_by_day(silver), "partition_date")
-        updated = model.scd2_from_days(history, by_day)
-    else:
-        profile = model.profile_for_history(users if users is not None else tables["users"])
-        updated = model.scd2_snapshot(history, profile, as_of=as_of, hard_deletes=users is not None)
-    sinks.rewrite_table(updated, history_path)
+    by_day = model.profile_for_history(model.stage_users_by_day(silver), "partition_date").select(*S.USERS_DAILY.names)
+    sinks.replace_days(by_day, lake.gold("users_daily"), days, many=len(days) > 1)
+    if users is None and days:
+        seen = scans.scan_or_empty(spark, lake.gold("users_daily"), S.USERS_DAILY)
+        sinks.rewrite_table(model.scd2_rebuild(history, seen, days[0]), history_path)
+    elif users is not None:
+        since = f"{days[-1]} 00:00:00" if days else as_of
+        profile = model.profile_for_history(users)
+        sinks.rewrite_table(model.scd2_snapshot(history, profile, as_of=since, hard_deletes=True), history_path)
     sinks.overwrite_table(model.dim_users(spark.read.parquet(history_path)), lake.gold("dim_users"))
     _merge_small(spark, lake.gold("dim_merchants"),
                  model.dim_merchants(model.stg_merchants(tables["merchants"]), as_of, merchants), "merchant_id")
 
+    # Of copies on several days the last day's is the fact.
+    newest = [F.col("time_sk").desc_nulls_last(), F.xxhash64(*[c for c in tables["transactions"].columns if c != "loaded_at"])]
     facts = model.fct_transactions(
-        model.stg_transactions(tables["transactions"]), spark.read.parquet(lake.gold("dim_users")),
+        model.stg_transactions(tables["transactions"], newest), spark.read.parquet(lake.gold("dim_users")),
         spark.read.parquet(lake.gold("dim_merchants")), spread_heavy=spread_heavy)
-    written, touched = sinks.upsert_partitions(facts, lake.gold("fact_transactions"))
+    written, touched = sinks.upsert_partitions(facts, lake.gold("fact_transactions"), whole=[int(d.replace("-", "")) for d in days])
     return _finish(spark, lake, "gold_modeling", f"gold-{_label(date)}", started, output_rows=staged["transactions"],
                    merchants_staged=staged["merchants"], users_staged=staged["users"], fact_rows_written=written,
                    touched_days=touched)
 
 
-def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str], *, as_of=None, history_dates: list[str] | None = None,
+def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str], *, as_of=None, lookback_days: int = 30,
                           **thresholds) -> dict:
     """Run the three rules on a day and append new alerts.
 
     Several dates run in one job: users are keyed by day, so each day gives the same
-    alerts as it would alone. `history_dates` widens the amount baseline to other days.
+    alerts as it would alone. The usual amount of a user is that of the `lookback_days`
+    days of silver up to the row's own day; `as_of` only stamps the alerts.
     """
     started, lake, as_of = time.monotonic(), Lake(root), as_of or _now()
-    silver = _silver(spark, lake, date)
-    many = _many(date)
-    keyed = silver.withColumn("user_id", F.concat_ws("|", F.col("partition_date").cast("string"), "user_id")) if many else silver
-    history = None
-    if history_dates:
-        if many:
-            raise ValueError("history_dates goes with a single date")
-        history = _silver(spark, lake, history_dates)
-    found = rules.detect_all(keyed, as_of=as_of, history=history, extra=("partition_date",), **thresholds)
+    days = _days_of(spark, lake, date)
+
+    def by_day(df: DataFrame) -> DataFrame:
+        return df.withColumn("user_id", F.concat_ws("|", F.col("partition_date").cast("string"), "user_id"))
+    history = scans.scan_layer(spark, lake.silver, "all", S.SILVER)
+    if days:
+        first = dt.date.fromisoformat(days[0]) - dt.timedelta(days=lookback_days - 1)
+        history = history.where(F.col("partition_date").between(first, dt.date.fromisoformat(days[-1])))
+    usual = by_day(rules.daily_baseline(history, lookback_days)).drop("partition_date")
+    # The narrow columns of the days are written once; the three rules read them several times.
+    with scratch(spark) as keep:
+        rows = by_day(_silver(spark, lake, date)).select(*rules.COLUMNS, "partition_date")
+        found = rules.detect_all(keep(rows, "rule-rows"), baseline=usual, extra=("partition_date",), **thresholds)
+        return _log_alerts(spark, lake, found, as_of, date, started)
+
+
+def _log_alerts(spark: SparkSession, lake: Lake, found: DataFrame, as_of, date, started: float) -> dict:
     shaped = rules.alert_envelope(found, alert_time=instant(as_of), alert_day=F.col("partition_date"))
     counts = sinks.append_alerts(shaped, lake.gold("alerts_log"))
     return _finish(spark, lake, "anomaly_detection", f"anomaly-{_label(date)}", started, total_alerts=sum(counts.values()),
                    velocity_alerts=counts["VELOCITY_ATTACK"], amount_alerts=counts["HIGH_AMOUNT"], geo_alerts=counts["GEO_IMPOSSIBLE"])
 
 
+def fact_table(spark: SparkSession, lake: Lake) -> DataFrame:
+    return scans.scan_or_empty(spark, lake.gold("fact_transactions"), S.FACTS)
+
+
+def _landed_entity(spark: SparkSession, lake: Lake, entity: str, days: list[str]) -> DataFrame | None:
+    """The raw entity landed on the last of the days, if it was."""
+    folder = days and "/".join([lake.raw(entity), days[-1].replace("-", "/")])
+    return scans.scan_entity(spark, folder, entity) if folder and scans.path_exists(spark, folder) else None
+
+
 def alerts_log(spark: SparkSession, lake: Lake) -> DataFrame:
     return scans.scan_or_empty(spark, lake.gold("alerts_log"), S.ALERTS)
 
@@ -177,11 +221,11 @@ def run_flag_update(spark: SparkSession, root: str, date: str | list[str]) -> di
         raise ValueError("name the days to flag")
     days = [date] if isinstance(date, str) else date
     keys = [int(d.replace("-", "")) for d in days]
-    facts = spark.read.parquet(path).where(F.col("time_sk").isin(keys))
+    facts = fact_table(spark, lake).where(F.col("time_sk").isin(keys))
     alerts = alerts_log(spark, lake).where(F.col("alert_date").isin([dt.date.fromisoformat(d) for d in days]))
-    flagged = materialize_scratch(model.apply_fraud_flags(facts, alerts), "flags")
-    rows = sinks.replace_partitions(flagged, path, "time_sk", many=len(days) > 1)
-    return {"facts": rows}
+    with scratch(spark) as keep:
+        flagged = keep(model.apply_fraud_flags(facts, alerts), "flags")
+        return {"facts": sinks.replace_partitions(flagged, path, "time_sk", many=len(days) > 1)}
 
 
 def run_ml_scoring(spark: SparkSession, root: str, date: str | list[str], *, train: bool = False, as_of=None, threshold: float = 0.7,
@@ -205,8 +249,9 @@ def run_marts(spark: SparkSession, root: str, calendar: DataFrame | None = None,
     """Rebuild the marts. With `changed_days` (yyyymmdd), only these days of the fact table
     are read; the other days' rows come from the mart as it is."""
     lake = Lake(root)
-    days = calendar if calendar is not None else model.dim_time(model.calendar(spark))
-    facts, path = spark.read.parquet(lake.gold("fact_transactions")), lake.gold("mart_executive_kpis")
+    facts, path = fact_table(spark, lake), lake.gold("mart_executive_kpis")
+    # By default the calendar is that of the facts, so no day of theirs can be missing.
+    days = calendar if calendar is not None else model.dim_time(model.calendar_of_keys(facts))
     if changed_days is not None and scans.path_exists(spark, path):
         kpis = sinks.rewrite_table(model.refresh_executive_kpis(spark.read.parquet(path), facts, days, changed_days), path)
     else:
@@ -218,8 +263,8 @@ def run_marts(spark: SparkSession, root: str, calendar: DataFrame | None = None,
 def run_gold_tests(spark: SparkSession, root: str) -> dict:
     """The data tests on the finished tables; the first failing table stops the run."""
     lake = Lake(root)
-    table = {name: spark.read.parquet(lake.gold(name)) for name in
-             ("fact_transactions", "dim_users", "dim_merchants", "mart_executive_kpis", "mart_fraud_summary")}
+    table = {name: spark.read.parquet(lake.gold(name)) for name in ("dim_users", "dim_merchants", "mart_executive_kpis", "mart_fraud_summary")}
+    table["fact_transactions"] = fact_table(spark, lake)
     suites = {"fact_transactions": quality.fact_suite(), "dim_users": quality.user_suite(),
               "dim_merchants": [quality.expect_not_null("merchant_id")],
               "mart_executive_kpis": quality.mart_suites()["executive_kpis"],
@@ -227,9 +272,13 @@ def run_gold_tests(spark: SparkSession, root: str) -> dict:
     evaluated = sum(quality.run_suite(table[name], checks, label=name)["evaluated"] for name, checks in suites.items())
     # Users that vanished keep their facts, so facts are held against the whole user history.
     known = spark.read.parquet(lake.gold("users_history")).select(surrogate_key("user_id").alias("user_sk"))
-    quality.assert_empty(quality.orphan_keys(table["fact_transactions"], known, "user_sk"), "no_orphan_facts")
+    facts = table["fact_transactions"]
+    quality.assert_empty(quality.orphan_keys(facts, known, "user_sk"), "no_orphan_facts")
+    quality.assert_empty(quality.orphan_keys(facts, table["dim_merchants"], "merchant_sk"), "merchants_of_facts")
+    in_mart = table["mart_executive_kpis"].select(time_key("txn_date").alias("time_sk"))
+    quality.assert_empty(quality.orphan_keys(facts, in_mart, "time_sk"), "days_of_facts")
     quality.assert_empty(quality.duplicate_keys(table["dim_users"], "user_id", current_only=True), "one_current_row_per_user")
-    return {"evaluated": evaluated + 2}
+    return {"evaluated": evaluated + 4}
 
 
 def run_all_layers(spark: SparkSession, root: str, date: str | list[str], hours: list | None = None, *, as_of=None, ml: bool = False,

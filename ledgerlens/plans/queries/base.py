@@ -128,6 +128,13 @@ VIEWS = {
     "silver": "SELECT * FROM {checked} WHERE ok",
     **rule_views("t", "user_id"),
     **rule_views("silver", "partition_date, user_id", "_by_day"),
+    # In the jobs a user's usual amount is that of the 30 days up to the row's day.
+    "baseline_by_day": """
+  SELECT partition_date, user_id, sum(k) AS n, CAST((CAST(sum(s) * 100 AS BIGINT) * 20000 + sum(k)) // (2 * sum(k)) AS BIGINT) AS avg6
+  FROM (SELECT d.partition_date, d.user_id, x.s, x.k FROM (SELECT DISTINCT partition_date, user_id FROM {silver}) d
+    JOIN (SELECT partition_date AS day, user_id, sum(amount) AS s, count(*) AS k FROM {silver} GROUP BY 1, 2) x
+      ON x.user_id = d.user_id AND x.day <= d.partition_date AND x.day > d.partition_date - 30)
+  GROUP BY 1, 2""",
     "alerts": """
   SELECT transaction_id, event_ts AS alert_timestamp, CAST(event_ts AS DATE) AS alert_date, reason_code,
     CAST(round(CAST(CAST(least(raw_severity, 1.0) AS FLOAT) AS DOUBLE), 4) AS DECIMAL(5,4)) AS severity_score, description,

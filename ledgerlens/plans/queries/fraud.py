@@ -37,8 +37,8 @@ def detect_geo_impossible(spark, sf):
 @query("haversine", """
 SELECT transaction_id, round(km, 3) AS distance_km, round(hours, 6) AS hours FROM {speeds}""")
 def haversine(spark, sf):
-    return rules.travel_speed(transactions(spark, sf)).select(
-        "transaction_id", F.round("distance_km", 3).alias("distance_km"), F.round("time_diff_hours", 6).alias("hours"))
+    return rules.hops(transactions(spark, sf)).select(
+        "transaction_id", F.round("hop.km", 3).alias("distance_km"), F.round("hop.hours", 6).alias("hours"))
 
 
 @query("user_baseline", "SELECT user_id, avg6 / 1000000.0::DOUBLE AS avg_amount, round(stddev_amount, 4) AS stddev_amount, n FROM {baseline}")

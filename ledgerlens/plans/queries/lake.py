@@ -213,6 +213,54 @@ def backfill(spark, sf):
     return spark.read.parquet(Lake(root).gold("mart_executive_kpis")).select("txn_date", "total_transactions", "daily_tpv")
 
 
+JOBS_SQL = f"""
+SELECT 'silver' AS item, CAST(partition_date AS VARCHAR) AS day, count(*) AS rows, CAST(sum(amount) AS DOUBLE) AS value FROM {{silver}} GROUP BY 2
+UNION ALL SELECT 'mart', CAST(partition_date AS VARCHAR), count(*), CAST(sum(amount) FILTER (WHERE status = 'completed') AS DOUBLE) FROM {{silver}} GROUP BY 2
+UNION ALL SELECT 'alerts ' || reason_code, CAST(CAST(event_ts AS DATE) AS VARCHAR), count(*), 0 FROM ({BY_DAY_ALERTS}) GROUP BY 1, 2
+UNION ALL SELECT 'history', CAST(partition_date AS VARCHAR), count(*), 0 FROM (
+  SELECT *, lag(country_code) OVER (PARTITION BY user_id ORDER BY partition_date) AS before FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, partition_date ORDER BY event_ts DESC, CAST(transaction_id AS VARCHAR) DESC) AS r FROM {{silver}}) WHERE r = 1)
+  WHERE before IS NULL OR before <> country_code GROUP BY 2"""
+
+
+def _lake_content(spark, root):
+    """Rows per day of what the jobs left: silver, user history by the day it holds from, alerts and the mart."""
+    lake, none = Lake(root), F.lit(0.0).alias("value")
+    day = F.col("day").cast("string")
+    parts = [
+        scans.scan_layer(spark, lake.silver, "all", S.SILVER).groupBy(F.lit("silver").alias("item"), F.col("partition_date").alias("day"))
+        .agg(F.count("*").alias("rows"), F.sum("amount").cast("double").alias("value")),
+        spark.read.parquet(lake.gold("mart_executive_kpis")).select(
+            F.lit("mart").alias("item"), F.col("txn_date").alias("day"), F.col("total_transactions").alias("rows"), F.col("daily_tpv").cast("double").alias("value")),
+        jobs.alerts_log(spark, lake).groupBy(F.concat(F.lit("alerts "), "reason_code").alias("item"), F.col("alert_date").alias("day"))
+        .agg(F.count("*").alias("rows")).select("*", none),
+        spark.read.parquet(lake.gold("users_history")).groupBy(F.lit("history").alias("item"), F.to_date("valid_from").alias("day"))
+        .agg(F.count("*").alias("rows")).select("*", none)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).withColumn("day", day)
+
+
+@query("jobs_day_by_day", JOBS_SQL)
+def jobs_day_by_day(spark, sf):
+    """The jobs run in steps of a few days each, in order; without a clock."""
+    root, days = scratch_path(spark, "lake"), _days(spark, sf)
+    jobs.run_bronze_ingest(spark, root, days, as_of=AS_OF, raw_root=landed(spark, sf))
+    for part in (days[:1], days[1:2], days[2:11], days[11:]):
+        jobs.backfill(spark, root, part, as_of=AS_OF, **THRESHOLDS)
+    return _lake_content(spark, root)
+
+
+@query("jobs_mixed", JOBS_SQL)
+def jobs_mixed(spark, sf):
+    """A late start: history and facts of the last days first, then all days at once."""
+    root, days = scratch_path(spark, "lake"), _days(spark, sf)
+    jobs.run_bronze_ingest(spark, root, days, as_of=AS_OF, raw_root=landed(spark, sf))
+    late = days[20:]
+    jobs.run_silver_cleanse(spark, root, late, as_of=AS_OF)
+    jobs.run_gold_modeling(spark, root, late, as_of=AS_OF)
+    jobs.backfill(spark, root, days, as_of=AS_OF, **THRESHOLDS)
+    return _lake_content(spark, root)
+
+
 # ---------------------------------------------------------------- streams
 
 def _drain(*started) -> None:

@@ -17,7 +17,7 @@ REASON_CODES = ["VELOCITY_ATTACK", "HIGH_AMOUNT", "GEO_IMPOSSIBLE", "ML_ANOMALY"
 
 
 _TYPES = {
-    "string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
+    "string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "int": T.IntegerType(),
     "decimal(18,2)": AMOUNT, "decimal(9,6)": COORDINATE, "decimal(5,4)": SCORE,
 }
 
@@ -83,6 +83,16 @@ ALERTS = _struct(
     "rule_score decimal(5,4), created_at timestamp, alert_date date"
 )
 
+FACTS = _struct(
+    "transaction_id string, user_sk string, merchant_sk string, amount decimal(18,2), currency string, "
+    "transaction_type string, status string, payment_method string, is_flagged_fraud boolean, "
+    "fraud_score decimal(5,4), latitude decimal(9,6), longitude decimal(9,6), country_code string, "
+    "created_at timestamp, time_sk int"
+)
+
+# What a user's newest transaction of a day says about them; the history is made of these rows.
+USERS_DAILY = _struct("user_id string, email_hash string, risk_tier string, country_code string, partition_date date")
+
 USER_HISTORY = _struct(
     "user_id string, email_hash string, risk_tier string, country_code string, updated_at timestamp, "
     "valid_from timestamp, valid_to timestamp, scd_id string"

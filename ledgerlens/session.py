@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,9 +36,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a private one only where none is set."""
+    """The shared folder named by the cluster.
+
+    Where none is set, one process on one machine gets a private folder; a cluster is refused,
+    since its executors would each write to their own disk.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledgerlens-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -46,14 +55,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/ledgerlens/{label}-{uuid.uuid4().hex}"
 
 
-def materialize_scratch(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator:
+    """Gives `materialize_scratch` for tables that are deleted when the block ends."""
+    made = []
+
+    def keep(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+        made.append(scratch_path(spark, label))
+        return materialize_scratch(df, label, partition_by, made[-1])
+    try:
+        yield keep
+    finally:
+        for path in made:
+            drop_path(spark, path)
+
+
+def materialize_scratch(df: DataFrame, label: str, partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
     """Write a DataFrame once to the shared folder and read it back.
 
     Cuts the lineage like a checkpoint but keeps the data columnar, so readers
     still prune columns; it does not depend on the executors that wrote it.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

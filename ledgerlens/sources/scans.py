@@ -29,6 +29,11 @@ def landed_folders(spark: SparkSession, root: str, day: str, hours: list | None
     return [p for p in paths if path_exists(spark, p)]
 
 
+def missing_folders(spark: SparkSession, root: str, day: str, hours: list, entity: str = "transactions") -> list[str]:
+    """Of the hours asked for, the landing folders that do not exist."""
+    return [p for p in (landing_path(root, day, h, entity) for h in hours) if not path_exists(spark, p)]
+
+
 def landing_day(source_file: str | Column) -> Column:
     """The day of a landing folder, from a file's path."""
     return F.to_date(F.regexp_replace(F.regexp_extract(source_file, r"/(\d{4}/\d{2}/\d{2})/\d{2}/", 1), "/", "-"))

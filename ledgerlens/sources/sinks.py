@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerlens import schemas as S
 from ledgerlens.operators.model import incremental_upsert, keep_flags
-from ledgerlens.session import materialize_scratch
+from ledgerlens.session import drop_path, scratch
 from ledgerlens.sources.scans import path_exists, scan_or_empty
 
 
@@ -38,8 +38,18 @@ def replace_partitions(df: DataFrame, path: str, partition: str, *, many: bool =
                           .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
 
 
-def write_silver(df: DataFrame, path: str, *, many_days: bool = False) -> int:
-    return replace_partitions(df, path, "partition_date", many=many_days)
+def replace_days(df: DataFrame, path: str, days: list, partition: str = "partition_date", *, many: bool = False) -> int:
+    """Replace the named partitions; one that gets no row is removed. Days found in the rows but not named are replaced too."""
+    spark, got = df.sparkSession, Observation()
+    counted = _by_partition(df, partition, many).observe(got, F.count(F.lit(1)).alias("rows"), F.collect_set(partition).alias("days"))
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    filled = {str(d) for d in got.get["days"]}
+    _drop_partitions(spark, path, partition, [d for d in days if str(d) not in filled])
+    return got.get["rows"]
+
+
+def write_silver(df: DataFrame, path: str, *, many_days: bool = False, days: list | None = None) -> int:
+    return replace_days(df, path, days or [], many=many_days)
 
 
 def write_staging(df: DataFrame, target: str, *, jdbc: dict | None = None) -> int:
@@ -57,12 +67,11 @@ def overwrite_table(df: DataFrame, path: str) -> int:
 
 def rewrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Overwrite a table that `df` may read from: the rows are staged first."""
-    staged = materialize_scratch(df, "rewrite")
-
     def write(d):
         writer = d.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return _write_counted(staged, write)
+    with scratch(df.sparkSession) as keep:
+        return _write_counted(keep(df, "rewrite"), write)
 
 
 def append_alerts(alerts: DataFrame, path: str, *, one_per_transaction: bool = False) -> dict[str, int]:
@@ -71,8 +80,12 @@ def append_alerts(alerts: DataFrame, path: str, *, one_per_transaction: bool = F
     The batch is evaluated once. Only the days it touches are read from the log.
     With `one_per_transaction`, a transaction that has any alert gets no further one.
     """
-    spark = alerts.sparkSession
-    batch = materialize_scratch(alerts, "alerts")
+    with scratch(alerts.sparkSession) as keep:
+        return _append_alerts(keep(alerts, "alerts"), path, one_per_transaction)
+
+
+def _append_alerts(batch: DataFrame, path: str, one_per_transaction: bool) -> dict[str, int]:
+    spark = batch.sparkSession
     log = scan_or_empty(spark, path, S.ALERTS)
     if one_per_transaction:
         fresh = batch.join(log.select("transaction_id"), "transaction_id", "left_anti")
@@ -87,42 +100,49 @@ def append_alerts(alerts: DataFrame, path: str, *, one_per_transaction: bool = F
 
 
 def upsert_partitions(batch: DataFrame, path: str, key: str = "transaction_id", partition: str = "time_sk", *,
-                      keep_fraud_flags: bool = True) -> tuple[int, list]:
+                      keep_fraud_flags: bool = True, whole: list | None = None) -> tuple[int, list]:
     """Insert or replace rows by key, rewriting only the partitions that change.
 
     A key may already sit in another partition than the batch row, so the partitions
     to rewrite are looked up in the key column of the whole target. Returns the rows
     written and the partitions touched.
+
+    `whole` names partitions that the batch holds completely: their other rows go, and a
+    key that the target holds in a later partition, outside of `whole`, stays there. The
+    result then does not depend on the order or grouping in which partitions come.
     """
-    spark = batch.sparkSession
-    incoming = materialize_scratch(batch, "upsert-batch")
-    exists = path_exists(spark, path)
-    target = spark.read.parquet(path) if exists else incoming.limit(0)
-    holding = target.select(key, partition).join(incoming.select(key), key, "left_semi").select(partition, F.lit(False).alias("_new"))
-    # One row per day at most.
-    touched = {r[0]: r[1] for r in holding.unionByName(incoming.select(partition, F.lit(True).alias("_new")))
-               .groupBy(partition).agg(F.max("_new")).collect()}
-    many = len(touched) > 1
-    if not exists:
-        return replace_partitions(incoming, path, partition, many=many), sorted(touched)
-    if keep_fraud_flags:
-        incoming = keep_flags(incoming, target.where(F.col(partition).isin(list(touched))), key)
+    with scratch(batch.sparkSession) as keep:
+        return _upsert(keep(batch, "upsert-batch"), path, key, partition, keep_fraud_flags, whole, keep)
+
+
+def _upsert(incoming: DataFrame, path: str, key: str, partition: str, keep_fraud_flags: bool, whole: list | None, keep) -> tuple[int, list]:
+    spark = incoming.sparkSession
+    if not path_exists(spark, path):
+        found = sorted(r[0] for r in incoming.select(partition).distinct().collect())
+        return replace_partitions(incoming, path, partition, many=len(found) > 1), found
+    schema = T.StructType([f for f in incoming.schema if f.name != partition] + [incoming.schema[partition]])
+    target = spark.read.schema(schema).parquet(path)
+    holding = target.select(key, partition).join(incoming.select(key), key, "left_semi")
+    if whole is not None:
+        elsewhere = keep(holding.where(~F.col(partition).isin(whole)).groupBy(key).agg(F.max(partition).alias("_held")), "held")
+        incoming = incoming.join(elsewhere, key, "left").where(F.col("_held").isNull() | (F.col("_held") < F.col(partition))).drop("_held")
+        moved = elsewhere.join(incoming.select(key), key, "left_semi").select("_held")
+        holding = holding.join(moved.distinct(), F.col("_held") == F.col(partition), "left_semi")
+    # One row per partition at most.
+    touched = {r[0] for r in holding.select(partition).union(incoming.select(partition)).distinct().collect()} | set(whole or [])
     slice_ = target.where(F.col(partition).isin(list(touched)))
-    merged = materialize_scratch(incremental_upsert(slice_, incoming, key), "upsert")
-    rows = replace_partitions(merged, path, partition, many=many)
-    losing = [p for p, gets_rows in touched.items() if not gets_rows]
-    if losing:
-        left = {r[0] for r in merged.where(F.col(partition).isin(losing)).select(partition).distinct().collect()}
-        _drop_partitions(spark, path, partition, [p for p in losing if p not in left])
+    if keep_fraud_flags:
+        incoming = keep_flags(incoming, slice_, key)
+    left = slice_ if whole is None else slice_.where(~F.col(partition).isin(whole))
+    merged = keep(incremental_upsert(left, incoming, key), "upsert")
+    rows = replace_days(merged, path, sorted(touched), partition, many=len(touched) > 1)
     return rows, sorted(touched)
 
 
 def _drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
     """Remove partitions that lost their last row; dynamic overwrite leaves them in place."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for value in values:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition}={value}")
-        folder.getFileSystem(conf).delete(folder, True)
+        drop_path(spark, f"{path.rstrip('/')}/{partition}={value}")
 
 
 def materialize(df: DataFrame, how: str, name: str, path: str | None = None, key: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import os
 import pytest
 from conftest import raw_row
 
+from ledgerlens import schemas as S
 from ledgerlens.operators.quality import QualityGateError
 from ledgerlens.plans import jobs
 from ledgerlens.plans.layout import Lake
@@ -120,3 +121,97 @@ def test_upsert_moves_a_transaction_between_days(spark, tmp_path):
     sinks.upsert_partitions(spark.createDataFrame([("a", 2, False, 0, 3)], ddl.replace("decimal(5,4)", "int")).selectExpr(
         "transaction_id", "amount", "is_flagged_fraud", "cast(fraud_score as decimal(5,4)) fraud_score", "time_sk"), path)
     assert {(r["transaction_id"], r["amount"], r["time_sk"]) for r in spark.read.parquet(path).collect()} == {("a", 2, 3), ("b", 1, 2)}
+
+
+def history(spark, root):
+    rows = spark.read.parquet(Lake(root).gold("users_history")).collect()
+    return sorted((r["user_id"], r["country_code"], str(r["valid_from"]), str(r["valid_to"])) for r in rows)
+
+
+def test_days_may_come_in_any_order_and_grouping(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    days = ["2026-04-24", "2026-04-25", "2026-04-26"]
+    for k, day in enumerate(days):
+        land(raw, day, 10, [tx(1, "u1", day, country_code="MX"), tx(10 + k, "u2", day, country_code=["MX", "JP", "MX"][k]), tx(20 + k, "u3", day, amount=10.0 + k)])
+    seen = []
+    for plan in ([days], [[d] for d in days], [[days[2]], days], [[days[1]], [days[0]], [days[2]]]):
+        root = str(tmp_path / f"lake{len(seen)}")
+        jobs.run_bronze_ingest(spark, root, days, as_of=AS_OF, raw_root=raw)
+        for part in plan:
+            jobs.run_silver_cleanse(spark, root, part)
+            jobs.run_gold_modeling(spark, root, part)
+        rows = {t: (r["time_sk"], r["amount"]) for t, r in facts(spark, root).items()}
+        seen.append((history(spark, root), rows, scans.scan_layer(spark, Lake(root).silver).count()))
+    assert all(s == seen[0] for s in seen)
+    assert seen[0][1]["t001"][0] == 20260426 and seen[0][2] == 9
+    assert sorted(h[2:] for h in seen[0][0] if h[0] == "u2") == [
+        ("2026-04-24 00:00:00", "2026-04-25 00:00:00"), ("2026-04-25 00:00:00", "2026-04-26 00:00:00"), ("2026-04-26 00:00:00", "None")]
+
+
+def test_high_amount_needs_no_clock(spark, tmp_path):
+    root = str(tmp_path)
+    land(root, "2026-04-20", 10, [tx(i, "u1", "2026-04-20", second=i * 300) for i in range(10)])
+    land(root, "2026-04-24", 10, [tx(50, "u1", amount=1000.0)])
+    for day in ("2026-04-20", "2026-04-24"):
+        jobs.run_bronze_ingest(spark, root, day, 10)
+        jobs.run_silver_cleanse(spark, root, day)
+    assert jobs.run_anomaly_detection(spark, root, "2026-04-24")["amount_alerts"] == 1
+
+
+def test_an_emptied_day_leaves_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    land(root, "2026-04-24", 10, [tx(i, "u1", second=i * 300) for i in range(5)])
+    jobs.run_all_layers(spark, root, "2026-04-24", [10], as_of=AS_OF)
+    assert len(facts(spark, root)) == 5
+    jobs.run_silver_cleanse(spark, root, "2026-04-24", as_of="2026-04-01 00:00:00")  # all rows lie in the future now
+    assert scans.scan_layer(spark, Lake(root).silver, "all", S.SILVER).count() == 0
+    jobs.run_gold_modeling(spark, root, "2026-04-24", as_of=AS_OF)
+    assert spark.read.parquet(Lake(root).gold("users_history")).count() == 0
+    assert jobs.fact_table(spark, Lake(root)).count() == 0
+
+
+def test_new_lake_without_files(spark, tmp_path):
+    out = jobs.run_all_layers(spark, str(tmp_path), "2026-04-24", [10, 11], as_of=AS_OF)
+    assert out["bronze"]["missing_folders"] == 2 and out["flags"]["facts"] == 0 and out["marts"]["executive_kpis"] == 0
+
+
+def test_facts_outside_any_fixed_calendar_reach_the_mart(spark, tmp_path):
+    root = str(tmp_path)
+    land(root, "2019-12-31", 10, [tx(1, "u1", "2019-12-31")])
+    jobs.run_all_layers(spark, root, "2019-12-31", [10], as_of=AS_OF)
+    assert [str(r["txn_date"]) for r in spark.read.parquet(Lake(root).gold("mart_executive_kpis")).collect()] == ["2019-12-31"]
+
+
+def test_scratch_is_deleted(spark, lake, first_day):
+    base = spark.conf.get("spark.checkpoint.dir") + "/ledgerlens"
+    before = set(os.listdir(base)) if os.path.exists(base) else set()
+    jobs.run_gold_modeling(spark, lake, "2026-04-24", as_of=AS_OF)
+    jobs.run_anomaly_detection(spark, lake, "2026-04-24", as_of=AS_OF)
+    jobs.run_flag_update(spark, lake, "2026-04-24")
+    assert (set(os.listdir(base)) if os.path.exists(base) else set()) == before
+
+
+def test_a_cluster_without_shared_folder_is_refused(monkeypatch):
+    from ledgerlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Fake:
+        conf = Conf()
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Fake())
+
+
+def test_command_line(spark, tmp_path):
+    from ledgerlens.__main__ import parser, run
+    land(str(tmp_path), "2026-04-24", 10, [tx(1, "u1")])
+    command = lambda *words: run(spark, parser().parse_args([*words, "--root", str(tmp_path), "--as-of", AS_OF]))
+    assert command("bronze", "--date", "2026-04-24", "--hour", "10")["output_rows"] == 1
+    assert command("silver", "--date", "2026-04-24")["output_rows"] == 1
+    with pytest.raises(SystemExit):
+        command("gold")

@@ -92,16 +92,17 @@ def test_salted_join_spreads_only_heavy_keys(spark):
     heavy = skew.heavy_keys(skew.count_per_key(left, "k"), "k", min_rows=100)
     assert [r["k"] for r in heavy.collect()] == [1]
     for how in ("inner", "left"):
-        out = skew.salted_join(left, right.where("k <> 2500"), "k", how, heavy, F.col("id"), salts=8)
+        out = skew.salted_join(left, right.where("k <> 2500"), "k", how, heavy, F.col("id"))
         want = left.join(right.where("k <> 2500"), "k", how)
         assert sorted(out.select("id", "k", "v").collect(), key=str) == sorted(want.select("id", "k", "v").collect(), key=str)
     with pytest.raises(ValueError):
         skew.salted_join(left, right, "k", "full_outer", heavy, F.col("id"))
 
 
-def test_heavy_list_is_bounded(spark):
-    counts = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") + 10_000_000).alias("n"))
-    assert skew.heavy_keys(counts, "k").count() == skew.HEAVY_KEYS
+def test_every_heavy_key_is_listed_with_the_tasks_it_needs(spark):
+    counts = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 20_000).alias("n"))
+    heavy = {r["k"]: r["parts"] for r in skew.heavy_keys(counts, "k").collect()}
+    assert len(heavy) == 750 and heavy[250] == 1 and heavy[999] == 4
 
 
 def test_hot_user_is_cut_into_even_pieces(spark):

@@ -120,8 +120,8 @@ def test_impossible_travel(spark):
     assert hit[0]["description"].startswith("Impossible travel: 1")
     stay = frame(spark, event("a"), event("b", seconds=3600))
     assert rules.detect_geo_impossible(stay).count() == 0
-    same_second = rules.travel_speed(frame(spark, event("a"), event("b", place=tokyo, country="JP"))).collect()[0]
-    assert same_second["time_diff_hours"] == 0 and same_second["implied_speed_kmh"] == pytest.approx(same_second["distance_km"] / 0.001)
+    same_second = rules.hops(frame(spark, event("a"), event("b", place=tokyo, country="JP"))).collect()[0]["hop"]
+    assert same_second["hours"] == 0 and same_second["kmh"] == pytest.approx(same_second["km"] / 0.001)
 
 
 def test_haversine(spark):
@@ -146,3 +146,9 @@ def test_rule_precision_on_injected_fraud(spark):
     labels = df.select("transaction_id", (F.col("user_id") == "bad").alias("is_fraud"))
     out = {r["reason_code"]: r for r in rules.rule_precision(rules.detect_all(df, as_of=AS_OF), labels).collect()}
     assert out["ANY"]["precision_pct"] == 100.0 and out["ANY"]["recall_pct"] == 25.0
+
+
+def test_rolling_count_keeps_rows_without_key_or_time(spark):
+    from ledgerlens.operators.windows import rolling_count
+    df = spark.sql("SELECT * FROM VALUES ('a', 'u', timestamp'2024-01-01 00:00:00'), ('b', NULL, timestamp'2024-01-01 00:00:00'), ('c', 'u', NULL) AS t(transaction_id, user_id, timestamp)")
+    assert {r["transaction_id"]: r["rolling_count"] for r in rolling_count(df).collect()} == {"a": 1, "b": None, "c": None}

@@ -5,7 +5,8 @@ A text's set is its distinct five-word shingles (ASCII letters in lower case), a
 Shared tokens. Order all tokens the same way; two sets with a Jaccard of t share a token among the first n - ceil(t n) + 1
 of each, their prefixes. The order is by hash, but the tokens found in very many texts (HOT, at most MOST_HOT of them, so they can be
 broadcast) go last, rare ones first. Any such order loses no pair. All tokens with a hash below COUNTED are counted over the whole
-corpus; of these only tokens that occur twice go on (bloom.py), the others go on unseen.
+corpus; of these only tokens that occur twice go on (bloom.py), the others go on unseen. Where hot tokens push a text's prefix beyond COUNTED
+(long passages shared with others), its further tokens are counted too, over all such texts.
 
 Bound. Of a pair, take the set whose prefix ends first. All tokens that the other set shares with this prefix lie in the
 other's prefix too, so the overlap is at most the tokens shared by the prefixes plus the rest of the set. Pairs whose prefixes share too few
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,31 +74,60 @@ def _prefix(n: int, percent: int) -> int:
     return n + (-percent * n) // 100 + 1
 
 
-def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """__id, n, sid (hash of the set), hits (prefix tokens that may join it with others), end_n and end_t (place of the prefix' last
-    token in the order of tokens)."""
-    spark = df.sparkSession
-    texts = df.select(F.col(text_col).alias("__text"))
+def _find(known: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each token in the sorted known ones, and whether it is there."""
+    at = np.minimum(np.searchsorted(known, tokens), max(len(known) - 1, 0))
+    return at, known[at] == tokens if len(known) else np.zeros(len(tokens), bool)
+
+
+def _counts(texts: DataFrame, known: Broadcast | None, percent: int) -> DataFrame:
+    """Tokens that occur in two texts or more, and in how many. With `known` hot tokens: only those at COUNTED and above, over the texts whose
+    counted tokens are so hot that the prefix goes on beyond them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in grid.chunks(batch.column(0), 1 << 21):
-                low = [t[:np.searchsorted(t, grid.U(COUNTED))] for t in sets(chunk)]
-                token, number = np.unique(np.concatenate(low), return_counts=True) if low else (np.zeros(0, grid.U), np.zeros(0, np.int64))
+                part = []
+                for t in sets(chunk):
+                    low, high = np.split(t, [np.searchsorted(t, grid.U(COUNTED))])
+                    if known is None:
+                        part.append(low)
+                    elif len(t):
+                        is_hot = _find(known.value[0], low)[1]
+                        if is_hot.any() and len(low) - is_hot.sum() < _prefix(len(t), percent):
+                            part.append(high)
+                token, number = np.unique(np.concatenate(part), return_counts=True) if part else (np.zeros(0, grid.U), np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(number)], ["token", "n"])
 
-    shared = texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = saved(shared, "tokens")
+    return texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
+
+
+def _hot(shared: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens in more than HOT texts (or a higher bound, if those are more than MOST_HOT), in order, and their counts."""
     # From a count of tokens by size (at most 64 rows): the least bound above which there are few enough.
     by_size = {r["s"]: r["k"] for r in shared.groupBy(F.floor(F.log2("n")).alias("s")).agg(F.count(F.lit(1)).alias("k")).collect()}
     bound = HOT
     while sum(k for s, k in by_size.items() if 2 ** (s + 1) > bound) > MOST_HOT:
         bound *= 2
-    hot = shared.where(F.col("n") > bound).orderBy("token").toArrow()
-    hot_token = hot["token"].to_numpy().view(grid.U)
-    order = np.argsort(hot_token)
-    heavy = spark.sparkContext.broadcast((hot_token[order], hot["n"].to_numpy()[order]))
-    twice = bloom.build(shared, "token", sum(by_size.values()))
+    found = shared.where(F.col("n") > bound).toArrow()
+    token = found["token"].to_numpy().view(grid.U)
+    order = np.argsort(token)
+    return token[order], found["n"].to_numpy()[order]
+
+
+def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """__id, n, sid (hash of the set), hits (prefix tokens that may join it with others), end_n and end_t (place of the prefix' last
+    token in the order of tokens)."""
+    spark = df.sparkSession
+    texts = df.select(F.col(text_col).alias("__text"))
+
+    low = saved(_counts(texts, None, percent), "tokens")
+    some = _hot(low)
+    more = saved(_counts(texts, spark.sparkContext.broadcast(some), percent), "tokens")
+    shared = low.union(more)
+    hot_token, hot_count = _hot(shared)
+    heavy = spark.sparkContext.broadcast((hot_token, hot_count))
+    twice = bloom.build(low, "token", low.count())
     rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     kind = rows.schema[0].dataType.simpleString()
 
@@ -106,8 +137,7 @@ def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> Data
             for chunk in grid.chunks(batch.column(1)):
                 found = sets(chunk)
                 flat = np.concatenate(found) if found else np.zeros(0, grid.U)
-                at = np.minimum(np.searchsorted(hot_token, flat), max(len(hot_token) - 1, 0))
-                is_hot = hot_token[at] == flat if len(hot_token) else np.zeros(len(flat), bool)
+                at, is_hot = _find(hot_token, flat)
                 size = np.array([len(t) for t in found])
                 ends = np.cumsum(size)
                 sid = _sid(flat, size)

@@ -12,13 +12,15 @@ Bound. Of a pair, take the set whose prefix ends first. All tokens that the othe
 other's prefix too, so the overlap is at most the tokens shared by the prefixes plus the rest of the set. Pairs whose prefixes share too few
 tokens for a Jaccard of t are left out without looking at their sets. That keeps apart texts that only share a passage.
 
-Stars. Every node is compared with the nodes that most of its tokens name as their least (STARS different leasts); links join nodes to
-families. That brings copies and near copies of one text together with a few comparisons a node, however large the family.
+Stars. Each token names up to STARS of its nodes, those that share most of their tokens with others: an original rather than its edited copies.
+Every node is compared with the TRIED nodes that most of its tokens name; links join nodes to families. That brings copies and near
+copies of one text together with a few comparisons a node, however large the family.
 
 Matrix. What is left are pairs of different families that share a token. Families are cut into groups of about GROUP nodes; the matrix
 holds for each group the union of its members' prefix tokens, their range of sizes and of prefix ends. A query node of the smaller family counts its
 prefix tokens in the group's union, which bounds the overlap with every member as above; only groups that can reach t are opened, that is,
-compared member by member. Pairs inside a family need no comparison: they are connected already.
+compared member by member. Pairs inside a family need no comparison: they are connected already. This is done for families of LARGE nodes or more first, so that
+their outlying members join them before they are compared with each other, then for all.
 
 Exact, up to collisions of 64-bit hashes. Null, empty and wordless texts have no set and are linked with nothing; texts with fewer than five words have one
 shingle, the whole sequence. Repeated rows and repeated ids are nodes by their set; a component's id is the least id in it.
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bloom, grid
@@ -42,8 +44,9 @@ PERCENT = 80
 # Tokens of the lowest 30 % of hashes are counted.
 COUNTED = int(0.3 * 2 ** 64)
 HOT, MOST_HOT = 8, 1 << 20
-STARS = 3
-GROUP = 64
+STARS, TRIED = 16, 4
+# Nodes of a group, tokens of its sets (about), nodes of a family that is large.
+GROUP, GROUP_TOKENS, LARGE = 64, 1 << 16, 16
 
 
 def sets(chunk: grid.Chunk, size: int = WORDS_PER_SHINGLE) -> list[np.ndarray]:
@@ -241,35 +244,26 @@ def _need(n: Column, m: Column, first: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), overlap - rest)
 
 
-def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between nodes of a table from _sets_table: enough of them that every linked pair is connected."""
-    places = table.select("sid", "n", F.struct("end_n", "end_t").alias("end"), F.explode("hits").alias("token")).distinct()
-    several = places.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("token")
-    places = saved(places.join(several, "token", "left_semi").select("token", "sid", "n", "end"), "places")
-    # The stars of a token: the nodes with the least hash under several hashes.
-    least = [F.min(F.struct(F.xxhash64("sid", F.lit(r)).alias("h"), "sid", "n", "end")).alias(f"s{r}") for r in range(STARS)]
-    stars = places.groupBy("token").agg(*least).select("token", F.explode(F.array(*[f"s{r}" for r in range(STARS)])).alias("s")).select("token", "s.*")
-    stars = stars.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("end").alias("b_end")).distinct()
-    named = places.join(stars, "token").where((F.col("sid") != F.col("b")) & _fit(F.col("n"), F.col("m"), percent))
-    votes = named.groupBy(F.col("sid").alias("a"), "b", "n", "m", (F.col("end") <= F.col("b_end")).alias("first")).agg(F.count(F.lit(1)).alias("k"))
-    # Half of the needed votes is enough to try: this step may miss pairs, the next one finds them.
-    tried = votes.where(2 * F.col("k") >= _need(F.col("n"), F.col("m"), F.col("first"), percent))
-    best = tried.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("k", "b")), asc=False), 1, STARS).alias("s"))
-    pairs = best.select("a", F.explode("s.b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = saved(pairs, "stars")
-    tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
-    found = saved(_verify(pairs, tokens, percent), "linked")
-    named = components(found)
+def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nodes with the groups of other families (of least_size nodes or more) that the matrix cannot rule out: sid, gid; and all groups.
+
+    `before`: groups (sid, gid) that stay as they are.
+    """
     families = places.join(named, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "end", F.coalesce("component", "sid").alias("family"))
     # Tokens that still lie in several families.
     open_ = families.groupBy("token").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("token")
     left = saved(families.join(open_, "token", "left_semi"), "open")
     members = left.select("sid", "n", "end", "family").distinct()
-    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
-    part = F.pmod(F.xxhash64("sid", F.lit(-1)), F.ceil(F.col("size") / GROUP))
-    grouped = saved(members.join(sizes, "family").withColumn("gid", F.xxhash64("family", part)), "groups")
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
+    parts = F.ceil(F.greatest(F.col("size") / GROUP, F.col("all") / GROUP_TOKENS))
+    gid = F.xxhash64("family", F.pmod(F.xxhash64("sid", F.lit(-1)), parts), F.lit(before is not None))
+    grouped = members.join(sizes, "family").withColumn("gid", gid).drop("all")
+    if before is not None:
+        old = before.select("sid", F.col("gid").alias("old"))
+        grouped = grouped.join(old, "sid", "left").withColumn("gid", F.coalesce("old", "gid")).drop("old")
+    grouped = saved(grouped, "groups")
     rows = left.select("token", "sid").join(grouped, "sid")
-    matrix = rows.select("token", "gid").distinct()
+    matrix = rows.where(F.col("size") >= least_size).select("token", "gid").distinct()
     group = grouped.groupBy("gid").agg(
         F.first("family").alias("g_family"), F.first("size").alias("g_size"), F.min("n").alias("low"), F.max("n").alias("high"),
         F.min("end").alias("g_first"), F.max("end").alias("g_last"))
@@ -281,12 +275,62 @@ def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT
     n = F.col("n")
     small, large = F.greatest("low", F.ceil(n * percent / 100.0 - 1e-9)), F.least("high", F.floor(n * 100.0 / percent + 1e-9))
     after = F.when(F.col("end") <= F.col("g_last"), _need(n, small, F.lit(True), percent))
-    before = F.when(F.col("end") > F.col("g_first"), _need(n, large, F.lit(False), percent))
-    opened = counted.where(F.col("k") >= F.least(after, before)).select("sid", "gid")
-    pairs = opened.join(grouped.select("gid", F.col("sid").alias("b"), F.col("n").alias("m")), "gid").join(grouped.select("sid", "n"), "sid")
-    pairs = saved(pairs.where(_fit(F.col("n"), F.col("m"), percent)).select(F.col("sid").alias("a"), "b").distinct(), "opened")
+    ahead = F.when(F.col("end") > F.col("g_first"), _need(n, large, F.lit(False), percent))
+    return counted.where(F.col("k") >= F.least(after, ahead)).select("sid", "gid"), grouped.select("sid", "gid", "size")
+
+
+def _compare(opened: DataFrame, grouped: DataFrame, df: DataFrame, text_col: str, percent: int) -> DataFrame:
+    """Links (a, b) between nodes and the members of the groups opened for them; a group's sets travel as one row."""
+    inside = grouped.join(opened.select("gid").distinct(), "gid", "left_semi").select("gid", F.col("sid").alias("b"))
+    tokens = saved(_tokens(df, text_col, opened.select("sid").union(inside.select("b"))), "tokens")
+    held = inside.join(tokens, F.col("b") == F.col("sid")).groupBy("gid").agg(F.collect_list("b").alias("b"), F.collect_list("tokens").alias("sets"))
+    met = opened.join(tokens, "sid").join(held, "gid").select("sid", "tokens", "b", "sets")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for sid, x, members, sets_ in zip(*(batch.column(i) for i in range(4))):
+                x = np.frombuffer(x.as_buffer(), grid.U)
+                ids, y = members.values.to_numpy(), [np.frombuffer(v.as_buffer(), grid.U) for v in sets_.values]
+                size = np.array([len(v) for v in y])
+                # Tokens of each member that are in x.
+                inside = _find(x, np.concatenate(y))[1]
+                common = np.add.reduceat(inside, np.cumsum(size) - size, dtype=np.int64)
+                good = ids[100 * common >= percent * (len(x) + size - common)]
+                a.append(np.full(len(good), sid.as_py()))
+                b.append(good)
+            a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return met.mapInArrow(check, "a long, b long")
+
+
+def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) between nodes of a table from _sets_table: enough of them that every linked pair is connected."""
+    shared = (F.size("hits") / F.col("n")).alias("shared")
+    places = table.select("sid", "n", F.struct("end_n", "end_t").alias("end"), shared, F.explode("hits").alias("token")).distinct()
+    several = places.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("token")
+    places = saved(places.join(several, "token", "left_semi").select("token", "sid", "n", "end", "shared"), "places")
+    # The stars of a token: of its nodes in each of STARS parts the one with the largest part of its tokens shared.
+    least = F.min(F.struct((-F.col("shared")).alias("s"), F.xxhash64("sid", F.lit(1)).alias("h"), F.col("sid").alias("b"), F.col("n").alias("m"), F.col("end").alias("b_end"))).alias("s")
+    stars = places.groupBy("token", F.pmod(F.xxhash64("sid", F.lit(0)), F.lit(STARS)).alias("part")).agg(least).select("token", "s.b", "s.m", "s.b_end")
+    named = places.join(stars, "token").where((F.col("sid") != F.col("b")) & _fit(F.col("n"), F.col("m"), percent))
+    votes = named.groupBy(F.col("sid").alias("a"), "b", "n", "m", (F.col("end") <= F.col("b_end")).alias("first")).agg(F.count(F.lit(1)).alias("k"))
+    # Half of the needed votes is enough to try: this step may miss pairs, the next one finds them.
+    tried = votes.where(2 * F.col("k") >= _need(F.col("n"), F.col("m"), F.col("first"), percent))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("k"), "b"))
+    best = tried.withColumn("rank", rank).where(F.col("rank") <= TRIED)
+    pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = saved(pairs, "stars")
     tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
-    return saved(found.union(_verify(pairs, tokens, percent)), "links")
+    found = saved(_verify(pairs, tokens, percent), "linked")
+    # Large families take in their outlying members before these are compared with each other.
+    opened, groups = _opened(places, components(found), percent, LARGE)
+    opened = saved(opened, "opened")
+    found = saved(found.union(_compare(opened, groups, df, text_col, percent)), "linked")
+    other, groups = _opened(places, components(found), percent, 1, groups.where(F.col("size") >= LARGE))
+    other = saved(other.join(opened, ["sid", "gid"], "left_anti"), "opened")
+    return saved(found.union(_compare(other, groups, df, text_col, percent)), "links")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -271,11 +271,14 @@ def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int,
     in_size = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent)
     met = rows.select("token", "sid", "n", "end", "family", "size").join(matrix.join(group, "gid"), "token").where(smaller & in_size)
     counted = met.groupBy("sid", "gid", "n", "end", "low", "high", "g_first", "g_last").agg(F.count(F.lit(1)).alias("k"))
-    # What the query must share with a member that ends after it grows with the member's size, with one that ends before it falls.
+    # What the query must share with a member that ends after it grows with the member's size. With one that ends before it, it falls by
+    # t^2 / (1 + t) a size but for rounding, which moves it by less than one: the least lies among the largest sizes over which it falls by one.
     n = F.col("n")
     small, large = F.greatest("low", F.ceil(n * percent / 100.0 - 1e-9)), F.least("high", F.floor(n * 100.0 / percent + 1e-9))
     after = F.when(F.col("end") <= F.col("g_last"), _need(n, small, F.lit(True), percent))
-    ahead = F.when(F.col("end") > F.col("g_first"), _need(n, large, F.lit(False), percent))
+    last = -(-100 * (100 + percent) // percent ** 2)
+    least = F.least(*[_need(n, F.greatest(small, large - k), F.lit(False), percent) for k in range(last)])
+    ahead = F.when(F.col("end") > F.col("g_first"), least)
     return counted.where(F.col("k") >= F.least(after, ahead)).select("sid", "gid"), grouped.select("sid", "gid", "size")
 
 

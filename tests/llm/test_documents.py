@@ -193,6 +193,38 @@ def test_jaccard_components(frame, odd_rows, monkeypatch, small):
     assert counted((r.doc_id, r.n_shingles, r.component_id) for r in found) == counted((i, len(sets[i]), find(i)) for i, *_ in rows)
 
 
+def test_jaccard_links_across_sizes_of_a_group(frame, monkeypatch):
+    """A query of 100 shingles is linked with a member of 104, not with one of 105 of the same family; the star step does not try the query."""
+    verify = jaccard._verify
+
+    def without_query(pairs, tokens, percent):
+        query = [r.sid for r in tokens.where(F.octet_length("tokens") == 8 * 100).collect()]
+        return verify(pairs.where(~F.col("a").isin(query) & ~F.col("b").isin(query)), tokens, percent)
+
+    monkeypatch.setattr(jaccard, "_verify", without_query)
+    passage = [f"p{k}" for k in range(95)]
+    own = [f"a{k}" for k in range(14)]
+    rows = [(1, passage + [f"q{k}" for k in range(9)]), (2, passage + own[:13]), (3, passage + own)]
+    rows += [(10 + i, passage + [f"h{i}x{k}" for k in range(30)]) for i in range(12)]
+    rows = [(i, " ".join(words), "en", "a") for i, words in rows]
+    sets = {i: shingles(t) for i, t, *_ in rows}
+    assert [len(sets[i]) for i in (1, 2, 3)] == [100, 104, 105]
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked == {(1, 2), (2, 3)}
+    found = jaccard.near_duplicates(frame(rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 1 if i < 4 else i for i in sets}
+
+
+@pytest.mark.parametrize("percent", [50, 70, 80, 90])
+def test_jaccard_group_bound_is_the_least_need(percent):
+    last = -(-100 * (100 + percent) // percent ** 2)
+    for n in [*range(1, 130), 997]:
+        small, large = -(-n * percent // 100), n * 100 // percent
+        need = [max(1, -(-percent * (n + m) // (100 + percent)) - (-(-percent * m // 100) - 1)) for m in range(small, large + 1)]
+        for k in range(len(need)):
+            assert min(need[:k + 1]) == min(need[max(0, k + 1 - last):k + 1])
+
+
 def test_jaccard_with_null_ids(frame, odd_rows):
     found = jaccard.near_duplicates(frame(odd_rows)).collect()
     assert counted((r.doc_id, r.n_shingles) for r in found) == counted((i, len(shingles(t))) for i, t, *_ in odd_rows)

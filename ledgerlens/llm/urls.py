@@ -4,8 +4,8 @@ A list is a history: entries with a kind (`host`: the host and all hosts under i
 to a /, ?, # or the end), a value, a category, a date and an action, `add` or `remove`. `validity` turns the history into
 intervals during which an entry holds. `judge` joins every capture with the entries active when it was fetched.
 
-A capture asks for its host and the domains above it and for the prefixes of its address, at most LABELS and STEPS of
-them: that many equality look-ups, no pattern matching. Intervals are cut at months and joined on (kind, value, month), which
+A capture asks for its host and all domains above it and for all prefixes of its address, but only of as many labels or
+steps as some entry has: equality look-ups, no pattern matching. Intervals are cut at months and joined on (kind, value, month), which
 spreads a value with very many captures or entries over the months; what lies in one month is compared by time. A
 capture's keys are distinct before the join, and captures alike in address and time are looked up once.
 
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.lines import host
 
-LABELS = 8
-STEPS = 12
 ADD, REMOVE = "add", "remove"
 FOREVER = "9999-12-31 00:00:00"
 
@@ -49,16 +47,26 @@ def _month(t: Column) -> Column:
     return F.year(t) * 12 + F.month(t) - 1
 
 
-def keys(url: Column) -> Column:
-    """What a capture asks for: array of (kind, value)."""
+def _labels(name: Column) -> Column:
+    return F.split(name, r"\.")
+
+
+def _steps(whole: Column) -> Column:
+    # Cut before each / or ?.
+    return F.split(whole, r"(?=[/?])")
+
+
+def keys(url: Column, labels: Column | None = None, steps: Column | None = None) -> Column:
+    """What a capture asks for: array of (kind, value), of the numbers of labels and of steps given (arrays; by default of all)."""
     name, whole = host(url), address(url)
-    labels = F.split(name, r"\.")
-    up = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(LABELS))), lambda i: F.array_join(F.slice(labels, F.size(labels) - i + 1, i), "."))
-    hosts = F.transform(F.array_distinct(F.concat(up, F.array(name))), lambda v: F.struct(F.lit("host").alias("kind"), v.alias("value")))
-    # Prefixes that end before a / or ?, and the whole address.
-    steps = F.split(whole, r"(?=[/?])")
-    down = F.transform(F.sequence(F.lit(1), F.least(F.size(steps), F.lit(STEPS))), lambda i: F.array_join(F.slice(steps, 1, i), ""))
-    paths = F.transform(F.array_distinct(F.concat(down, F.array(whole))), lambda v: F.struct(F.lit("url").alias("kind"), v.alias("value")))
+
+    def asked(parts: Column, kind: str, numbers: Column | None, join) -> Column:
+        every = F.sequence(F.lit(1), F.size(parts))
+        wanted = every if numbers is None else F.filter(numbers, lambda i: i <= F.size(parts))
+        return F.transform(wanted, lambda i: F.struct(F.lit(kind).alias("kind"), join(parts, i).alias("value")))
+
+    hosts = asked(_labels(name), "host", labels, lambda p, i: F.array_join(F.slice(p, F.size(p) - i + 1, i), "."))
+    paths = asked(_steps(whole), "url", steps, lambda p, i: F.array_join(F.slice(p, 1, i), ""))
     return F.when(name.isNotNull(), F.concat(hosts, paths))
 
 
@@ -74,7 +82,12 @@ def judge(captures: DataFrame, intervals: DataFrame, url: str = "url", at: str =
     cut = intervals.join(F.broadcast(span)).where((_month(F.col("valid_from")) <= F.col("__last")) & (_month(F.col("valid_to")) >= F.col("__first")))
     months = F.sequence(F.greatest(_month(F.col("valid_from")), F.col("__first")), F.least(_month(F.col("valid_to")), F.col("__last")))
     cut = cut.select("kind", "value", "category", "valid_from", "valid_to", F.explode(months).alias("month"))
-    wanted = asked.select("__u", "__t", _month(F.col("__t")).alias("month"), F.explode(keys(F.col("__u"))).alias("k")).select("__u", "__t", "month", "k.kind", "k.value")
+    # The numbers of labels and steps that occur in the list: one row.
+    value = F.col("value")
+    held = intervals.agg(F.collect_set(F.when(F.col("kind") == "host", F.size(_labels(value)))).alias("__labels"),
+                         F.collect_set(F.when(F.col("kind") == "url", F.size(_steps(value)))).alias("__steps"))
+    asked = asked.join(F.broadcast(held))
+    wanted = asked.select("__u", "__t", _month(F.col("__t")).alias("month"), F.explode(keys(F.col("__u"), F.col("__labels"), F.col("__steps"))).alias("k")).select("__u", "__t", "month", "k.kind", "k.value")
     hits = wanted.join(cut, ["kind", "value", "month"]).where((F.col("valid_from") <= F.col("__t")) & (F.col("__t") < F.col("valid_to")))
     found = hits.groupBy("__u", "__t").agg(F.count(F.lit(1)).alias("n_entries"), F.min("category").alias("category"))
     joined = rows.join(found, (rows[url] == found["__u"]) & (rows[at] == found["__t"]), "left")

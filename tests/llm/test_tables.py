@@ -104,6 +104,18 @@ def test_address_lists(spark):
     assert urls.judge(df.limit(0), valid).count() == 0 and urls.judge(df, valid.limit(0)).where("blocked").count() == 0
 
 
+def test_deep_address_lists(spark):
+    day = dt.datetime(2024, 1, 1)
+    name, path = ".".join(f"l{k}" for k in range(8)) + ".org", "deep.net" + "".join(f"/s{k}" for k in range(11)) + "?u=http:"
+    assert len(name.split(".")) == 9 and len(re.split("(?=[/?])", path)) == 13
+    entries = [("host", name, "h", day, "add"), ("url", path, "u", day, "add"), ("url", "deep.net/s0", "v", day, "add"), ("host", "wide.org", "w", day, "add")]
+    history = spark.createDataFrame(entries, "kind string, value string, category string, listed_at timestamp, action string")
+    want = {f"http://{name}/": ["h"], f"http://www.a.{name}/x": ["h"], f"http://{name[3:]}/": [], f"http://{path}": ["u", "v"], f"http://{path}//x.org/y?z": ["u", "v"],
+            f"http://{path[:-1]}": ["v"], f"http://{path}x": ["v"], "http://" + ".".join("abcdefghijkl") + ".wide.org/1/2/3": ["w"]}
+    found = urls.judge(spark.createDataFrame([(u, day) for u in want], "url string, fetched_at timestamp"), urls.validity(history)).collect()
+    assert {r.url: (r.n_entries, r.category) for r in found} == {u: (len(c), min(c, default=None)) for u, c in want.items()}
+
+
 def _stage(name):
     return dict(corpus_pipeline.STAGES)[name]
 

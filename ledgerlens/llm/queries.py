@@ -73,7 +73,7 @@ FROM marked GROUP BY page_id"""
 
 @query
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rotated = chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    rotated = chat.whole(chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
     return rotated.select("conv_id", "participant", "n_turns", F.sha2("rendered", 256).alias("rendered_sha256"), spans.alias("spans"))
 

@@ -84,6 +84,24 @@ def test_long_dialogues_come_in_parts(spark, monkeypatch):
     assert sorted((r.part, r.participant, r.n_turns) for r in chat.rotate(df).collect()) == [(0, "a", 4), (0, "b", 4), (1, "a", 4), (1, "b", 4), (2, "a", 2), (2, "b", 2)]
 
 
+@pytest.mark.parametrize("part", [3, chat.PART])
+def test_long_dialogues_equal_the_twin(spark, tmp_path, monkeypatch, part):
+    """Participants silent in a part, more turns than a part, a dialogue in several ranges; the twin renders dialogues whole."""
+    monkeypatch.setattr(chat, "PART", part)
+    rows = [(1, i, "ann" if i < 5 else "bob" if i % 7 else "system" if i % 2 else None, f"é{i} <|im_end|>") for i in range(2100)]
+    rows += [(2, i // 3, "xyz"[i % 3], "t" * i) for i in range(8)] + [(3, 0, "system", "alone"), (4, 0, "ann", None)]
+    (tmp_path / "conversations.parquet").mkdir()
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3).write.mode("overwrite").parquet(path)
+    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+    found = QUERIES["op5_chat"](spark, str(tmp_path))
+    want = duckdb.sql(ORACLES["op5_chat"])
+    assert counted(found.collect()) == counted(want.select(*found.columns).fetchall())
+    parts = chat.rotate(spark.read.parquet(path))
+    number = Counter((r.conv_id, r.participant) for r in parts.collect())
+    assert number[1, "ann"] == number[1, "bob"] == number[1, chat.UNKNOWN] == -(-2100 // part)
+
+
 def test_address_lists(spark):
     day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
     entries = [("host", "bad.com", "spam", day(10), "add"), ("host", "bad.com", "spam", day(10), "add"), ("host", "bad.com", "spam", day(12), "add"),

@@ -5,11 +5,12 @@ goes to the others by weight, until none is above. In one ordering by size over
 running sums find the level without a loop.
 
 Blocks: a source's texts are dealt to shards of about SHARD_ROWS rows by seeded hash, and stand in each shard in seeded
-order, cut into blocks of BLOCK words (texts may span blocks). Every shard's votes are its part of its source's target. A block
-goes to the highest quotient votes / (2 * seats + 1) as long as that is half a block or more, which gives each shard
-round(votes / BLOCK) blocks: the divisor form of the method, with BLOCK as its divisor. A shard with a quota above its
-blocks takes all of them as often as it holds and the rest by seeded choice: a run of blocks, round the end, that starts
-at a block drawn by hash. As the order is a seeded shuffle, such a run is a random choice of texts.
+order. A source is taken whole as often as its target holds it, counted in words. Only the rest is apportioned, in blocks of BLOCK words (texts
+may span blocks; a source of few words has smaller ones, FEW at least): a shard's votes are its part of the rest, and a block goes to the
+highest quotient votes / (2 * seats + 1). The divisor form of the method, with the block as its divisor, gives each shard
+round(votes / block) blocks; then the shards with the next highest quotients get one more, or those with the lowest give one back, until
+the source has round(rest / block). A shard takes its blocks as a run of words, round the end, that starts at a block drawn by hash.
+As the order is a seeded shuffle, such a run is a random choice of texts.
 
 Null texts have size 0 and nothing is taken of them. A null source is a source of its own, last in order. Texts with the
 same id and text are alike in order; each is counted. No row is dropped: taken says how many words of it the mix uses.
@@ -25,6 +26,7 @@ from ledgerlens.llm.common import saved, word_count
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK = 32
+FEW = 32
 SHARD_ROWS = 1_000
 SEED = 7
 
@@ -60,24 +62,39 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     key = F.xxhash64(F.lit(seed), F.col("__id"), F.col("__source"))
     shards = F.greatest(F.lit(1), F.ceil(F.col("__rows") / SHARD_ROWS))
     rows = rows.select("*", key.alias("__key")).withColumn("__shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("__key")), shards))
-    shard = Window.partitionBy("__source", "__shard")
-    line = shard.orderBy("__key", "__id", "__size")
+    line = Window.partitionBy("__source", "__shard").orderBy("__key", "__id", "__size")
     end = F.sum("__size").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumns({"__end": end, "__all": F.sum("__size").over(shard)}).withColumn("__from", F.col("__end") - F.col("__size"))
-    blocks = F.ceil(F.col("__all") / block)
-    votes = F.col("target") * F.col("__all") / F.col("source_size")
-    quota = F.least(F.floor(votes / block + 0.5), MOST * F.col("__blocks"))
-    rows = rows.withColumn("__blocks", blocks).withColumn("__quota", F.when(F.col("__blocks") > 0, quota).otherwise(F.lit(0)))
-    rows = rows.withColumn("__rest", F.when(F.col("__blocks") > 0, F.col("__quota") % F.col("__blocks")).otherwise(F.lit(0)))
-    first = F.when(F.col("__blocks") > 0, F.pmod(F.xxhash64(F.lit(seed + 2), F.col("__source"), F.col("__shard")), F.col("__blocks"))).otherwise(F.lit(0))
-    rows = rows.withColumn("__first", first)
+    rows = rows.withColumn("__end", end).withColumn("__from", F.col("__end") - F.col("__size"))
+    joined = rows.join(_runs(rows, seed, block), F.col("__source").eqNullSafe(F.col("__of")) & (F.col("__shard") == F.col("__in")))
 
     def overlap(start, stop):
         return F.greatest(F.lit(0), F.least(F.col("__end"), stop) - F.greatest(F.col("__from"), start))
 
-    stop = F.col("__first") + F.col("__rest")
-    run = overlap(F.col("__first") * block, F.least(stop, F.col("__blocks")) * block)
-    again = overlap(F.lit(0), (stop - F.col("__blocks")) * block)
-    full = F.when(F.col("__blocks") > 0, F.floor(F.col("__quota") / F.col("__blocks"))).otherwise(F.lit(0))
-    taken = (full * F.col("__size") + run + again).cast("long")
-    return rows.select(F.col("__id").alias(id_col), F.col("__size").alias("size"), "source_size", "target", taken.alias("taken"))
+    stop = F.col("__start") + F.col("__length")
+    run = overlap(F.col("__start"), F.least(stop, F.col("__all")))
+    again = overlap(F.lit(0), stop - F.col("__all"))
+    taken = (F.col("__full") * F.col("__size") + run + again).cast("long")
+    return joined.select(F.col("__id").alias(id_col), F.col("__size").alias("size"), "source_size", "target", taken.alias("taken"))
+
+
+def _runs(rows: DataFrame, seed: int, block: int) -> DataFrame:
+    """Of each shard (__of, __in): __all (its words), __full (how often all are taken), __start and __length of its run. The window holds one row per shard."""
+    shards = rows.groupBy("__source", "__shard", "source_size", "target").agg(F.sum("__size").alias("__all"))
+    some = F.col("source_size") > 0
+    full = F.when(some, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    shards = shards.withColumn("__full", full).withColumn("__block", F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("source_size") / FEW))))
+    shards = shards.withColumn("__rest", F.greatest(F.lit(0.0), F.col("target") - F.col("__full") * F.col("source_size")))
+    votes = F.when(some, F.col("__rest") * F.col("__all") / F.col("source_size")).otherwise(F.lit(0.0))
+    shards = shards.withColumn("__votes", votes).withColumn("__seats", F.floor(votes / F.col("__block") + 0.5))
+    source = Window.partitionBy("__source")
+    missing = F.floor(F.col("__rest") / F.col("__block") + 0.5) - F.sum("__seats").over(source)
+    more = F.row_number().over(source.orderBy((F.col("__votes") / (2 * F.col("__seats") + 1)).desc(), "__shard"))
+    given = F.when(F.col("__seats") > 0, F.col("__votes") / (2 * F.col("__seats") - 1))
+    less = F.row_number().over(source.orderBy(given.asc_nulls_last(), "__shard"))
+    shards = shards.withColumns({"__missing": missing, "__more": more, "__less": less})
+    change = F.when(F.col("__more") <= F.col("__missing"), 1).when(F.col("__less") <= -F.col("__missing"), -1).otherwise(0)
+    seats = F.greatest(F.lit(0), F.col("__seats") + change)
+    blocks = F.ceil(F.col("__all") / F.col("__block"))
+    start = F.when(blocks > 0, F.pmod(F.xxhash64(F.lit(seed + 2), F.col("__source"), F.col("__shard")), blocks) * F.col("__block")).otherwise(F.lit(0))
+    return shards.select(F.col("__source").alias("__of"), F.col("__shard").alias("__in"), "__all", "__full", start.alias("__start"),
+                         F.least(seats * F.col("__block"), F.col("__all")).alias("__length"))

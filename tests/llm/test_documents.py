@@ -155,6 +155,31 @@ def test_mixing(frame, odd_rows, block):
     assert counted((r.doc_id, r.taken) for r in again) == counted((r.doc_id, r.taken) for r in found)
 
 
+@pytest.mark.parametrize("shard_rows", [mixing.SHARD_ROWS, 4])
+def test_mixing_of_small_sources(frame, monkeypatch, shard_rows):
+    """Sources of 5 to 200 words beside large ones, with the default block: targets are met to about half a block, a shard at most to one."""
+    from tests.llm.conftest import prose
+    monkeypatch.setattr(mixing, "SHARD_ROWS", shard_rows)
+    small = {f"s{n:03d}": n for n in (5, 10, 33, 40, 65, 100, 200)}
+    rows = [(i, prose(i, n), "en", s) for i, (s, n) in enumerate(small.items())] + [(50 + i, prose(i, 2), "en", None) for i in range(9)]
+    rows += [(100 + i, prose(i, 60 + i % 7), "en", "xyz"[i % 3]) for i in range(300)]
+    taken, target = defaultdict(int), {}
+    source = {i: s for i, _, _, s in rows}
+    for r in mixing.mix(frame(rows)).collect():
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    for s, n in small.items():
+        assert target[s] == 3 * n and taken[s] == 3 * n
+    assert target[None] == taken[None] == 54
+    for s in "xyz":
+        assert abs(taken[s] - target[s]) <= mixing.BLOCK / 2
+    # Rests of small sources, too.
+    part = [(1, prose(1, 5), "en", "a"), (2, prose(2, 40), "en", "b"), (3, prose(3, 100), "en", "c"), (4, prose(4, 200), "en", "d")]
+    for r in mixing.mix(frame(part), weights=(1, 3, 5, 4), share=0.7).collect():
+        assert abs(r.taken - r.target) <= 3.5
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_components(frame, odd_rows, monkeypatch, small):
     import random

@@ -7,7 +7,8 @@ without blanks at their ends, by 64-bit hash.
 Counting shuffles (site, hash) pairs, summed per task first, so a large site or a line on all pages is no hot spot. A site has
 at most (lines per page / RATIO) boilerplate lines, so their hashes fit one array for each site; each page's lines are
 filtered in place, and no text is taken apart in a shuffle. The table of them is broadcast when it holds at most BROADCAST
-hashes and letters; a larger one is joined with salted sites.
+hashes and letters; a larger one is joined with salted sites: a site has a salt for every SALT_PAGES pages, and a page's salt is
+the hash of all its columns, so copies of a text or null texts part by their ids (rows alike in all columns stay together).
 
 Null texts stay null and have no lines; a null site is a site of its own; repeated rows count as pages each. Other columns
 are kept; result columns n_lines and n_dropped replace columns of those names.
@@ -15,6 +16,8 @@ are kept; result columns n_lines and n_dropped replace columns of those names.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ from ledgerlens.llm.common import saved
 RATIO = 0.1
 LEAST = 5
 BROADCAST = 1_000_000
-SALTS = 64
+SALT_PAGES = 10_000
 
 # Elements whose content is no text, and tags that end a line (fixed values of HTML).
 UNSEEN = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>|<!--.*?-->"
@@ -50,12 +53,12 @@ def _bare(line: Column) -> Column:
 
 
 def boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
-    """Hashes of each site's boilerplate lines: __site, __lines (sorted array)."""
+    """Hashes of each site's boilerplate lines: __site, __pages (its pages), __lines (sorted array)."""
     hashes = F.array_distinct(F.transform(F.filter(F.split(F.col(text), "\n"), lambda x: _bare(x) != ""), lambda x: F.xxhash64(_bare(x))))
     pages = df.groupBy(F.col(site).alias("__site")).agg(F.count(F.lit(1)).alias("__pages"))
     held = df.select(F.col(site).alias("__key"), F.explode(hashes).alias("__line")).groupBy("__key", "__line").agg(F.count(F.lit(1)).alias("__n"))
     common = held.where(F.col("__n") >= least).join(pages, F.col("__key").eqNullSafe(F.col("__site")))
-    return common.where(F.col("__n") > F.lit(ratio) * F.col("__pages")).groupBy("__site").agg(F.sort_array(F.collect_list("__line")).alias("__lines"))
+    return common.where(F.col("__n") > F.lit(ratio) * F.col("__pages")).groupBy("__site", "__pages").agg(F.sort_array(F.collect_list("__line")).alias("__lines"))
 
 
 def drop_boilerplate(df: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST) -> DataFrame:
@@ -66,10 +69,15 @@ def drop_boilerplate(df: DataFrame, site: str = "source", text: str = "text", ra
     if held[1] + held[0] <= BROADCAST:
         rows = rows.join(F.broadcast(common), rows[site].eqNullSafe(common["__site"]), "left")
     else:
-        # Too much for every executor: the pages of a site go to SALTS tasks, and so does a copy of its lines.
-        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(text), F.lit(SALTS)))
-        copies = common.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.join(copies, rows[site].eqNullSafe(copies["__site"]) & (F.col("__salt") == F.col("__part")), "left")
+        # Too much for every executor: the pages of a site go to as many tasks as it has salts, and so does a copy of its lines.
+        # Only sites of several salts (at most one for every SALT_PAGES pages) are broadcast, with their numbers.
+        salts = F.ceil(F.col("__pages") / SALT_PAGES)
+        large = common.where(salts > 1).select(F.col("__site").alias("__large"), salts.alias("__salts"))
+        own = [f"`{f.name}`" for f in rows.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+        rows = rows.join(F.broadcast(large), rows[site].eqNullSafe(large["__large"]), "left")
+        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*own), F.coalesce("__salts", F.lit(1))))
+        copies = common.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+        rows = rows.join(copies, F.col(f"`{site}`").eqNullSafe(copies["__site"]) & (F.col("__salt") == F.col("__part")), "left")
     worded = lambda lines: F.coalesce(F.size(F.filter(lines, lambda x: _bare(x) != "")), F.lit(0)).cast("long")
     lines = F.split(F.col(text), "\n")
     none = F.array().cast("array<bigint>")

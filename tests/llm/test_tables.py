@@ -52,6 +52,26 @@ def test_line_dedup(frame, odd_rows, monkeypatch, broadcast):
     assert "token" in found.columns and lines.drop_boilerplate(frame([]), "source", "text").count() == 0
 
 
+def test_copies_of_a_text_get_several_salts(spark, monkeypatch):
+    monkeypatch.setattr(lines, "BROADCAST", 0)
+    monkeypatch.setattr(lines, "SALT_PAGES", 30, raising=False)
+    rows = [(i, "big", "site menu\nsame text" if i % 3 else None) for i in range(300)] + [(900 + i, "small", "foot\nx") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    made, keep = [], type(df).withColumn
+
+    def seen(self, name, value):
+        out = keep(self, name, value)
+        if name == "__salt":
+            made.append(out)
+        return out
+
+    monkeypatch.setattr(type(df), "withColumn", seen)
+    found = lines.drop_boilerplate(df, "source", "text")
+    assert counted(found.select("doc_id", "text", "n_dropped").collect()) == counted((i, None if t is None else "", 0 if t is None else 2) for i, _, t in rows)
+    salts = {(r.source, r.text): r.n for r in made[0].groupBy("source", "text").agg(F.countDistinct("__salt").alias("n")).collect()}
+    assert salts == {("big", None): 10, ("big", "site menu\nsame text"): 10, ("small", "foot\nx"): 1}
+
+
 def test_html_lines(spark):
     page = "<html><head><title>T</title><style>p{}</style></head><body><!-- x --><p>a <b>b</b> &amp;amp;<br>c</p><script>var a='<p>';</script><li>d</li></body>"
     df = spark.createDataFrame([(page,), (None,), ("",)], "h string").select(lines.html_lines(F.col("h")).alias("t"))

@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.session import checkpoint_dir, drop_path
+
 # A word is a run of anything but blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 WORDS_PER_SHINGLE = 5
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the cluster; an own one only where the session names none (tests on one machine)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -33,6 +29,58 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Saved tables of which the older ones are deleted as soon as nothing reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def save(self, df: DataFrame, label: str) -> DataFrame:
+        path = new_folder(self.spark, label)
+        df.write.option("compression", "zstd").parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_all_but(self, last: int) -> None:
+        while len(self.paths) > last:
+            drop_path(self.spark, self.paths.pop(0))
+
+
+_LIMB = 32
+
+
+def exact_totals(df: DataFrame, per_task: Callable[[Iterator[pa.RecordBatch]], dict[int, int]]) -> dict[int, int]:
+    """Sums of integers of any size: per_task gives a task's sum for each place; Spark adds them up in pieces of 32 bits.
+
+    The result has one row per place and piece, so callers see to it that places are few (clusters, dimensions, pairs of dimensions).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, limb, value = [], [], []
+        for at, total in per_task(batches).items():
+            sign, total, k = (-1 if total < 0 else 1), abs(int(total)), 0
+            while total:
+                place.append(at), limb.append(k), value.append(sign * (total & ((1 << _LIMB) - 1)))
+                total, k = total >> _LIMB, k + 1
+        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(limb, pa.int32()), pa.array(value, pa.int64())], ["place", "limb", "value"])
+
+    found = df.mapInArrow(run, "place long, limb int, value long").groupBy("place", "limb").agg(F.sum("value").alias("value")).collect()
+    out: dict[int, int] = defaultdict(int)
+    for r in found:
+        out[r.place] += r.value << (_LIMB * r.limb)
+    return out
+
+
+def matrix(column: pa.Array, dims: int) -> np.ndarray:
+    """The rows of a list column, all of one length, as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
+
+
+def usable_vector(vector: Column, scale: int) -> Column:
+    """Whether there is a vector and every entry, times scale, is a number whose floor a long holds: no null, no NaN, no infinity."""
+    limit = F.lit(float(2**62) / scale)
+    return F.coalesce(F.forall(vector, lambda c: F.coalesce(F.abs(c.cast("double")) < limit, F.lit(False))), F.lit(False))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, fingerprints, jaccard, lines, mixing, outliers, pieces, records, suffixes, urls
+from ledgerlens.llm import chat, clusters, fingerprints, jaccard, lines, mixing, outliers, packing, pieces, records, suffixes, urls, whitening
 from ledgerlens.llm.common import documents, new_folder, saved
 
 QUERIES = {}
@@ -164,3 +164,49 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op11_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def _k_means_sql(dims: int = 64, k: int = 40, rounds: int = 5, scale: int = 256, seed: str = "2") -> str:
+    """Plain k-means on whole numbers: every round compares every vector with every centroid."""
+    kept = f"len(embedding) = {dims} AND list_aggregate(list_transform(embedding, lambda c: CASE WHEN isfinite(c) THEN 0 ELSE 1 END), 'sum') = 0 AND list_count(embedding) = {dims}"
+    parts = [
+        f"x AS MATERIALIZED (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(floor({scale} * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS v FROM embeddings WHERE {kept})",
+        f"""c0 AS MATERIALIZED (
+  SELECT s.c, x.i, x.v FROM x JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM (SELECT DISTINCT vec_id FROM x) QUALIFY c < {k}) s USING (vec_id))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, c, d FROM (
+    SELECT x.vec_id, m.c, sum((x.v - m.v) * (x.v - m.v)) AS d FROM x JOIN c{r} m USING (i) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS MATERIALIZED (
+  SELECT c, i, (s - ((s % n) + n) % n) // n AS v FROM (SELECT c, i, sum(v) AS s, count(*) AS n FROM x JOIN a{r} USING (vec_id) GROUP BY ALL)),
+c{r + 1} AS MATERIALIZED (SELECT c, i, CAST(coalesce(m{r}.v, c{r}.v) AS BIGINT) AS v FROM c{r} LEFT JOIN m{r} USING (c, i))""")
+    return f"""WITH {", ".join(parts)},
+shas AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN shas USING (c)"""
+
+
+ORACLES["op11_ns_bounds"] = _k_means_sql()
+
+
+@query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    plan = packing.pack(cut)
+    # Only the checksum of a piece's ids goes through the join.
+    light = cut.select("row", "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"))
+    return packing.place(light, plan)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

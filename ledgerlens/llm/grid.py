@@ -1,7 +1,9 @@
 """Word, line and span hashes of many texts at once, as NumPy arrays over their UTF-8 bytes.
 
 Texts are taken in chunks of about CHUNK bytes (a longer text is a chunk of its own), so memory follows the longest
-text and not the Arrow batch. Hashes are 64 bits wide: polynomials over the bytes, mixed.
+text and not the Arrow batch. Hashes are 64 bits wide: polynomials over the bytes, mixed; where equal hashes stand for equal words or
+lines, spans of more than SHORT elements are hashed one by one (modulo 2^64, some pairs of 1,024 letters and more have one value for
+every odd base).
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK = 1 << 19
+SHORT = 255
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _powers = {_BASE: np.ones(1, U), pow(_BASE, -1, 1 << 64): np.ones(1, U)}
@@ -57,8 +61,13 @@ class Chunk:
         return out
 
     @staticmethod
-    def span(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((prefix[end] - prefix[start]) * powers(len(prefix), True)[start])
+    def span(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, data: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of spans; data (what the prefix was made of) where they are to tell long spans apart."""
+        out = mix((prefix[end] - prefix[start]) * powers(len(prefix), True)[start])
+        if data is not None:
+            for i in np.flatnonzero(end - start > SHORT).tolist():
+                out[i] = xxhash.xxh3_64_intdigest(data[start[i]:end[i]].tobytes())
+        return out
 
     def row_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets[1:], places, side="right")
@@ -86,8 +95,8 @@ class Chunk:
     def shingles(self, size: int, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash of each run of `size` words and its row, and the words of each row. Rows with fewer words have no run."""
         start, end, row = self.words()
-        prefix = self.prefix(_LOWER[self.data] if lower else None)
-        word = self.span(prefix, start, end)
+        data = _LOWER[self.data] if lower else self.data
+        word = self.span(self.prefix(data), start, end, data)
         count = np.bincount(row, minlength=self.rows)
         n = len(word) - size + 1
         if n <= 0:

@@ -55,7 +55,8 @@ def sets(chunk: grid.Chunk, size: int = WORDS_PER_SHINGLE) -> list[np.ndarray]:
     short = np.flatnonzero((count > 0) & (count < size))
     if len(short):
         start, end, of = chunk.words()
-        word = chunk.span(chunk.prefix(grid._LOWER[chunk.data]), start, end)
+        lower = grid._LOWER[chunk.data]
+        word = chunk.span(chunk.prefix(lower), start, end, lower)
         at = np.cumsum(count) - count
         whole = np.zeros(len(short), grid.U)
         for k in range(size - 1):

@@ -70,7 +70,7 @@ def _counts(chunk: grid.Chunk) -> list[np.ndarray]:
     np.cumsum(solid, out=full[1:])
     worded = full[ends] > full[starts]
     starts, ends, line_row = starts[worded], ends[worded], line_row[worded]
-    key = grid.mix(chunk.span(chunk.prefix(), starts, ends) ^ grid.mix(line_row.astype(grid.U)))
+    key = grid.mix(chunk.span(chunk.prefix(), starts, ends, chunk.data) ^ grid.mix(line_row.astype(grid.U)))
     _, first = np.unique(key, return_index=True)
     doubles = np.bincount(line_row, minlength=chunk.rows) - np.bincount(line_row[first], minlength=chunk.rows)
     return [n_words, letters, chunk.per_row(_SYMBOL[data]), doubles, repeats]

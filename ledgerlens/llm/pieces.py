@@ -246,7 +246,7 @@ class Vocabulary:
             end = np.append(start[1:], len(points))
             prefix = np.zeros(len(points) + 1, np.uint64)
             np.cumsum((points.astype(np.uint64) + np.uint64(1)) * grid.powers(len(points)), out=prefix[1:])
-            word, first, back = np.unique(grid.Chunk.span(prefix, start, end), return_index=True, return_inverse=True)
+            word, first, back = np.unique(grid.Chunk.span(prefix, start, end, points), return_index=True, return_inverse=True)
             at, number = self.store.find(word, lambda new: self._learn(points, start[first[new]], (end - start)[first[new]]))
             each = number[back]
             row = np.searchsorted(begins[full], start, side="right") - 1

@@ -160,7 +160,7 @@ class WordEncoder:
     def encode(self, chunk: grid.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk's texts, and the number of each text."""
         start, end, row = chunk.words()
-        word, first, back = np.unique(chunk.span(chunk.prefix(), start, end), return_index=True, return_inverse=True)
+        word, first, back = np.unique(chunk.span(chunk.prefix(), start, end, chunk.data), return_index=True, return_inverse=True)
         at, size = self.store.find(word, lambda new: self._learn([chunk.data[start[i]:end[i]].tobytes() for i in first[new]]))
         each = size[back]
         return self.store.values[ragged(at[back], each)], np.bincount(row, weights=each, minlength=chunk.rows).astype(np.int64)

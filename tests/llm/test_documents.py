@@ -319,3 +319,23 @@ def test_digests(frame):
     ids = pieces.vocabulary(path).library.encode("Hello wörld")
     assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     assert r.decoded_sha256 == hashlib.sha256("Hello wörld".encode()).hexdigest() and zlib.crc32(b"") == 0
+
+
+def test_words_whose_polynomials_are_equal(frame):
+    """Two words of 1,024 letters that every polynomial modulo 2^64 with an odd base takes for one."""
+    from tests.llm.conftest import prose
+    letters = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    swapped = letters.translate(str.maketrans("ab", "ba"))
+    tail = prose(3, 30)
+    rows = [(1, f"{letters} {tail}", "en", "a"), (2, f"{swapped} {tail}", "en", "a"), (3, f"{letters}\n{swapped}\n{tail}", "en", "a"), (4, letters, "en", "a"), (5, swapped, "en", "a")]
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = pieces.vocabulary(path).library
+    coded = {r.doc_id: r.ids for r in pieces.encode(frame(rows, parts=1), path).collect()}
+    assert coded == {i: library.encode(t) for i, t, *_ in rows}
+    words = records.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    index = records.write(frame(rows, parts=1), public_tokenizers.path("word_bpe_49k.json"), folder := new_folder(frame(rows).sparkSession, "records"))
+    found = {r.doc_id: np.frombuffer(r.payload, "<u4").tolist() for r in records.read(index, folder, public_tokenizers.path("word_bpe_49k.json")).collect()}
+    assert found == {i: words.library.encode(t, add_special_tokens=False).ids for i, t, *_ in rows}
+    linked = {r.doc_id: r.component_id for r in jaccard.near_duplicates(frame(rows, parts=1)).collect()}
+    assert linked[4] == 4 and linked[5] == 5
+    assert {r.doc_id: r.n_dup_lines for r in outliers.statistics(frame(rows, parts=1)).collect()}[3] == 0

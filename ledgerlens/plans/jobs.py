@@ -14,6 +14,7 @@ from ledgerlens.operators import cleanse, forest, model, quality, rules
 from ledgerlens.plans.layout import Lake
 from ledgerlens.session import scratch
 from ledgerlens.sources import scans, sinks
+from ledgerlens.sources.key_index import KeyIndex
 
 
 def _now() -> dt.datetime:
@@ -161,7 +162,8 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
     facts = model.fct_transactions(
         model.stg_transactions(tables["transactions"], newest), spark.read.parquet(lake.gold("dim_users")),
         spark.read.parquet(lake.gold("dim_merchants")), spread_heavy=spread_heavy)
-    written, touched = sinks.upsert_partitions(facts, lake.gold("fact_transactions"), whole=[int(d.replace("-", "")) for d in days])
+    written, touched = sinks.upsert_partitions(facts, lake.gold("fact_transactions"), whole=[int(d.replace("-", "")) for d in days],
+                                              index=KeyIndex(lake.gold("fact_keys")))
     return _finish(spark, lake, "gold_modeling", f"gold-{_label(date)}", started, output_rows=staged["transactions"],
                    merchants_staged=staged["merchants"], users_staged=staged["users"], fact_rows_written=written,
                    touched_days=touched)

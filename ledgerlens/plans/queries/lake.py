@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
+from ledgerlens.functions.scalars import time_key
 from ledgerlens.operators import cleanse, forest, model
 from ledgerlens.plans import jobs
 from ledgerlens.plans.layout import Lake
@@ -12,6 +13,7 @@ from ledgerlens.plans.queries.base import AMOUNT, GEO, VELOCITY, alerts, landed,
 from ledgerlens.plans.queries.cleansing import _layer
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import scans, sinks, tables
+from ledgerlens.sources.key_index import KeyIndex
 from ledgerlens.sources.tables import AS_OF, table, transactions
 from ledgerlens.streaming import streams
 
@@ -64,6 +66,21 @@ def write_staging(spark, sf):
     return spark.read.parquet(path).agg(F.lit(rows).cast("long").alias("returned"), F.count("*").alias("stored"))
 
 
+@query("upsert_partitions", """
+SELECT transaction_id, time_sk, CAST(amount AS DOUBLE) AS amount, status, is_fraud AND transaction_id % 4 = 0 AS is_flagged_fraud FROM {t}""")
+def upsert_partitions(spark, sf):
+    """Facts come by parts; rows that were first loaded for the day before move to their own day, found through the key index."""
+    t = transactions(spark, sf).select("transaction_id", "amount", "status", (F.col("is_fraud") & (F.col("transaction_id") % 4 == 0)).alias("is_flagged_fraud"),
+                                       F.lit(0).cast(S.SCORE).alias("fraud_score"), "partition_date", "is_fraud")
+    facts = lambda rows, day: rows.withColumn("time_sk", time_key(day)).drop("partition_date", "is_fraud")
+    path, index = scratch_path(spark, "facts"), KeyIndex(scratch_path(spark, "fact-keys"))
+    for part in (facts(t.where("transaction_id % 3 > 0").withColumn("amount", (F.col("amount") + 1).cast(S.AMOUNT)), F.date_sub("partition_date", 1)),
+                 facts(t.where("transaction_id % 3 = 0 OR is_fraud"), F.col("partition_date")),
+                 facts(t.where("transaction_id % 3 > 0 AND NOT is_fraud"), F.col("partition_date"))):
+        sinks.upsert_partitions(part, path, index=index)
+    return spark.read.parquet(path).select("transaction_id", "time_sk", "amount", "status", "is_flagged_fraud")
+
+
 @query("append_alerts", "SELECT reason_code, count(*) AS stored, count(*) AS first_run, 0::BIGINT AS second_run FROM {alerts} GROUP BY 1")
 def append_alerts(spark, sf):
     path = scratch_path(spark, "log")

@@ -23,15 +23,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def landed_folders(spark: SparkSession, root: str, day: str, hours: list | None = None, entity: str = "transactions") -> list[str]:
-    """The landing folders of a day that exist; without `hours`, all of them."""
-    paths = [landing_path(root, day, h, entity) for h in (hours if hours is not None else range(24))]
-    return [p for p in paths if path_exists(spark, p)]
+    """The landing folders of a day that exist; without `hours`, all of them. One listing a day."""
+    there = _landed_hours(spark, root, day, entity)
+    return [landing_path(root, day, h, entity) for h in (hours if hours is not None else range(24)) if int(h) in there]
+
+
+def _landed_hours(spark: SparkSession, root: str, day: str, entity: str) -> set[int]:
+    names = file_names(spark, landing_path(root, day, 0, entity).rstrip("/").rpartition("/")[0])
+    return {int(n) for n in names if n.isdigit() and len(n) == 2}
 
 
 def missing_folders(spark: SparkSession, root: str, day: str, hours: list, entity: str = "transactions") -> list[str]:
     """Of the hours asked for, the landing folders that do not exist."""
-    return [p for p in (landing_path(root, day, h, entity) for h in hours) if not path_exists(spark, p)]
+    there = _landed_hours(spark, root, day, entity)
+    return [landing_path(root, day, h, entity) for h in hours if int(h) not in there]
 
 
 def landing_day(source_file: str | Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from ledgerlens import schemas as S
 from ledgerlens.operators.model import incremental_upsert, keep_flags
 from ledgerlens.session import drop_path, scratch
+from ledgerlens.sources.key_index import KeyIndex
 from ledgerlens.sources.scans import path_exists, scan_or_empty
 
 
@@ -100,29 +101,31 @@ def _append_alerts(batch: DataFrame, path: str, one_per_transaction: bool) -> di
 
 
 def upsert_partitions(batch: DataFrame, path: str, key: str = "transaction_id", partition: str = "time_sk", *,
-                      keep_fraud_flags: bool = True, whole: list | None = None) -> tuple[int, list]:
+                      keep_fraud_flags: bool = True, whole: list | None = None, index: KeyIndex | None = None) -> tuple[int, list]:
     """Insert or replace rows by key, rewriting only the partitions that change.
 
-    A key may already sit in another partition than the batch row, so the partitions
-    to rewrite are looked up in the key column of the whole target. Returns the rows
-    written and the partitions touched.
+    A key may already sit in another partition than the batch row. With an `index`, only partitions that it names for
+    keys of the batch are looked into (a table without one is indexed first); else the key column of the whole target
+    is. Returns the rows written and the partitions touched.
 
     `whole` names partitions that the batch holds completely: their other rows go, and a
     key that the target holds in a later partition, outside of `whole`, stays there. The
     result then does not depend on the order or grouping in which partitions come.
     """
     with scratch(batch.sparkSession) as keep:
-        return _upsert(keep(batch, "upsert-batch"), path, key, partition, keep_fraud_flags, whole, keep)
+        return _upsert(keep(batch, "upsert-batch"), path, key, partition, keep_fraud_flags, whole, index, keep)
 
 
-def _upsert(incoming: DataFrame, path: str, key: str, partition: str, keep_fraud_flags: bool, whole: list | None, keep) -> tuple[int, list]:
+def _upsert(incoming: DataFrame, path: str, key: str, partition: str, keep_fraud_flags: bool, whole: list | None, index: KeyIndex | None, keep) -> tuple[int, list]:
     spark = incoming.sparkSession
     if not path_exists(spark, path):
+        if index:
+            index.build(incoming.select(key, partition))
         found = sorted(r[0] for r in incoming.select(partition).distinct().collect())
         return replace_partitions(incoming, path, partition, many=len(found) > 1), found
     schema = T.StructType([f for f in incoming.schema if f.name != partition] + [incoming.schema[partition]])
     target = spark.read.schema(schema).parquet(path)
-    holding = target.select(key, partition).join(incoming.select(key), key, "left_semi")
+    holding = _held(target, incoming, key, partition, index, keep)
     if whole is not None:
         elsewhere = keep(holding.where(~F.col(partition).isin(whole)).groupBy(key).agg(F.max(partition).alias("_held")), "held")
         incoming = incoming.join(elsewhere, key, "left").where(F.col("_held").isNull() | (F.col("_held") < F.col(partition))).drop("_held")
@@ -139,6 +142,20 @@ def _upsert(incoming: DataFrame, path: str, key: str, partition: str, keep_fraud
     return rows, sorted(touched)
 
 
+def _held(target: DataFrame, incoming: DataFrame, key: str, partition: str, index: KeyIndex | None, keep) -> DataFrame:
+    """(key, partition) of the target's rows whose key the batch has."""
+    if index is not None:
+        spark = target.sparkSession
+        if not index.is_built(spark):
+            index.build(target.select(key, partition))
+        known = keep(index.lookup(incoming), "known-keys")
+        # The index is ahead of the table at any time: what it lacks is not there.
+        index.add(incoming, known)
+        # One value per partition at most.
+        target = target.where(F.col(partition).isin([r[0] for r in known.select(partition).distinct().collect()]))
+    return target.select(key, partition).join(incoming.select(key), key, "left_semi")
+
+
 def _drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
     """Remove partitions that lost their last row; dynamic overwrite leaves them in place."""
     for value in values:

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # A key below this number of rows fits one task and is never spread. There are at most
 # rows / HEAVY_ROWS heavy keys (200,000 for 10^12 rows), so their list can be broadcast.
 HEAVY_ROWS = 5_000_000
+# Up to so many listed keys are broadcast by hand; a longer list is left to Spark's own limits.
+MOST_LISTED = 200_000
 
 
 def heavy_keys(counts: DataFrame, key: str, n: str = "n", *, min_rows: int = HEAVY_ROWS) -> DataFrame:
@@ -39,44 +41,44 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, heavy: Da
     return spread.join(copies, [key, "_salt"], how).drop("_salt")
 
 
-def time_cuts(df: DataFrame, key: str, micros: Column, heavy: DataFrame, pieces: int = 256) -> DataFrame:
-    """For each heavy key, time points that split its rows into pieces of about equal size.
+def in_pieces(df: DataFrame, order: list[str], parts: int, store) -> DataFrame:
+    """The rows with `_piece`: their number among `parts` stretches of about equal row count of the whole order.
 
-    One row per heavy key. The points come from a mergeable quantile sketch, so
-    they are pre-aggregated before the shuffle; they steer balance, not results.
+    Stretches follow the full order (key, time, tie-break), so neither a key nor one moment of it holds rows together; only
+    rows alike in all of `order` stay in one stretch. The bounds come from a sample and steer balance, not results; the
+    rows are stored once, so that everything that follows sees the same stretches.
     """
-    points = [i / pieces for i in range(1, pieces)]
-    rows = df.select(F.col(key), micros.alias("_us")).join(F.broadcast(heavy.select(key)), key, "left_semi")
-    return rows.groupBy(key).agg(F.array_distinct(F.percentile_approx("_us", points, pieces * 10)).alias("_cuts"))
+    return store(df.repartitionByRange(parts, *order).withColumn("_piece", F.spark_partition_id()), "pieces")
 
 
-def with_time_piece(df: DataFrame, key: str, micros: Column, cuts: DataFrame, how: str = "left") -> DataFrame:
-    """Add `_piece`: which stretch of its key's time a row lies in, NULL for light keys."""
-    bounds = F.broadcast(cuts.withColumnRenamed(key, "_cut_key"))
-    return (df.join(bounds, F.col(key) == F.col("_cut_key"), how)
-            .withColumn("_piece", F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c <= micros))))
-            .drop("_cut_key", "_cuts"))
+def lag_in_pieces(rows: DataFrame, key: str, order: list[str], columns: list[str], output: str = "_prev") -> DataFrame:
+    """The previous row's columns per key in the given order, for rows with a `_piece`, one piece of a key to a task.
 
-
-def lag_in_pieces(df: DataFrame, key: str, order: list[str], micros: Column, columns: list[str], cuts: DataFrame,
-                  output: str = "_prev") -> DataFrame:
-    """The previous row's columns per key in time order, without holding a heavy key in one task.
-
-    Rows are windowed per (key, piece). The first row of a piece needs the last row
-    of the piece before it: those last rows (one per heavy key and piece, so a
-    bounded number) are carried into the next piece as extra rows and removed again.
+    Two levels: the window runs per key and piece, and the first row of a piece gets its predecessor from a scan over the
+    pieces' last rows (one row per key and piece, whatever they hold), carried into the key's next piece.
     """
-    rows = with_time_piece(df, key, micros, cuts)
-    # An inner join with the heavy keys: where there are none, nothing is read again.
-    last = (with_time_piece(df, key, micros, cuts, "inner").groupBy(key, "_piece")
-            .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last")))
+    last = rows.groupBy(key, "_piece").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
     following = F.lead("_piece").over(Window.partitionBy(key).orderBy("_piece"))
     carried = last.withColumn("_piece", following).where(F.col("_piece").isNotNull()).select(key, "_piece", "_last.*", F.lit(True).alias("_carried"))
 
     w = Window.partitionBy(key, "_piece").orderBy(F.col("_carried").desc(), *[F.col(c) for c in order])
-    # One lag per column: a struct built before the window would be shuffled as well.
-    lagged = {f"_lag_{c}": F.lag(c).over(w) for c in columns}
+    lagged = _lagged(w, columns)
     linked = (rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
               .withColumns({**lagged, "_linked": F.lag("_carried").over(w)}).where(~F.col("_carried")))
-    previous = F.when(F.col("_linked").isNotNull(), F.struct(*[F.col(f"_lag_{c}").alias(c) for c in columns]))
-    return linked.select(*df.columns, previous.alias(output))
+    return linked.select(*[c for c in rows.columns if c != "_piece"], _previous(columns).alias(output))
+
+
+def lag_in_groups(df: DataFrame, key: str, order: list[str], columns: list[str], output: str = "_prev") -> DataFrame:
+    """The same with one window per key."""
+    w = Window.partitionBy(key).orderBy(*order)
+    linked = df.withColumns({**_lagged(w, columns), "_linked": F.lag(F.lit(True)).over(w)})
+    return linked.select(*df.columns, _previous(columns).alias(output))
+
+
+def _lagged(w, columns: list[str]) -> dict[str, Column]:
+    # One lag per column: a struct built before the window would be shuffled as well.
+    return {f"_lag_{c}": F.lag(c).over(w) for c in columns}
+
+
+def _previous(columns: list[str]) -> Column:
+    return F.when(F.col("_linked").isNotNull(), F.struct(*[F.col(f"_lag_{c}").alias(c) for c in columns]))

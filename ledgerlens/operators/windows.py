@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions.scalars import as_col
-from ledgerlens.operators.skew import HEAVY_ROWS, count_per_key, heavy_keys, lag_in_pieces, time_cuts
+from ledgerlens.operators.skew import HEAVY_ROWS, MOST_LISTED, count_per_key, in_pieces, lag_in_groups, lag_in_pieces
+from ledgerlens.session import materialize_scratch
 
 
 def distinct_on(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -57,12 +58,25 @@ def rolling_count(df: DataFrame, key: str = "user_id", ts: str = "timestamp", co
 
 
 def lag_previous(df: DataFrame, key: str, ts: str, tie_break: str, columns: list[str], output: str = "_prev",
-                 heavy_rows: int = HEAVY_ROWS, pieces: int = 256) -> DataFrame:
-    """Add a struct of the previous row's columns per key, in (ts, tie_break) order."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    heavy = heavy_keys(count_per_key(df, key), key, min_rows=heavy_rows)
-    cuts = time_cuts(df, key, micros, heavy, pieces)
-    return lag_in_pieces(df, key, [ts, tie_break], micros, columns, cuts, output)
+                 heavy_rows: int = HEAVY_ROWS, store=materialize_scratch) -> DataFrame:
+    """Add a struct of the previous row's columns per key, in (ts, tie_break) order; rows without key count as one key's.
+
+    Keys below `heavy_rows` rows get one window each. The rows of the others are cut into pieces of about that many rows, and
+    each piece's last row is carried over. The list of these keys (at most rows / heavy_rows) is worked out first, which
+    reads the key column once; where it is empty, the plan is the plain window's.
+    """
+    counts = count_per_key(df, key).where(F.col("n") >= heavy_rows)
+    heavy = store(counts, "heavy-keys")
+    keys, rows = heavy.agg(F.count("*"), F.sum("n")).first()
+    order = [ts, tie_break]
+    if not keys:
+        return lag_in_groups(df, key, order, columns, output)
+    listed = heavy.select(F.col(key).alias("_heavy_key"))
+    listed = F.broadcast(listed) if keys <= MOST_LISTED else listed
+    on = F.col(key).eqNullSafe(F.col("_heavy_key"))
+    pieces = in_pieces(df.join(listed, on, "left_semi"), [key, *order], -(-rows // heavy_rows), store)
+    light = lag_in_groups(df.join(listed, on, "left_anti"), key, order, columns, output)
+    return light.unionByName(lag_in_pieces(pieces, key, order, columns, output))
 
 
 def rolling_over_days(df: DataFrame, value: str | Column, agg, rows: int, day: str, calendar_days: bool = False) -> Column:

@@ -190,6 +190,7 @@ def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str],
     # The narrow columns of the days are written once; the three rules read them several times.
     with scratch(spark) as keep:
         rows = by_day(_silver(spark, lake, date)).select(*rules.COLUMNS, "partition_date")
+        thresholds["geo"] = {"store": keep, **(thresholds.get("geo") or {})}
         found = rules.detect_all(keep(rows, "rule-rows"), baseline=usual, extra=("partition_date",), **thresholds)
         return _log_alerts(spark, lake, found, as_of, date, started)
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleanse, kpis, model, rules, skew, windows
+from ledgerlens.session import materialize_scratch
 from ledgerlens.sources import scans, tables
 
 SF = "/root/testdata/sf0.001"
@@ -105,12 +106,20 @@ def test_every_heavy_key_is_listed_with_the_tasks_it_needs(spark):
     assert len(heavy) == 750 and heavy[250] == 1 and heavy[999] == 4
 
 
-def test_hot_user_is_cut_into_even_pieces(spark):
-    rows = spark.range(10_000).select(F.lit("hot").alias("user_id"), F.timestamp_micros(F.col("id") * F.col("id")).alias("timestamp"), F.col("id"))
-    micros = F.unix_micros("timestamp")
-    cuts = skew.time_cuts(rows, "user_id", micros, rows.select("user_id").limit(1), pieces=16)
-    sizes = [r["count"] for r in skew.with_time_piece(rows, "user_id", micros, cuts).groupBy("_piece").count().collect()]
-    assert len(sizes) == 16 and max(sizes) < 2 * 10_000 / 16
+def test_one_moment_of_a_hot_user_is_cut_into_even_pieces(spark):
+    """20,000 rows of one user in one microsecond: pieces of about 1,000 rows, linked as by the plain window."""
+    rows = spark.range(20_000).select(F.lit("hot").alias("user_id"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), F.col("id"))
+    pieces = skew.in_pieces(rows, ["user_id", "timestamp", "id"], 20, materialize_scratch)
+    sizes = [r["count"] for r in pieces.groupBy("_piece").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 2500
+    # The scan over pieces sees a row for each of them.
+    found = windows.lag_previous(rows, "user_id", "timestamp", "id", ["id"], heavy_rows=1000)
+    assert found.where("_prev.id = id - 1").count() == 19_999 and found.where("_prev is null and id = 0").count() == 1
+
+
+def test_without_hot_users_the_lag_is_one_window(t):
+    text = plan(windows.lag_previous(t, "user_id", "timestamp", "transaction_id", ["country_code"])).split("== Physical Plan ==")[1]
+    assert "Join" not in text and text.count("Exchange") == 1
 
 
 def test_no_operator_collects_or_uses_local_checkpoints():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.functions.scalars import instant, lookback, mean, percent, severity_range_label, time_key
+from ledgerlens.operators.ledger import recent_load, recent_rows
 
 
 def status_filter(alerts: DataFrame, statuses: tuple[str, ...] = ("open",)) -> DataFrame:
@@ -38,7 +39,11 @@ def platform_totals(facts: DataFrame) -> DataFrame:
                      F.count_if("is_flagged_fraud").alias("fraud_count"))
 
 
-def volume_trend(facts: DataFrame, as_of, days: int = 14) -> DataFrame:
+def volume_trend(facts: DataFrame, as_of, days: int = 14, ledger: DataFrame | None = None) -> DataFrame:
+    """Completed volume per day of loading; with the load ledger, whole hours come from it."""
+    if ledger is not None:
+        loads = recent_load(facts, ledger, as_of, days=days).where(F.col("done_rows") > 0)
+        return loads.groupBy(F.to_date("hour").alias("date")).agg(F.sum("done_amount").alias("daily_amount")).orderBy("date")
     recent = lookback(facts, "created_at", as_of, days=days).where(F.col("status") == "completed")
     return recent.groupBy(F.to_date("created_at").alias("date")).agg(F.sum("amount").alias("daily_amount")).orderBy("date")
 
@@ -66,32 +71,40 @@ def mart_stat(mart: DataFrame, column: str, aggregate: str, as_of, days: int = 3
 
 # ---------------------------------------------------------------- fraud
 
-def alert_kpis(alerts: DataFrame, as_of, days: int = 7, statuses: tuple[str, ...] = ("open", "investigating")) -> DataFrame:
-    rows = status_filter(lookback(alerts, "alert_timestamp", as_of, days=days), statuses)
+def recent_alert_rows(alerts: DataFrame, as_of, days: int, ledger: DataFrame | None = None) -> DataFrame:
+    """Alerts raised since; with the alert ledger only the days that have such alerts are read."""
+    if ledger is None:
+        return lookback(alerts, "alert_timestamp", as_of, days=days)
+    return recent_rows(alerts, ledger, as_of, partition="alert_date", ts="alert_timestamp", days=days)
+
+
+def alert_kpis(alerts: DataFrame, as_of, days: int = 7, statuses: tuple[str, ...] = ("open", "investigating"),
+               ledger: DataFrame | None = None) -> DataFrame:
+    rows = status_filter(recent_alert_rows(alerts, as_of, days, ledger), statuses)
     return rows.agg(
         F.count("*").alias("total_alerts"), F.count_if(F.col("status") == "open").alias("open_alerts"),
         F.round(mean("severity_score"), 3).alias("avg_severity"), F.count_distinct("transaction_id").alias("unique_txns"))
 
 
-def alerts_by_rule(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:
-    return (lookback(alerts, "alert_timestamp", as_of, days=days).groupBy("reason_code")
+def alerts_by_rule(alerts: DataFrame, as_of, days: int = 7, ledger: DataFrame | None = None) -> DataFrame:
+    return (recent_alert_rows(alerts, as_of, days, ledger).groupBy("reason_code")
             .agg(F.count("*").alias("count"), mean("severity_score").alias("avg_severity")).orderBy(F.col("count").desc(), "reason_code"))
 
 
-def alert_timeline(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:
-    return (lookback(alerts, "alert_timestamp", as_of, days=days)
+def alert_timeline(alerts: DataFrame, as_of, days: int = 7, ledger: DataFrame | None = None) -> DataFrame:
+    return (recent_alert_rows(alerts, as_of, days, ledger)
             .groupBy(F.to_date("alert_timestamp").alias("alert_date"), "reason_code")
             .agg(F.count("*").alias("alert_count")).orderBy("alert_date", "reason_code"))
 
 
-def severity_distribution(alerts: DataFrame, as_of, days: int = 7) -> DataFrame:
-    return (lookback(alerts, "alert_timestamp", as_of, days=days).groupBy(severity_range_label().alias("severity_bucket"))
+def severity_distribution(alerts: DataFrame, as_of, days: int = 7, ledger: DataFrame | None = None) -> DataFrame:
+    return (recent_alert_rows(alerts, as_of, days, ledger).groupBy(severity_range_label().alias("severity_bucket"))
             .agg(F.count("*").alias("count")).orderBy(F.col("count").desc(), "severity_bucket"))
 
 
-def recent_alerts(alerts: DataFrame, as_of, days: int = 7, limit: int = 50) -> DataFrame:
+def recent_alerts(alerts: DataFrame, as_of, days: int = 7, limit: int = 50, ledger: DataFrame | None = None) -> DataFrame:
     """The newest alerts; a top-n, so each task keeps n rows only."""
-    return (lookback(alerts, "alert_timestamp", as_of, days=days)
+    return (recent_alert_rows(alerts, as_of, days, ledger)
             .select("alert_timestamp", "transaction_id", "reason_code", F.round("severity_score", 3).alias("severity_score"),
                     "description", "status")
             .orderBy(F.col("alert_timestamp").desc(), "transaction_id", "reason_code").limit(limit))
@@ -101,9 +114,12 @@ def open_alert_count(alerts: DataFrame) -> DataFrame:
     return alerts.where(F.col("status") == "open").agg(F.count("*").alias("open_count"))
 
 
-def alerts_by_country(alerts: DataFrame, facts: DataFrame, as_of, days: int = 30, limit: int = 10) -> DataFrame:
-    per_transaction = (lookback(alerts, "alert_timestamp", as_of, days=days).groupBy("transaction_id").agg(F.count("*").alias("_n")))
-    return (facts.select("transaction_id", "country_code").join(per_transaction, "transaction_id")
+def alerts_by_country(alerts: DataFrame, facts: DataFrame, as_of, days: int = 30, limit: int = 10, ledger: DataFrame | None = None) -> DataFrame:
+    """A fact's day is that of its alert or later, so facts before the first alert's day are not read."""
+    recent = recent_alert_rows(alerts, as_of, days, ledger)
+    per_transaction = recent.groupBy("transaction_id").agg(F.count("*").alias("_n"))
+    first_day = recent.agg(time_key(F.min("alert_date"))).scalar()
+    return (facts.where(F.col("time_sk") >= first_day).select("transaction_id", "country_code").join(per_transaction, "transaction_id")
             .groupBy("country_code").agg(F.sum("_n").alias("alerts"))
             .orderBy(F.col("alerts").desc(), "country_code").limit(limit))
 
@@ -139,15 +155,22 @@ def rejection_rate(staged: DataFrame, facts: DataFrame, as_of, days: int = 7) ->
                  percent(lost, F.count("*"), 2).alias("rejection_pct")).orderBy(F.col("load_date").desc()))
 
 
-def fraud_rate_window(facts: DataFrame, as_of, hours: int = 24, digits: int = 4) -> DataFrame:
-    recent = lookback(facts, "created_at", as_of, hours=hours)
-    return recent.agg(percent(F.count_if("is_flagged_fraud"), F.count("*"), digits).alias("fraud_rate_pct"))
+def _load_since(facts: DataFrame, ledger: DataFrame | None, as_of, hours: int) -> DataFrame:
+    """rows and flagged of the facts loaded in the last hours, one row."""
+    if ledger is None:
+        return lookback(facts, "created_at", as_of, hours=hours).agg(F.count("*").alias("rows"), F.count_if("is_flagged_fraud").alias("flagged"))
+    zero = F.lit(0).cast("long")
+    return recent_load(facts, ledger, as_of, hours=hours).agg(
+        F.coalesce(F.sum("rows"), zero).alias("rows"), F.coalesce(F.sum("flagged"), zero).alias("flagged"))
+
+
+def fraud_rate_window(facts: DataFrame, as_of, hours: int = 24, digits: int = 4, ledger: DataFrame | None = None) -> DataFrame:
+    return _load_since(facts, ledger, as_of, hours).select(percent(F.col("flagged"), F.col("rows"), digits).alias("fraud_rate_pct"))
 
 
-def ingest_gauge(facts: DataFrame, as_of, hours: int = 24, target: int = 10_000) -> DataFrame:
-    share = F.count("*").cast("double") / F.lit(float(target)) * 100.0
-    return lookback(facts, "created_at", as_of, hours=hours).agg(
-        F.count("*").alias("rows"), F.least(share, F.lit(100.0)).alias("pct_of_target"))
+def ingest_gauge(facts: DataFrame, as_of, hours: int = 24, target: int = 10_000, ledger: DataFrame | None = None) -> DataFrame:
+    share = F.col("rows").cast("double") / F.lit(float(target)) * 100.0
+    return _load_since(facts, ledger, as_of, hours).select("rows", F.least(share, F.lit(100.0)).alias("pct_of_target"))
 
 
 def freshness(facts: DataFrame) -> DataFrame:
@@ -161,12 +184,12 @@ def _monitor(value_row: DataFrame, name: str, threshold: float, *, above: bool)
                             F.coalesce(broken, F.lit(False)).alias("breached"))
 
 
-def monitor_low_ingest(facts: DataFrame, as_of, hours: int = 1, minimum: int = 100) -> DataFrame:
-    return _monitor(lookback(facts, "created_at", as_of, hours=hours).agg(F.count("*").alias("value")), "low_ingest", minimum, above=False)
+def monitor_low_ingest(facts: DataFrame, as_of, hours: int = 1, minimum: int = 100, ledger: DataFrame | None = None) -> DataFrame:
+    return _monitor(_load_since(facts, ledger, as_of, hours).select(F.col("rows").alias("value")), "low_ingest", minimum, above=False)
 
 
-def monitor_fraud_spike(facts: DataFrame, as_of, hours: int = 1, maximum: float = 10.0) -> DataFrame:
-    rate = fraud_rate_window(facts, as_of, hours, 2).withColumnRenamed("fraud_rate_pct", "value")
+def monitor_fraud_spike(facts: DataFrame, as_of, hours: int = 1, maximum: float = 10.0, ledger: DataFrame | None = None) -> DataFrame:
+    rate = fraud_rate_window(facts, as_of, hours, 2, ledger).withColumnRenamed("fraud_rate_pct", "value")
     return _monitor(rate, "fraud_spike", maximum, above=True)
 
 

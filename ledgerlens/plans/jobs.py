@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions.scalars import instant, surrogate_key, time_key
-from ledgerlens.operators import cleanse, forest, model, quality, rules
+from ledgerlens.operators import cleanse, forest, ledger, model, quality, rules
 from ledgerlens.plans.layout import Lake
 from ledgerlens.session import scratch
 from ledgerlens.sources import scans, sinks
@@ -164,6 +164,7 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
         spark.read.parquet(lake.gold("dim_merchants")), spread_heavy=spread_heavy)
     written, touched = sinks.upsert_partitions(facts, lake.gold("fact_transactions"), whole=[int(d.replace("-", "")) for d in days],
                                               index=KeyIndex(lake.gold("fact_keys")))
+    _book(spark, lake, touched)
     return _finish(spark, lake, "gold_modeling", f"gold-{_label(date)}", started, output_rows=staged["transactions"],
                    merchants_staged=staged["merchants"], users_staged=staged["users"], fact_rows_written=written,
                    touched_days=touched)
@@ -197,11 +198,19 @@ def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str],
 
 def _log_alerts(spark: SparkSession, lake: Lake, found: DataFrame, as_of, date, started: float) -> dict:
     shaped = rules.alert_envelope(found, alert_time=instant(as_of), alert_day=F.col("partition_date"))
-    counts = sinks.append_alerts(shaped, lake.gold("alerts_log"))
+    counts = sinks.append_alerts(shaped, lake.gold("alerts_log"), ledger_path=lake.gold("alert_ledger"))
     return _finish(spark, lake, "anomaly_detection", f"anomaly-{_label(date)}", started, total_alerts=sum(counts.values()),
                    velocity_alerts=counts["VELOCITY_ATTACK"], amount_alerts=counts["HIGH_AMOUNT"], geo_alerts=counts["GEO_IMPOSSIBLE"])
 
 
+def _book(spark: SparkSession, lake: Lake, time_keys: list[int]) -> None:
+    """Bring the load ledger up to date for days of the fact table that changed."""
+    facts, path = fact_table(spark, lake), lake.gold("load_ledger")
+    if scans.path_exists(spark, path):
+        facts = facts.where(F.col("time_sk").isin(time_keys))
+    sinks.replace_days(ledger.fact_ledger(facts), path, time_keys, "time_sk")
+
+
 def fact_table(spark: SparkSession, lake: Lake) -> DataFrame:
     return scans.scan_or_empty(spark, lake.gold("fact_transactions"), S.FACTS)
 
@@ -228,7 +237,9 @@ def run_flag_update(spark: SparkSession, root: str, date: str | list[str]) -> di
     alerts = alerts_log(spark, lake).where(F.col("alert_date").isin([dt.date.fromisoformat(d) for d in days]))
     with scratch(spark) as keep:
         flagged = keep(model.apply_fraud_flags(facts, alerts), "flags")
-        return {"facts": sinks.replace_partitions(flagged, path, "time_sk", many=len(days) > 1)}
+        written = sinks.replace_partitions(flagged, path, "time_sk", many=len(days) > 1)
+    _book(spark, lake, keys)
+    return {"facts": written}
 
 
 def run_ml_scoring(spark: SparkSession, root: str, date: str | list[str], *, train: bool = False, as_of=None, threshold: float = 0.7,
@@ -244,7 +255,7 @@ def run_ml_scoring(spark: SparkSession, root: str, date: str | list[str], *, tra
     scored = forest.score_isolation_forest(rows, trees)
     found = forest.ml_alerts(scored, alerts_log(spark, lake), threshold, extra=("partition_date",))
     shaped = rules.alert_envelope(found, alert_time=instant(as_of), alert_day=F.col("partition_date"), ml=True)
-    counts = sinks.append_alerts(shaped, lake.gold("alerts_log"), one_per_transaction=True)
+    counts = sinks.append_alerts(shaped, lake.gold("alerts_log"), one_per_transaction=True, ledger_path=lake.gold("alert_ledger"))
     return _finish(spark, lake, "ml_scoring", f"ml-{_label(date)}", started, ml_alerts=counts["ML_ANOMALY"])
 
 
@@ -281,7 +292,8 @@ def run_gold_tests(spark: SparkSession, root: str) -> dict:
     in_mart = table["mart_executive_kpis"].select(time_key("txn_date").alias("time_sk"))
     quality.assert_empty(quality.orphan_keys(facts, in_mart, "time_sk"), "days_of_facts")
     quality.assert_empty(quality.duplicate_keys(table["dim_users"], "user_id", current_only=True), "one_current_row_per_user")
-    return {"evaluated": evaluated + 4}
+    quality.assert_empty(ledger.ledger_gaps(facts, scans.scan_or_empty(spark, lake.gold("load_ledger"), S.LOAD_LEDGER)), "load_ledger_counts_all_facts")
+    return {"evaluated": evaluated + 5}
 
 
 def run_all_layers(spark: SparkSession, root: str, date: str | list[str], hours: list | None = None, *, as_of=None, ml: bool = False,

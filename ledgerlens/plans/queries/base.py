@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlens import schemas as S
-from ledgerlens.operators import model, rules
+from ledgerlens.operators import ledger, model, rules
 from ledgerlens.session import configure, materialize_scratch, scratch_path
 from ledgerlens.sources import tables
 
@@ -253,7 +253,8 @@ def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         flagged = model.apply_fraud_flags(model.fct_transactions(staged_facts(t), users, merchants), log)
         fact = materialize_scratch(flagged, "fact", ["time_sk"])
         days = materialize_scratch(event_calendar(spark, sf_dir), "dim_time")
-        return {"alerts": log, "users": users, "merchants": merchants, "fact": fact, "days": days,
+        return {"alerts": log, "alert_ledger": materialize_scratch(ledger.alert_ledger(log), "alert_ledger"),
+                "ledger": materialize_scratch(ledger.fact_ledger(fact), "load_ledger"), "users": users, "merchants": merchants, "fact": fact, "days": days,
                 "kpi_mart": materialize_scratch(model.mart_executive_kpis(fact, days), "kpi_mart"),
                 "risk_mart": materialize_scratch(model.mart_fraud_summary(log), "risk_mart")}
     return once(spark, sf_dir, "gold", build)

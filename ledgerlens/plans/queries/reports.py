@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import kpis
+from ledgerlens.operators import kpis, ledger
 from ledgerlens.plans.queries.base import gold, query, staged_facts
 from ledgerlens.sources.tables import AS_OF, dirty_transactions
 
@@ -34,7 +34,7 @@ def platform_totals(spark, sf):
 SELECT CAST(CAST(created_at AS DATE) AS VARCHAR) AS date, CAST(sum(amount) AS DOUBLE) AS daily_amount FROM {{fact}}
 WHERE status = 'completed' AND created_at >= {SINCE[14]} GROUP BY 1""")
 def volume_trend_14d(spark, sf):
-    return kpis.volume_trend(gold(spark, sf)["fact"], AS_OF)
+    return kpis.volume_trend(gold(spark, sf)["fact"], AS_OF, ledger=gold(spark, sf)["ledger"])
 
 
 @query("tpv_trend", f"SELECT CAST(txn_date AS VARCHAR) AS date, CAST(daily_tpv AS DOUBLE) AS daily_tpv FROM {{kpi_mart}} WHERE txn_date >= {SINCE[30]}")
@@ -78,7 +78,8 @@ def mart_stat(spark, sf):
         "tpv": kpis.mart_stat(g["kpi_mart"], "daily_tpv", "sum", AS_OF),
         "fraud_rate": kpis.mart_stat(g["kpi_mart"], "fraud_rate_pct", "avg", AS_OF),
         "transactions": kpis.mart_stat(g["kpi_mart"], "total_transactions", "sum", AS_OF),
-        "severity": kpis.mart_stat(g["alerts"], "severity_score", "avg", AS_OF, days=7, time="alert_timestamp", kind="timestamp"),
+        "severity": kpis.mart_stat(kpis.recent_alert_rows(g["alerts"], AS_OF, 7, g["alert_ledger"]), "severity_score", "avg", AS_OF, days=7,
+                                   time="alert_timestamp", kind="timestamp"),
     }
     return kpis.union_reports([df.select(F.lit(name).alias("panel"), F.round(F.col("value").cast("double"), 6).alias("value"))
                                for name, df in panels.items()])
@@ -88,19 +89,19 @@ def mart_stat(spark, sf):
 SELECT count(*) AS total_alerts, count(*) FILTER (WHERE status = 'open') AS open_alerts, round({AVG_SEVERITY}, 3) AS avg_severity,
   count(DISTINCT transaction_id) AS unique_txns FROM {{alerts}} WHERE alert_timestamp >= {SINCE[7]} AND status IN ('open', 'investigating')""")
 def alert_kpis(spark, sf):
-    return kpis.alert_kpis(gold(spark, sf)["alerts"], AS_OF)
+    return kpis.alert_kpis(gold(spark, sf)["alerts"], AS_OF, ledger=gold(spark, sf)["alert_ledger"])
 
 
 @query("alerts_by_rule", f"""
 SELECT reason_code, count(*) AS count, {AVG_SEVERITY} AS avg_severity FROM {{alerts}} WHERE alert_timestamp >= {SINCE[7]} GROUP BY 1""")
 def alerts_by_rule(spark, sf):
-    return kpis.alerts_by_rule(gold(spark, sf)["alerts"], AS_OF)
+    return kpis.alerts_by_rule(gold(spark, sf)["alerts"], AS_OF, ledger=gold(spark, sf)["alert_ledger"])
 
 
 @query("alert_timeline", f"""
 SELECT CAST(alert_date AS VARCHAR) AS alert_date, reason_code, count(*) AS alert_count FROM {{alerts}} WHERE alert_timestamp >= {SINCE[7]} GROUP BY ALL""")
 def alert_timeline(spark, sf):
-    return kpis.alert_timeline(gold(spark, sf)["alerts"], AS_OF)
+    return kpis.alert_timeline(gold(spark, sf)["alerts"], AS_OF, ledger=gold(spark, sf)["alert_ledger"])
 
 
 @query("severity_distribution", f"""
@@ -108,14 +109,14 @@ SELECT CASE WHEN severity_score >= 0.8 THEN 'Critical (0.8-1.0)' WHEN severity_s
   WHEN severity_score >= 0.2 THEN 'Medium (0.2-0.5)' ELSE 'Low (0-0.2)' END AS severity_bucket, count(*) AS count
 FROM {{alerts}} WHERE alert_timestamp >= {SINCE[7]} GROUP BY 1""")
 def severity_distribution(spark, sf):
-    return kpis.severity_distribution(gold(spark, sf)["alerts"], AS_OF)
+    return kpis.severity_distribution(gold(spark, sf)["alerts"], AS_OF, ledger=gold(spark, sf)["alert_ledger"])
 
 
 @query("recent_alerts", f"""
 SELECT alert_timestamp, transaction_id, reason_code, round(CAST(severity_score AS DOUBLE), 3) AS severity_score, status FROM {{alerts}}
 WHERE alert_timestamp >= {SINCE[7]} ORDER BY alert_timestamp DESC, transaction_id, reason_code LIMIT 50""")
 def recent_alerts(spark, sf):
-    return kpis.recent_alerts(gold(spark, sf)["alerts"], AS_OF).drop("description")
+    return kpis.recent_alerts(gold(spark, sf)["alerts"], AS_OF, ledger=gold(spark, sf)["alert_ledger"]).drop("description")
 
 
 @query("open_alert_count", "SELECT count(*) AS open_count FROM {alerts} WHERE status = 'open'")
@@ -128,7 +129,7 @@ SELECT country_code, count(*) AS alerts FROM {{alerts}} JOIN {{fact}} USING (tra
 GROUP BY 1 ORDER BY alerts DESC, country_code LIMIT 10""")
 def alerts_by_country(spark, sf):
     g = gold(spark, sf)
-    return kpis.alerts_by_country(g["alerts"], g["fact"], AS_OF)
+    return kpis.alerts_by_country(g["alerts"], g["fact"], AS_OF, ledger=g["alert_ledger"])
 
 
 LAYERS_SQL = """
@@ -165,14 +166,35 @@ def rejection_rate(spark, sf):
 @query("fraud_rate_window", f"""
 SELECT {RATE.format(4)} AS fraud_rate_pct FROM {{fact}} WHERE created_at >= TIMESTAMP '2024-01-30'""")
 def fraud_rate_window(spark, sf):
-    return kpis.fraud_rate_window(gold(spark, sf)["fact"], AS_OF)
+    return kpis.fraud_rate_window(gold(spark, sf)["fact"], AS_OF, ledger=gold(spark, sf)["ledger"])
 
 
 @query("ingest_gauge", """
 SELECT count(*) AS rows, least(CAST(count(*) AS DOUBLE) / 10000.0::DOUBLE * 100.0::DOUBLE, 100.0::DOUBLE) AS pct_of_target FROM {fact}
 WHERE created_at >= TIMESTAMP '2024-01-30'""")
 def ingest_gauge(spark, sf):
-    return kpis.ingest_gauge(gold(spark, sf)["fact"], AS_OF)
+    return kpis.ingest_gauge(gold(spark, sf)["fact"], AS_OF, ledger=gold(spark, sf)["ledger"])
+
+
+ODD_TIME = "2024-01-29 21:17:30.5"
+
+
+@query("recent_load", f"""
+SELECT n AS hours, count(transaction_id) AS rows, count(*) FILTER (WHERE is_flagged_fraud) AS flagged, count(*) {DONE} AS done_rows,
+  CAST(sum(amount) {DONE} AS DOUBLE) AS done_amount
+FROM (VALUES (0), (1), (5), (48)) v(n) LEFT JOIN {{fact}} ON created_at >= TIMESTAMP '{ODD_TIME}' - to_hours(n) GROUP BY n""")
+def recent_load(spark, sf):
+    """Spans that begin within an hour: the rest of that hour comes from the facts."""
+    g = gold(spark, sf)
+    return kpis.union_reports([ledger.recent_load(g["fact"], g["ledger"], ODD_TIME, hours=n).agg(F.lit(n).alias("hours"), *[F.sum(c).alias(c) for c in ledger.MEASURES])
+                               for n in (0, 1, 5, 48)])
+
+
+@query("fact_ledger", f"""
+SELECT time_sk, date_trunc('hour', created_at) AS hour, count(*) AS rows, count(*) FILTER (WHERE is_flagged_fraud) AS flagged,
+  count(*) {DONE} AS done_rows, CAST(sum(amount) {DONE} AS DOUBLE) AS done_amount FROM {{fact}} GROUP BY ALL""")
+def fact_ledger(spark, sf):
+    return gold(spark, sf)["ledger"]
 
 
 @query("freshness", "SELECT max(created_at) AS last_updated FROM {fact}")
@@ -187,12 +209,12 @@ def _monitor_sql(name: str, value: str, threshold: float, op: str, source: str)
 
 @query("monitor_low_ingest", _monitor_sql("low_ingest", "count(*)", 100.0, "<", "{fact} WHERE created_at >= TIMESTAMP '2024-01-30 23:00:00'"))
 def monitor_low_ingest(spark, sf):
-    return kpis.monitor_low_ingest(gold(spark, sf)["fact"], AS_OF)
+    return kpis.monitor_low_ingest(gold(spark, sf)["fact"], AS_OF, ledger=gold(spark, sf)["ledger"])
 
 
 @query("monitor_fraud_spike", _monitor_sql("fraud_spike", RATE.format(2), 10.0, ">", "{fact} WHERE created_at >= TIMESTAMP '2024-01-30 23:00:00'"))
 def monitor_fraud_spike(spark, sf):
-    return kpis.monitor_fraud_spike(gold(spark, sf)["fact"], AS_OF)
+    return kpis.monitor_fraud_spike(gold(spark, sf)["fact"], AS_OF, ledger=gold(spark, sf)["ledger"])
 
 
 @query("monitor_open_backlog", _monitor_sql("open_backlog", "count(*)", 50.0, ">", "{alerts} WHERE status = 'open' AND alert_timestamp < TIMESTAMP '2024-01-30'"))

@@ -17,8 +17,8 @@ REASON_CODES = ["VELOCITY_ATTACK", "HIGH_AMOUNT", "GEO_IMPOSSIBLE", "ML_ANOMALY"
 
 
 _TYPES = {
-    "string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "int": T.IntegerType(),
-    "decimal(18,2)": AMOUNT, "decimal(9,6)": COORDINATE, "decimal(5,4)": SCORE,
+    "string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "decimal(28,2)": T.DecimalType(28, 2), "decimal(18,2)": AMOUNT, "decimal(9,6)": COORDINATE, "decimal(5,4)": SCORE,
 }
 
 
@@ -90,6 +90,8 @@ FACTS = _struct(
     "created_at timestamp, time_sk int"
 )
 
+LOAD_LEDGER = _struct("hour timestamp, rows bigint, flagged bigint, done_rows bigint, done_amount decimal(28,2), time_sk int")
+
 # What a user's newest transaction of a day says about them; the history is made of these rows.
 USERS_DAILY = _struct("user_id string, email_hash string, risk_tier string, country_code string, partition_date date")
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerlens import schemas as S
+from ledgerlens.operators.ledger import alert_ledger
 from ledgerlens.operators.model import incremental_upsert, keep_flags
 from ledgerlens.session import drop_path, scratch
 from ledgerlens.sources.key_index import KeyIndex
@@ -75,23 +76,28 @@ def rewrite_table(df: DataFrame, path: str, partition_by: list[str] | None = Non
         return _write_counted(keep(df, "rewrite"), write)
 
 
-def append_alerts(alerts: DataFrame, path: str, *, one_per_transaction: bool = False) -> dict[str, int]:
-    """Append the alerts that the log does not hold yet; a re-run adds nothing.
+def append_alerts(alerts: DataFrame, path: str, *, one_per_transaction: bool = False, ledger_path: str | None = None) -> dict[str, int]:
+    """Append the alerts that the log does not hold yet; a re-run adds nothing. The days it touches are booked in the alert ledger, if one is named.
 
     The batch is evaluated once. Only the days it touches are read from the log.
     With `one_per_transaction`, a transaction that has any alert gets no further one.
     """
     with scratch(alerts.sparkSession) as keep:
-        return _append_alerts(keep(alerts, "alerts"), path, one_per_transaction)
+        batch = keep(alerts, "alerts")
+        days = [r[0] for r in batch.select("alert_date").distinct().collect()]
+        counts = _append_alerts(batch, path, one_per_transaction, days)
+        if ledger_path and days:
+            log = scan_or_empty(batch.sparkSession, path, S.ALERTS).where(F.col("alert_date").isin(days))
+            replace_days(alert_ledger(log), ledger_path, days, "alert_date")
+        return counts
 
 
-def _append_alerts(batch: DataFrame, path: str, one_per_transaction: bool) -> dict[str, int]:
+def _append_alerts(batch: DataFrame, path: str, one_per_transaction: bool, days: list) -> dict[str, int]:
     spark = batch.sparkSession
     log = scan_or_empty(spark, path, S.ALERTS)
     if one_per_transaction:
         fresh = batch.join(log.select("transaction_id"), "transaction_id", "left_anti")
     else:
-        days = [r[0] for r in batch.select("alert_date").distinct().collect()]
         known = log.where(F.col("alert_date").isin(days)) if days else log.limit(0)
         fresh = batch.join(known.select("alert_id"), "alert_id", "left_anti")
     seen = Observation()

@@ -55,6 +55,17 @@ def test_first_day(spark, lake, first_day):
     assert float(out["t021"]["fraud_score"]) == 1.0 and out["t020"]["time_sk"] == 20260424
 
 
+def test_ledgers_follow_facts_and_alerts(spark, lake, first_day):
+    from ledgerlens.operators import ledger
+    at = Lake(lake)
+    table = jobs.fact_table(spark, at)
+    booked = spark.read.schema(S.LOAD_LEDGER).parquet(at.gold("load_ledger"))
+    assert sorted(booked.collect()) == sorted(ledger.fact_ledger(table).select(*booked.columns).collect())
+    assert sum(r["flagged"] for r in booked.collect()) == 4 and ledger.ledger_gaps(table, booked).count() == 0
+    log = jobs.alerts_log(spark, at)
+    assert [r["rows"] for r in spark.read.parquet(at.gold("alert_ledger")).collect()] == [log.count()]
+
+
 def test_rerun_changes_nothing(spark, lake, first_day):
     before = facts(spark, lake)
     assert jobs.run_silver_cleanse(spark, lake, "2026-04-24", as_of=AS_OF)["output_rows"] == first_day["silver"]["output_rows"]

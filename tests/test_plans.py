@@ -6,7 +6,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import cleanse, kpis, model, rules, skew, windows
+from ledgerlens.functions.scalars import time_key
+from ledgerlens.operators import cleanse, kpis, ledger, model, rules, skew, windows
 from ledgerlens.session import materialize_scratch
 from ledgerlens.sources import scans, tables
 
@@ -49,6 +50,85 @@ def test_lookback_reaches_the_scan(spark, layer):
     assert "(timestamp,2024-01-17 00:00:00" in scan and "IsNotNull(status)" in scan and "user_id" not in scan
 
 
+@pytest.fixture(scope="module")
+def booked(spark, t, tmp_path_factory):
+    """Facts by day whose load hours do not follow their days, alerts, and the ledgers of both."""
+    root = str(tmp_path_factory.mktemp("booked"))
+    loaded = F.timestamp_seconds(F.unix_seconds("timestamp") + F.when(F.col("transaction_id") % 50 == 0, 5 * 86400).otherwise(0))
+    facts = t.withColumns({"created_at": loaded, "is_flagged_fraud": F.col("is_fraud"), "time_sk": time_key("partition_date")})
+    alerts = rules.alert_envelope(rules.detect_velocity_attack(t, min_count=2, seconds=36000, extra=("timestamp", "partition_date")),
+                                  alert_time=loaded, alert_day=F.col("partition_date"))
+    out = {}
+    for name, df, by, book in (("facts", facts, "time_sk", ledger.fact_ledger), ("alerts", alerts, "alert_date", ledger.alert_ledger)):
+        df.write.partitionBy(by).parquet(f"{root}/{name}")
+        out[name] = spark.read.parquet(f"{root}/{name}")
+        book(out[name]).write.parquet(f"{root}/{name}-ledger")
+        out[f"{name}_ledger"] = spark.read.parquet(f"{root}/{name}-ledger")
+    return out
+
+
+def files_read(df) -> list[tuple[str, int]]:
+    """(source, files) of the scans that ran."""
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name.startswith("Scan parquet"):
+            metric = node.metrics().get("numFiles")
+            found.append((node.simpleString(1000), int(metric.get().value())))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+    walk(lines)
+    return found
+
+
+LATE = "2024-01-30 21:17:30"
+
+
+def test_monitors_read_the_ledger_and_one_hour_of_facts(booked):
+    facts, book = booked["facts"], booked["facts_ledger"]
+    for df, plain in ((kpis.monitor_low_ingest(facts, LATE, hours=5, ledger=book), kpis.monitor_low_ingest(facts, LATE, hours=5)),
+                      (kpis.monitor_fraud_spike(facts, LATE, hours=5, ledger=book), kpis.monitor_fraud_spike(facts, LATE, hours=5)),
+                      (kpis.fraud_rate_window(facts, LATE, ledger=book), kpis.fraud_rate_window(facts, LATE)),
+                      (kpis.ingest_gauge(facts, LATE, ledger=book), kpis.ingest_gauge(facts, LATE)),
+                      (kpis.volume_trend(facts, LATE, ledger=book), kpis.volume_trend(facts, LATE))):
+        assert df.collect() == plain.collect()
+        assert "dynamicpruning" in plan(df)
+        of_facts = [n for text, n in files_read(df) if "created_at" in text]
+        assert of_facts and max(of_facts) <= 3 < len(facts.inputFiles())
+    # A span that begins on the hour needs no fact.
+    whole = kpis.monitor_low_ingest(facts, "2024-01-30 21:00:00", hours=5, ledger=book)
+    assert whole.collect() == kpis.monitor_low_ingest(facts, "2024-01-30 21:00:00", hours=5).collect()
+    assert not [text for text, _ in files_read(whole) if "created_at" in text]
+
+
+def test_alert_panels_read_days_with_alerts_of_the_span(booked):
+    alerts, book = booked["alerts"], booked["alerts_ledger"]
+    for panel in (kpis.alert_kpis, kpis.alerts_by_rule, kpis.alert_timeline, kpis.severity_distribution, kpis.recent_alerts):
+        df = panel(alerts, LATE, days=3, ledger=book)
+        assert df.collect() == panel(alerts, LATE, days=3).collect()
+        scan = [line for line in plan(df).splitlines() if "FileScan" in line and "reason_code" in line or "FileScan" in line and "severity_score" in line]
+        assert scan and all("dynamicpruning" in line for line in scan)
+    by_country = kpis.alerts_by_country(alerts, booked["facts"], LATE, days=3, ledger=book)
+    assert by_country.collect() == kpis.alerts_by_country(alerts, booked["facts"], LATE, days=3).collect()
+    line = [line for line in plan(by_country).splitlines() if "FileScan" in line and "country_code" in line][-1]
+    assert "time_sk" in line.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_ledger_gaps_are_found(booked):
+    facts, book = booked["facts"], booked["facts_ledger"]
+    assert ledger.ledger_gaps(facts, book).count() == 0
+    assert [r["time_sk"] for r in ledger.ledger_gaps(facts, book.where("time_sk <> 20240107")).collect()] == [20240107]
+    assert "ReadSchema: struct<>" in plan(ledger.ledger_gaps(facts, book))
+
+
 def test_dedup_limits_each_key_before_the_shuffle(t):
     text = plan(cleanse.dedup_latest(t.withColumn("ingestion_timestamp", F.col("timestamp"))))
     assert "WindowGroupLimit" in text and "row_number(), 1, Partial" in text

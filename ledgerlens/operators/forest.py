@@ -6,19 +6,24 @@ splits; points with short paths are anomalies.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions.scalars import as_col
 from ledgerlens.session import materialize_scratch
 
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, child int, path double, sample_size int"
-OVERSAMPLE = 4
+NODE_SCHEMA = "tree int, node int, feature int, threshold double, path double, sample_size int"
+# Draws that any engine can repeat: hexadecimal digits of an MD5.
+HASH_DIGITS = 15
+TREE_DIGITS = 7
+PRIME = 2**31 - 1
+OVERSAMPLE = 2
 
 
 def fit_scaler(df: DataFrame, features: list[str] | None = None) -> DataFrame:
@@ -39,73 +44,94 @@ def average_path(n):
     return np.where(big, 2.0 * (np.log(m - 1.0) + np.euler_gamma) - 2.0 * (m - 1.0) / m, out)
 
 
-def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes as (feature, threshold, child, path). The right child follows the left one;
-    a leaf points to itself and sends every value left."""
-    nodes: list = [None]
-    todo = [(0, np.arange(len(points)), 0)]
+def _digits(digits: int, *parts) -> int:
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:digits], 16)
+
+
+def _grow(points: np.ndarray, seed: int, tree: int, max_depth: int) -> list[tuple]:
+    """Nodes as (node, feature, threshold, path): the root is 1, the children of i are 2i and 2i + 1, and a row goes to the second one if
+    its feature is above the threshold. A leaf has no feature, but the expected path length of its rows."""
+    nodes, todo = [], [(1, points)]
     while todo:
-        node, rows, depth = todo.pop()
-        part = points[rows]
+        node, part = todo.pop()
+        depth = node.bit_length() - 1
         low, high = part.min(axis=0), part.max(axis=0)
         free = np.flatnonzero(high > low)
-        if depth >= max_depth or len(rows) <= 1 or len(free) == 0:
-            nodes[node] = (0, math.inf, node, depth + float(average_path(len(rows))))
+        if depth >= max_depth or len(free) == 0:
+            nodes.append((node, None, None, depth + float(average_path(len(part)))))
             continue
-        feature = int(rng.choice(free))
-        cut = rng.uniform(low[feature], high[feature])
-        goes_left = part[:, feature] < cut
-        if not goes_left.any():  # the cut fell on the minimum itself
-            cut = np.nextafter(low[feature], high[feature])
-            goes_left = part[:, feature] < cut
-        child = len(nodes)
-        nodes += [None, None]
-        nodes[node] = (feature, float(cut), child, 0.0)
-        todo.append((child, rows[goes_left], depth + 1))
-        todo.append((child + 1, rows[~goes_left], depth + 1))
+        feature = int(free[_digits(8, seed, tree, node, "feature") % len(free)])
+        at, to = float(low[feature]), float(high[feature])
+        cut = at + _digits(13, seed, tree, node, "cut") / 2.0**52 * (to - at)
+        cut = cut if cut < to else at  # rounding can reach the maximum, which has to go right
+        nodes.append((node, feature, cut, None))
+        right = part[:, feature] > cut
+        todo += [(2 * node, part[~right]), (2 * node + 1, part[right])]
     return nodes
 
 
+def _pool(rows: DataFrame, size: int, n: int, seed: int) -> DataFrame:
+    """The `size` rows with the least hashes of their keys (repeated rows once), n being about the number of rows.
+
+    Rows above a bound are left out at the scan; it is set so that about OVERSAMPLE * size rows pass and widened until enough do, so the
+    rows that are sorted at the end are bounded by the forest's parameters.
+    """
+    hash_ = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "_key")), 1, HASH_DIGITS), 16, 10).cast("long")
+    hashed = rows.withColumn("_hash", hash_)
+    share = min(1.0, OVERSAMPLE * size / max(n, 1))
+    while True:
+        passed = hashed.where(F.col("_hash") < int(share * 16**HASH_DIGITS)).distinct()
+        if share >= 1.0 or passed.count() >= size:
+            return passed.orderBy("_hash", "_key").limit(size)
+        share = min(1.0, share * 4)
+
+
 def train_isolation_forest(df: DataFrame, features: list[str] | None = None, *, key: str = "transaction_id", trees: int = 200,
                            sample_size: int = 256, seed: int = 42) -> DataFrame:
     """Grow the trees; returns their nodes, at most trees * 2 * sample_size rows.
 
-    Each tree gets its own rows without replacement, chosen by a hash of key, tree and
-    seed, so a re-run grows the same forest. A hash threshold at the scan keeps about
-    OVERSAMPLE * trees * sample_size rows of the whole table; only those are shuffled,
-    and a tree's group stays near OVERSAMPLE * sample_size rows whatever the table's size.
+    The trees draw from a pool of trees * sample_size rows, those with the least hashes of all (all rows of a smaller table); each
+    tree takes the sample_size rows of the pool that come first in an order of its own. All draws follow from key, tree, node and
+    seed, so a re-run grows the same forest, and SQL can.
     """
     names = features or S.FEATURE_COLUMNS
     clean = df.dropna(subset=names)
     n = clean.count()
     if n == 0:
         raise ValueError("no complete rows to train on")
-    psi = min(sample_size, n)
-    wanted = OVERSAMPLE * trees * sample_size
-    copies = 1 if n >= wanted else min(trees, math.ceil(wanted / n))
-    rows = clean.select(F.col(key).alias("_key"), *[F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(names)])
-    if n > wanted:
-        bound = -(2 ** 63) + int(2 ** 64 * (wanted / n))
-        rows = rows.where(F.xxhash64(F.lit(seed), "_key") < F.lit(min(bound, 2 ** 63 - 1)))
-    if copies >= trees:
-        chosen = F.sequence(F.lit(0), F.lit(trees - 1))
-    else:
-        draws = [F.pmod(F.xxhash64(F.lit(seed + 1), "_key", F.lit(i)), F.lit(trees)).cast("int") for i in range(copies)]
-        chosen = F.array_distinct(F.array(*draws))
-    dealt = (rows.withColumn("tree", F.explode(chosen))
-             .withColumn("_order", F.xxhash64(F.lit(seed + 2), "_key", "tree")).drop("_key"))
     cols = [f"_f{i}" for i in range(len(names))]
-    max_depth = max(1, math.ceil(math.log2(max(psi, 2))))
+    rows = clean.select(F.col(key).cast("string").alias("_key"), *[F.col(f).cast("double").alias(c) for c, f in zip(cols, names)])
+    pool = _pool(rows, trees * sample_size, n, seed)
+    # A row of two factors per tree.
+    factors = F.array(*[F.struct(F.lit(t).alias("tree"), F.lit(1 + _digits(TREE_DIGITS, seed, t, "factor")).cast("long").alias("a"),
+                                 F.lit(_digits(TREE_DIGITS, seed, t, "shift")).cast("long").alias("b")) for t in range(trees)])
+    dealt = pool.select("*", F.inline(factors)).withColumn("_order", (F.col("_hash") % PRIME * F.col("a") + F.col("b")) % PRIME)
+    first = Window.partitionBy("tree").orderBy("_order", "_hash", "_key", *cols)
+    drawn = dealt.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= sample_size).select("tree", *cols)
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        tree = int(group["tree"].iloc[0])
-        picked = group.sort_values(["_order", *cols]).head(sample_size)
-        nodes = _grow(picked[cols].to_numpy(dtype=float), np.random.default_rng([seed, tree]), max_depth)
-        out = pd.DataFrame(nodes, columns=["feature", "threshold", "child", "path"])
-        return out.assign(tree=tree, node=range(len(out)), sample_size=len(picked))[
-            ["tree", "node", "feature", "threshold", "child", "path", "sample_size"]]
+        tree, size = int(group["tree"].iloc[0]), len(group)
+        nodes = _grow(group[cols].to_numpy(dtype=float), seed, tree, depth_of(size))
+        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "path"]).astype({"feature": "Int32"})
+        return out.assign(tree=tree, sample_size=size)[["tree", "node", "feature", "threshold", "path", "sample_size"]]
+
+    return drawn.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
+
+
+def depth_of(size: int) -> int:
+    return max(1, math.ceil(math.log2(max(size, 2))))
+
 
-    return dealt.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
+def _walkable(nodes: pd.DataFrame, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A tree as arrays by node number. Leaves above the last level send every row to their first child, down to the last level,
+    so that all rows take the same number of steps."""
+    feature, threshold, path = np.zeros(2 << levels, np.int64), np.full(2 << levels, np.inf), np.zeros(2 << levels)
+    inner = nodes["feature"].notna().to_numpy()
+    at = nodes["node"].to_numpy()
+    feature[at[inner]], threshold[at[inner]] = nodes["feature"][inner].astype(np.int64), nodes["threshold"][inner]
+    for node, length in zip(at[~inner].tolist(), nodes["path"][~inner]):
+        path[node << (levels - node.bit_length() + 1)] = length
+    return feature, threshold, path
 
 
 def score_isolation_forest(df: DataFrame, model: DataFrame, features: list[str] | None = None, *, output: str = "ml_score",
@@ -119,10 +145,9 @@ def score_isolation_forest(df: DataFrame, model: DataFrame, features: list[str]
     spark = df.sparkSession
     # Bounded by the forest's parameters (trees * 2 * sample_size nodes), not by the data.
     nodes = model.orderBy("tree", "node").toPandas()
-    packed = [tuple(g[c].to_numpy() for c in ("feature", "threshold", "child", "path")) for _, g in nodes.groupby("tree")]
     scale = float(average_path(nodes["sample_size"].max())) or 1.0
-    levels = math.ceil(math.log2(max(int(nodes["sample_size"].max()), 2)))
-    shared = spark.sparkContext.broadcast(packed)
+    levels = depth_of(int(nodes["sample_size"].max()))
+    shared = spark.sparkContext.broadcast([_walkable(g, levels) for _, g in nodes.groupby("tree")])
     width = len(names)
 
     @F.pandas_udf("double")
@@ -132,10 +157,10 @@ def score_isolation_forest(df: DataFrame, model: DataFrame, features: list[str]
             x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
             flat, base = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * width
             total = np.zeros(len(x))
-            for feature, threshold, child, path in forest:
-                at = np.zeros(len(x), dtype=np.int64)
+            for feature, threshold, path in forest:
+                at = np.ones(len(x), dtype=np.int64)
                 for _ in range(levels):
-                    at = child[at] + (flat[base + feature[at]] >= threshold[at])
+                    at = 2 * at + (flat[base + feature[at]] > threshold[at])
                 total += path[at]
             yield pd.Series(np.exp2(-(total / len(forest)) / scale))
 

@@ -93,6 +93,54 @@ def rule_views(source: str, group: str, suffix: str = "") -> dict[str, str]:
     return {f"{name}{suffix}": adapt(text) for name, text in views.items()}
 
 
+def forest_views(source: str, trees: int, psi: int = 256, seed: int = 42) -> dict[str, str]:
+    """The forest grown and applied level by level with joins: `trees_<source>` has its nodes, `scored_<source>` every row's score."""
+    digits = lambda n, *parts: f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, {n}) AS BIGINT)"
+    length = "CASE WHEN n <= 1 THEN 0.0::DOUBLE WHEN n = 2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * (ln(n - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2.0::DOUBLE * (n - 1.0::DOUBLE) / n END"
+    v = lambda name: f"{name}_{source}"
+    columns = ("amount", "latitude", "longitude")
+    views = {
+        v("pool"): f"""
+  SELECT DISTINCT CAST(transaction_id AS VARCHAR) AS k, {digits(15, str(seed), "CAST(transaction_id AS VARCHAR)")} AS h,
+    {", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(columns))}
+  FROM {{{source}}} WHERE amount IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL ORDER BY h, k LIMIT {trees * psi}""",
+        v("level0"): f"""
+  SELECT tree, 1 AS node, f0, f1, f2 FROM {{{v("pool")}}},
+    (SELECT t AS tree, 1 + {digits(7, str(seed), "t", "'factor'")} AS a, {digits(7, str(seed), "t", "'shift'")} AS b FROM range({trees}) g(t))
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY (h % 2147483647 * a + b) % 2147483647, h, k, f0, f1, f2) <= {psi}""",
+        v("size"): f"SELECT max(n) AS psi FROM (SELECT count(*) AS n FROM {{{v('level0')}}} GROUP BY tree)",
+    }
+    depth = 8
+    for d in range(depth + 1):
+        views[v(f"nodes{d}")] = f"""
+  SELECT *, low + {digits(13, str(seed), "tree", "node", "'cut'")} / 4503599627370496.0::DOUBLE * (high - low) AS cut FROM (
+    SELECT *, [l0, l1, l2][feature + 1] AS low, [h0, h1, h2][feature + 1] AS high FROM (
+      SELECT *, CASE WHEN len(free) > 0 AND {d} < ceil(log2(greatest((SELECT psi FROM {{{v("size")}}}), 2)))
+        THEN free[CAST({digits(8, str(seed), "tree", "node", "'feature'")} % len(free) AS INTEGER) + 1] END AS feature FROM (
+        SELECT *, list_filter([CASE WHEN h0 > l0 THEN 0 END, CASE WHEN h1 > l1 THEN 1 END, CASE WHEN h2 > l2 THEN 2 END], lambda x: x IS NOT NULL) AS free FROM (
+          SELECT tree, node, count(*) AS n, {", ".join(f"min(f{i}) AS l{i}, max(f{i}) AS h{i}" for i in range(3))} FROM {{{v(f"level{d}")}}} GROUP BY tree, node))))"""
+        if d < depth:
+            views[v(f"level{d + 1}")] = f"""
+  SELECT s.tree, 2 * s.node + CASE WHEN [f0, f1, f2][feature + 1] > CASE WHEN cut < high THEN cut ELSE low END THEN 1 ELSE 0 END AS node, f0, f1, f2
+  FROM {{{v(f"level{d}")}}} s JOIN {{{v(f"nodes{d}")}}} n USING (tree, node) WHERE feature IS NOT NULL"""
+    views[v("trees")] = " UNION ALL ".join(f"""
+  SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(feature AS INTEGER) AS feature, CASE WHEN cut < high THEN cut ELSE low END AS threshold,
+    CASE WHEN feature IS NULL THEN {d} + {length} END AS path, CAST((SELECT psi FROM {{{v("size")}}}) AS INTEGER) AS sample_size FROM {{{v(f"nodes{d}")}}}""" for d in range(depth + 1))
+    views[v("walk0")] = f"""
+  SELECT transaction_id AS k, {", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS f{i}" for i, c in enumerate(columns))}, tree, 1 AS node
+  FROM {{{source}}}, range({trees}) g(tree)"""
+    for d in range(depth):
+        views[v(f"walk{d + 1}")] = f"""
+  SELECT k, f0, f1, f2, w.tree, CASE WHEN feature IS NULL THEN w.node ELSE 2 * w.node + CASE WHEN [f0, f1, f2][feature + 1] > threshold THEN 1 ELSE 0 END END AS node
+  FROM {{{v(f"walk{d}")}}} w JOIN {{{v("trees")}}} n ON n.tree = w.tree AND n.node = w.node"""
+    views[v("scored")] = f"""
+  SELECT transaction_id, CASE WHEN high > low THEN round((raw - low) / (high - low), 4) ELSE 0.0::DOUBLE END AS ml_score FROM (
+    SELECT *, min(raw) OVER () AS low, max(raw) OVER () AS high FROM (
+      SELECT k AS transaction_id, pow(2.0::DOUBLE, -avg(path) / (SELECT {length} FROM (SELECT psi AS n FROM {{{v("size")}}}))) AS raw
+      FROM {{{v(f"walk{depth}")}}} w JOIN {{{v("trees")}}} n ON n.tree = w.tree AND n.node = w.node GROUP BY k))"""
+    return views
+
+
 VIEWS = {
     "t": """
   SELECT event_id AS transaction_id, user_id, CAST(k AS BIGINT) AS merchant_id, CAST(value AS DECIMAL(18,2)) AS amount,
@@ -165,11 +213,18 @@ VIEWS = {
   SELECT alert_date, reason_code, severity_bucket, status, count(*) AS alert_count, CAST(sum(severity_score) AS DOUBLE) / count(*) AS avg_severity,
     max(severity_score) AS max_severity, count(DISTINCT transaction_id) AS unique_transactions
   FROM {bucketed} GROUP BY ALL""",
+    **forest_views("t", 200),
+    **forest_views("dirty", 200),
+    **forest_views("silver", 200),
     "order_days": """
   SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1""",
 }
 
 
+FOREST_TREES = 200
+MATERIALIZED = ("pool_", "level", "nodes", "trees_", "walk", "size_")
+
+
 def with_views(sql: str) -> str:
     """Replace {view} by its name and put the views it needs in front, in order."""
     needed: set[str] = set()
@@ -185,7 +240,7 @@ def with_views(sql: str) -> str:
         for name in VIEWS:
             text = text.replace(f"{{{name}}}", f"v_{name}")
         return text.strip()
-    ctes = [f"v_{name} AS (\n  {named(VIEWS[name])})" for name in VIEWS if name in needed]
+    ctes = [f"v_{name} AS {'MATERIALIZED ' if name.startswith(MATERIALIZED) else ''}(\n  {named(VIEWS[name])})" for name in VIEWS if name in needed]
     return (f"WITH {', '.join(ctes)}\n" if ctes else "") + named(sql)
 
 

@@ -91,14 +91,13 @@ def fit_scaler(spark, sf):
     return out.select("feature", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "rows")
 
 
-@query("train_isolation_forest")
+@query("train_isolation_forest", "SELECT tree, node, feature, round(threshold, 9) AS threshold, round(path, 9) AS path, sample_size FROM {trees_t}")
 def train_isolation_forest(spark, sf):
     nodes = forest.train_isolation_forest(scans.scan_features(transactions(spark, sf)))
-    return nodes.groupBy("tree").agg(F.count("*").alias("nodes"), F.max("sample_size").alias("sample_size"),
-                                     F.round(F.max("path"), 6).alias("longest_path"))
+    return nodes.withColumns({c: F.round(c, 9) for c in ("threshold", "path")})
 
 
-@query("score_isolation_forest")
+@query("score_isolation_forest", "SELECT transaction_id, ml_score FROM {scored_dirty}")
 def score_isolation_forest(spark, sf):
     rows = scans.scan_features(dirty_transactions(spark, sf))
     return forest.score_isolation_forest(rows, forest.train_isolation_forest(rows)).select("transaction_id", "ml_score")

@@ -114,13 +114,13 @@ def audit_record(spark, sf):
     return spark.read.json(path).select("job_name", "run_id", "input_rows")
 
 
-@query("save_model")
+@query("save_model", "SELECT tree, count(*) AS nodes, max(sample_size) AS sample_size, 3 AS features FROM {trees_t} GROUP BY 1")
 def save_model(spark, sf):
     path = scratch_path(spark, "model")
     rows = scans.scan_features(transactions(spark, sf))
-    sinks.save_model(forest.train_isolation_forest(rows, trees=50), forest.fit_scaler(rows), path)
+    sinks.save_model(forest.train_isolation_forest(rows), forest.fit_scaler(rows), path)
     trees, scaler = sinks.load_model(spark, path)
-    return trees.groupBy("tree").agg(F.count("*").alias("nodes")).withColumn("features", F.lit(scaler.count()))
+    return trees.groupBy("tree").agg(F.count("*").alias("nodes"), F.max("sample_size").alias("sample_size")).withColumn("features", F.lit(scaler.count()).cast("int"))
 
 
 # ---------------------------------------------------------------- jobs
@@ -198,7 +198,9 @@ def run_anomaly_detection(spark, sf):
     return log.select("transaction_id", "alert_date", "reason_code", "severity_score", F.lit(again["total_alerts"]).cast("long").alias("second_run"))
 
 
-@query("run_ml_scoring")
+@query("run_ml_scoring", f"""
+SELECT count(*) AS first_run, 0::BIGINT AS second_run FROM {{scored_silver}}
+WHERE ml_score > 0.7 AND transaction_id NOT IN (SELECT transaction_id FROM ({BY_DAY_ALERTS}))""")
 def run_ml_scoring(spark, sf):
     root = _lake_with(spark, sf, "alerts")
     first = jobs.run_ml_scoring(spark, root, _days(spark, sf), train=True, as_of=AS_OF)

@@ -1,3 +1,6 @@
+import hashlib
+import math
+
 import numpy as np
 import pytest
 
@@ -32,9 +35,9 @@ def test_scores_separate_outliers(frame, trees):
 
 def test_same_seed_same_forest(frame, trees):
     again = forest.train_isolation_forest(frame.repartition(5), trees=60)
-    assert sorted(again.collect()) == sorted(trees.collect())
+    assert sorted(again.collect(), key=str) == sorted(trees.collect(), key=str)
     other = forest.train_isolation_forest(frame, trees=60, seed=7)
-    assert sorted(other.collect()) != sorted(trees.collect())
+    assert sorted(other.collect(), key=str) != sorted(trees.collect(), key=str)
 
 
 def test_nulls_count_as_zero_and_keep_the_row(spark, frame, trees):
@@ -45,12 +48,51 @@ def test_nulls_count_as_zero_and_keep_the_row(spark, frame, trees):
         forest.train_isolation_forest(frame.withColumn("amount", F.lit(None).cast("double")))
 
 
-@pytest.mark.parametrize("rows,trees,size", [(50, 20, 64), (3000, 8, 64), (40_000, 10, 16)])
-def test_every_tree_gets_its_sample(spark, rows, trees, size):
-    df = spark.range(rows).select(F.col("id").alias("transaction_id"), *[F.xxhash64("id", F.lit(i)).cast("double").alias(c)
+def plain_forest(rows, trees, size, seed=42):
+    """The forest in plain Python: {(tree, node): (feature, threshold, path)}."""
+    digits = lambda n, *parts: int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:n], 16)
+    pool = sorted({(digits(15, seed, k), str(k), *map(float, x)) for k, *x in rows})[:trees * size]
+    out = {}
+    for tree in range(trees):
+        a, b = 1 + digits(7, seed, tree, "factor"), digits(7, seed, tree, "shift")
+        sample = sorted(pool, key=lambda r: ((r[0] % (2**31 - 1) * a + b) % (2**31 - 1), *r))[:size]
+        todo, depth_limit = [(1, [r[2:] for r in sample])], max(1, math.ceil(math.log2(max(len(sample), 2))))
+        while todo:
+            node, points = todo.pop()
+            depth = node.bit_length() - 1
+            free = [i for i in range(3) if len({p[i] for p in points}) > 1]
+            if depth == depth_limit or not free:
+                n = len(points)
+                c = 0 if n < 2 else 1 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+                out[tree, node] = (None, None, pytest.approx(depth + c))
+                continue
+            i = free[digits(8, seed, tree, node, "feature") % len(free)]
+            low, high = min(p[i] for p in points), max(p[i] for p in points)
+            cut = low + digits(13, seed, tree, node, "cut") / 2**52 * (high - low)
+            cut = cut if cut < high else low
+            out[tree, node] = (i, cut, None)
+            todo += [(2 * node, [p for p in points if p[i] <= cut]), (2 * node + 1, [p for p in points if p[i] > cut])]
+    return out
+
+
+@pytest.mark.parametrize("rows,trees,size", [(1, 3, 8), (50, 20, 64), (3000, 8, 64), (40_000, 10, 16)])
+def test_forest_equals_plain_python(spark, rows, trees, size):
+    """One way for every size: fewer rows than a sample, than all samples, and many more."""
+    df = spark.range(rows).select(F.col("id").alias("transaction_id"), *[(F.xxhash64("id", F.lit(i)) % 1000).cast("double").alias(c)
                                                                          for i, c in enumerate(("amount", "latitude", "longitude"))])
-    model = forest.train_isolation_forest(df, trees=trees, sample_size=size).groupBy("tree").agg(F.max("sample_size").alias("s")).collect()
-    assert len(model) == trees and {r["s"] for r in model} == {min(size, rows)}
+    model = forest.train_isolation_forest(df.union(df.where("id % 3 = 0")) if rows < 100 else df, trees=trees, sample_size=size).collect()
+    none = lambda v: None if v is None or v != v else v
+    got = {(r["tree"], r["node"]): (r["feature"], none(r["threshold"]), none(r["path"])) for r in model}
+    assert got == plain_forest([tuple(r) for r in df.collect()], trees, size)
+    assert {r["sample_size"] for r in model} == {min(size, rows)}
+
+
+def test_a_repeated_row_does_not_crowd_the_pool(spark):
+    """Half of all rows are one: the bound is widened until the pool is full."""
+    df = spark.range(4000).select(F.greatest("id", F.lit(3600)).alias("transaction_id"), *[F.greatest("id", F.lit(3600)).cast("double").alias(c) for c in ("amount", "latitude", "longitude")])
+    got = forest.train_isolation_forest(df, trees=5, sample_size=64)
+    want = forest.train_isolation_forest(df.distinct(), trees=5, sample_size=64)
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
 def test_path_length_against_a_plain_walk(frame, trees):
@@ -60,9 +102,9 @@ def test_path_length_against_a_plain_walk(frame, trees):
     psi = max(r["sample_size"] for t in nodes.values() for r in t.values())
 
     def walk(tree, x):
-        at = 0
-        while tree[at]["child"] != at:
-            at = tree[at]["child"] + (x[tree[at]["feature"]] >= tree[at]["threshold"])
+        at = 1
+        while tree[at]["feature"] is not None:
+            at = 2 * at + (x[tree[at]["feature"]] > tree[at]["threshold"])
         return tree[at]["path"]
     got = {r["transaction_id"]: r["ml_score"] for r in forest.score_isolation_forest(frame, trees, raw=True).collect()}
     for r in frame.limit(20).collect():
@@ -75,7 +117,7 @@ def test_model_round_trip_and_alerts(spark, frame, trees, tmp_path):
         sinks.load_model(spark, f"{tmp_path}/none")
     sinks.save_model(trees, forest.fit_scaler(frame), f"{tmp_path}/m")
     loaded, scaler = sinks.load_model(spark, f"{tmp_path}/m")
-    assert sorted(loaded.collect()) == sorted(trees.collect()) and scaler.count() == 3
+    assert sorted(loaded.collect(), key=str) == sorted(trees.collect(), key=str) and scaler.count() == 3
     scored = forest.score_isolation_forest(frame, loaded)
     known = scored.where("ml_score > 0.7").limit(1).select("transaction_id")
     found = forest.ml_alerts(scored, known)

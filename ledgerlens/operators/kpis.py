@@ -155,6 +155,17 @@ def rejection_rate(staged: DataFrame, facts: DataFrame, as_of, days: int = 7) ->
                  percent(lost, F.count("*"), 2).alias("rejection_pct")).orderBy(F.col("load_date").desc()))
 
 
+def staged_log_rejections(log: DataFrame, facts: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """The same over the log of all runs. Load dates before the span are not read, nor facts before the first staged day: a row
+    that came again later is a fact of that later day."""
+    start = instant(as_of) - F.make_dt_interval(F.lit(days))
+    recent = lookback(log.where(F.col("load_date") >= F.to_date(start)), "loaded_at", as_of, days=days)
+    first_day = recent.agg(F.min("time_sk")).scalar()
+    # A key that several runs of one date staged counts once, by its newest time.
+    once = recent.groupBy("load_date", "transaction_id").agg(F.max("loaded_at").alias("loaded_at")).drop("load_date")
+    return rejection_rate(once, facts.where(F.col("time_sk") >= first_day), as_of, days)
+
+
 def _load_since(facts: DataFrame, ledger: DataFrame | None, as_of, hours: int) -> DataFrame:
     """rows and flagged of the facts loaded in the last hours, one row."""
     if ledger is None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions.scalars import instant, surrogate_key, time_key
-from ledgerlens.operators import cleanse, forest, ledger, model, quality, rules
+from ledgerlens.operators import cleanse, forest, kpis, ledger, model, quality, rules
 from ledgerlens.plans.layout import Lake
 from ledgerlens.session import scratch
 from ledgerlens.sources import scans, sinks
@@ -138,6 +138,7 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
         "transactions": sinks.write_staging(model.stage_fact(silver, as_of), lake.staging("transactions")),
     }
     tables = {name: spark.read.parquet(lake.staging(name)) for name in staged}
+    sinks.log_staged(tables["transactions"], lake.gold("staged_log"))
     problems = [r for r in quality.check_staging(tables["transactions"], tables["users"], tables["merchants"]).collect() if not r["success"]]
     if problems:
         raise quality.QualityGateError("staging", [f"{r['table_name']}.{r['check']}" for r in problems])
@@ -174,26 +175,32 @@ def run_anomaly_detection(spark: SparkSession, root: str, date: str | list[str],
                           **thresholds) -> dict:
     """Run the three rules on a day and append new alerts.
 
-    Several dates run in one job: users are keyed by day, so each day gives the same
-    alerts as it would alone. The usual amount of a user is that of the `lookback_days`
-    days of silver up to the row's own day; `as_of` only stamps the alerts.
+    Several dates run in one job and each day gives the same alerts as it would alone: bursts reach back over midnight, and a
+    day's first event of a user is held against the last one of the days before, as far back as it can matter. The usual amount
+    of a user is that of the `lookback_days` days of silver up to the row's own day; `as_of` only stamps the alerts.
     """
     started, lake, as_of = time.monotonic(), Lake(root), as_of or _now()
-    days = _days_of(spark, lake, date)
+    days = [dt.date.fromisoformat(d) for d in _days_of(spark, lake, date)]
+    velocity, amount, geo = (dict(thresholds.get(name) or {}) for name in ("velocity", "amount", "geo"))
+    burst, reach = velocity.get("seconds", 60), rules.reach_seconds(geo.get("max_kmh", 800.0))
+    back = -(-max(burst, reach) // 86_400)
+    wanted = sorted({d - dt.timedelta(days=k) for d in days for k in range(back + 1)})
+    silver = scans.scan_layer(spark, lake.silver, "all", S.SILVER)
+    history = silver.where(F.col("partition_date").between(days[0] - dt.timedelta(days=lookback_days - 1), days[-1])) if days else silver.limit(0)
 
     def by_day(df: DataFrame) -> DataFrame:
         return df.withColumn("user_id", F.concat_ws("|", F.col("partition_date").cast("string"), "user_id"))
-    history = scans.scan_layer(spark, lake.silver, "all", S.SILVER)
-    if days:
-        first = dt.date.fromisoformat(days[0]) - dt.timedelta(days=lookback_days - 1)
-        history = history.where(F.col("partition_date").between(first, dt.date.fromisoformat(days[-1])))
     usual = by_day(rules.daily_baseline(history, lookback_days)).drop("partition_date")
-    # The narrow columns of the days are written once; the three rules read them several times.
+    # The narrow columns of the days and of those before are written once; the three rules read them several times.
     with scratch(spark) as keep:
-        rows = by_day(_silver(spark, lake, date)).select(*rules.COLUMNS, "partition_date")
-        thresholds["geo"] = {"store": keep, **(thresholds.get("geo") or {})}
-        found = rules.detect_all(keep(rows, "rule-rows"), baseline=usual, extra=("partition_date",), **thresholds)
-        return _log_alerts(spark, lake, found, as_of, date, started)
+        rows = keep(silver.where(F.col("partition_date").isin(wanted)).select(*rules.COLUMNS, "partition_date"), "rule-rows", ["partition_date"])
+        extra = ("partition_date", "_own")
+        own = by_day(rows.where(F.col("partition_date").isin(days))).withColumn("_own", F.lit(True))
+        found = rules.union_alerts(
+            rules.detect_velocity_attack(rules.with_context(rows, days, burst), extra=extra, **velocity),
+            rules.detect_high_amount(own, as_of=as_of, baseline=usual, extra=extra, **amount),
+            rules.detect_geo_impossible(rules.with_context(rows, days, reach, last_only=True), extra=extra, store=keep, **geo))
+        return _log_alerts(spark, lake, found.where("_own").drop("_own"), as_of, date, started)
 
 
 def _log_alerts(spark: SparkSession, lake: Lake, found: DataFrame, as_of, date, started: float) -> dict:
@@ -274,6 +281,13 @@ def run_marts(spark: SparkSession, root: str, calendar: DataFrame | None = None,
             "fraud_summary": sinks.overwrite_table(model.mart_fraud_summary(alerts_log(spark, lake)), lake.gold("mart_fraud_summary"))}
 
 
+def rejection_report(spark: SparkSession, root: str, as_of, days: int = 7) -> DataFrame:
+    """Staged rows that did not become facts, per load date of all runs of the span."""
+    lake = Lake(root)
+    staged = scans.scan_or_empty(spark, lake.gold("staged_log"), S.STAGED_LOG)
+    return kpis.staged_log_rejections(staged, fact_table(spark, lake), as_of, days)
+
+
 def run_gold_tests(spark: SparkSession, root: str) -> dict:
     """The data tests on the finished tables; the first failing table stops the run."""
     lake = Lake(root)

@@ -176,6 +176,8 @@ VIEWS = {
     "silver": "SELECT * FROM {checked} WHERE ok",
     **rule_views("t", "user_id"),
     **rule_views("silver", "partition_date, user_id", "_by_day"),
+    # Bursts and trips go over midnight.
+    **{name: view for name, view in rule_views("silver", "user_id", "_by_day").items() if name in ("rolled_by_day", "hops_by_day")},
     # In the jobs a user's usual amount is that of the 30 days up to the row's day.
     "baseline_by_day": """
   SELECT partition_date, user_id, sum(k) AS n, CAST((CAST(sum(s) * 100 AS BIGINT) * 20000 + sum(k)) // (2 * sum(k)) AS BIGINT) AS avg6

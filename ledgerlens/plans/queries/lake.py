@@ -11,7 +11,7 @@ from ledgerlens.plans import jobs
 from ledgerlens.plans.layout import Lake
 from ledgerlens.plans.queries.base import AMOUNT, GEO, VELOCITY, alerts, landed, once, query
 from ledgerlens.plans.queries.cleansing import _layer
-from ledgerlens.session import scratch_path
+from ledgerlens.session import drop_path, scratch_path
 from ledgerlens.sources import scans, sinks, tables
 from ledgerlens.sources.key_index import KeyIndex
 from ledgerlens.sources.tables import AS_OF, table, transactions
@@ -208,6 +208,22 @@ def run_ml_scoring(spark, sf):
     return one_row(spark, sf, first_run=first["ml_alerts"], second_run=second["ml_alerts"])
 
 
+@query("rejection_report", """
+SELECT CASE WHEN partition_date < DATE '2024-01-10' THEN '2024-01-26' WHEN partition_date < DATE '2024-01-20' THEN '2024-01-28' ELSE '2024-01-30' END AS load_date,
+  count(*) AS staged_rows, count(*) FILTER (WHERE partition_date <> DATE '2024-01-12') AS gold_rows,
+  round(CAST(count(*) FILTER (WHERE partition_date = DATE '2024-01-12') AS DOUBLE) * 100.0::DOUBLE / count(*), 2) AS rejection_pct FROM {silver} GROUP BY 1""")
+def rejection_report(spark, sf):
+    """Three runs on three dates, one of them twice; a day of facts is taken away before the report."""
+    root, days = scratch_path(spark, "lake"), _days(spark, sf)
+    jobs.run_bronze_ingest(spark, root, days, as_of=AS_OF, raw_root=landed(spark, sf))
+    jobs.run_silver_cleanse(spark, root, days, as_of=AS_OF)
+    parts = [[d for d in days if d < "2024-01-10"], [d for d in days if "2024-01-10" <= d < "2024-01-20"], [d for d in days if d >= "2024-01-20"]]
+    for part, load in zip([parts[0], *parts], ("2024-01-26 01:00:00", "2024-01-26 02:00:00", "2024-01-28 01:00:00", "2024-01-30 01:00:00")):
+        jobs.run_gold_modeling(spark, root, part, as_of=load)
+    drop_path(spark, f"{Lake(root).gold('fact_transactions')}/time_sk=20240112")
+    return jobs.rejection_report(spark, root, AS_OF)
+
+
 FLAGGED_SQL = f"""
 SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, a.severity IS NOT NULL AS is_flagged_fraud, coalesce(a.severity, 0.0::DOUBLE) AS fraud_score
 FROM {{silver}} LEFT JOIN (SELECT transaction_id, max(round(CAST(CAST(least(raw_severity, 1.0) AS FLOAT) AS DOUBLE), 4)) AS severity

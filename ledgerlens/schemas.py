@@ -90,6 +90,8 @@ FACTS = _struct(
     "created_at timestamp, time_sk int"
 )
 
+STAGED_LOG = _struct("transaction_id string, time_sk int, loaded_at timestamp, load_date date")
+
 LOAD_LEDGER = _struct("hour timestamp, rows bigint, flagged bigint, done_rows bigint, done_amount decimal(28,2), time_sk int")
 
 # What a user's newest transaction of a day says about them; the history is made of these rows.

@@ -62,6 +62,12 @@ def write_staging(df: DataFrame, target: str, *, jdbc: dict | None = None) -> in
                           .option("dbtable", target).mode("overwrite").save())
 
 
+def log_staged(staged: DataFrame, path: str) -> None:
+    """Keep which rows a run staged, by load date; staging itself holds the last run only. A repeated run adds its keys again, which readers count once."""
+    rows = staged.select("transaction_id", "time_sk", "loaded_at", F.to_date("loaded_at").alias("load_date"))
+    rows.write.mode("append").partitionBy("load_date").parquet(path)
+
+
 def overwrite_table(df: DataFrame, path: str) -> int:
     """Overwrite a table that `df` does not read from."""
     return _write_counted(df, lambda d: d.write.mode("overwrite").parquet(path))

@@ -152,3 +152,23 @@ def test_rolling_count_keeps_rows_without_key_or_time(spark):
     from ledgerlens.operators.windows import rolling_count
     df = spark.sql("SELECT * FROM VALUES ('a', 'u', timestamp'2024-01-01 00:00:00'), ('b', NULL, timestamp'2024-01-01 00:00:00'), ('c', 'u', NULL) AS t(transaction_id, user_id, timestamp)")
     assert {r["transaction_id"]: r["rolling_count"] for r in rolling_count(df).collect()} == {"a": 1, "b": None, "c": None}
+
+
+@pytest.mark.parametrize("heavy_rows", [10**9, 5])
+def test_days_alone_see_bursts_and_trips_over_midnight(spark, heavy_rows):
+    """Events about two midnights: day by day, with context, the alerts of the rules over everything."""
+    rng = random.Random(4)
+    rows = [event(f"t{i:04d}", f"u{rng.randrange(6)}", rng.randrange(9 * 3600, 66 * 3600) if i % 3 else rng.choice([14, 38]) * 3600 + rng.randrange(-90, 90),
+                  place=(rng.randrange(-60, 60), rng.randrange(-170, 170)), country=rng.choice("ABC")) for i in range(240)]
+    df = frame(spark, *rows).withColumn("partition_date", F.to_date("timestamp")).cache()
+    days = [r[0] for r in df.select("partition_date").distinct().orderBy("partition_date").collect()]
+    assert len(days) == 4
+    options, extra = {"min_count": 4, "seconds": 60}, ("partition_date", "_own")
+    for rule, back, last in ((lambda d, e=(): rules.detect_velocity_attack(d, extra=e, **options), 60, False),
+                             (lambda d, e=(): rules.detect_geo_impossible(d, heavy_rows=heavy_rows, extra=e), rules.reach_seconds(800.0), True)):
+        want = sorted(rule(df).collect())
+        for parts in ([days], [[d] for d in days], [days[::2], days[1::2]]):
+            found = [r for part in parts for r in rule(rules.with_context(df, part, back, last), extra).where("_own").drop(*extra).collect()]
+            assert sorted(found) == want
+        keyed = df.withColumn("user_id", F.concat_ws("|", F.col("partition_date").cast("string"), "user_id"))
+        assert rule(keyed).count() < len(want)  # some do go over midnight

@@ -16,10 +16,12 @@ Stars. Each token names up to STARS of its nodes, those that share most of their
 Every node is compared with the TRIED nodes that most of its tokens name; links join nodes to families. That brings copies and near
 copies of one text together with a few comparisons a node, however large the family.
 
-Matrix. What is left are pairs of different families that share a token. Families are cut into groups of about GROUP nodes; the matrix
+Matrix. What is left are pairs of different families that share a token. Large families are cut into groups of about GROUP nodes. Nodes of
+small ones are grouped across families, by size and by the most common of their tokens, so that texts which share a passage but are not linked
+stand together. The matrix
 holds for each group the union of its members' prefix tokens, their range of sizes and of prefix ends. A query node of the smaller family counts its
 prefix tokens in the group's union, which bounds the overlap with every member as above; only groups that can reach t are opened, that is,
-compared member by member. Pairs inside a family need no comparison: they are connected already. This is done for families of LARGE nodes or more first, so that
+compared member by member. Of two groups one asks the other, and a group of several families asks itself too. Pairs inside a family need no comparison: they are connected already. This is done for families of LARGE nodes or more first, so that
 their outlying members join them before they are compared with each other, then for all.
 
 Exact, up to collisions of 64-bit hashes. Null, empty and wordless texts have no set and are linked with nothing; texts with fewer than five words have one
@@ -245,11 +247,21 @@ def _need(n: Column, m: Column, first: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), overlap - rest)
 
 
-def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Nodes with the groups of other families (of least_size nodes or more) that the matrix cannot rule out: sid, gid; and all groups.
+def _mixed(left: DataFrame, small: DataFrame, percent: int) -> DataFrame:
+    """Groups (sid, mixed) of nodes of small families: alike in size, with the same most common token, about GROUP of them."""
+    common = left.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    anchors = left.join(common, "token").groupBy("sid", "n").agg(F.max(F.struct("c", "token")).alias("m")).select("sid", "n", F.col("m.token").alias("anchor"))
+    # Sizes of one class can be linked with those of the next ones at most.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).alias("class")
+    nodes = anchors.join(small, "sid", "left_semi").select("sid", "n", "anchor", size_class)
+    sizes = nodes.groupBy("anchor", "class").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
+    parts = F.ceil(F.greatest(F.col("size") / GROUP, F.col("all") / GROUP_TOKENS))
+    mixed = F.xxhash64("anchor", "class", F.pmod(F.xxhash64("sid", F.lit(-2)), parts)).alias("mixed")
+    return nodes.join(sizes, ["anchor", "class"]).select("sid", mixed)
 
-    `before`: groups (sid, gid) that stay as they are.
-    """
+
+def _met(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Tokens of query nodes with the groups whose matrix holds them (of families of least_size nodes or more); and all groups."""
     families = places.join(named, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "end", F.coalesce("component", "sid").alias("family"))
     # Tokens that still lie in several families.
     open_ = families.groupBy("token").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("token")
@@ -262,15 +274,31 @@ def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int,
     if before is not None:
         old = before.select("sid", F.col("gid").alias("old"))
         grouped = grouped.join(old, "sid", "left").withColumn("gid", F.coalesce("old", "gid")).drop("old")
+    # Groups of small families have rank 0 and members of several families.
+    grouped = grouped.withColumn("rank", F.when(F.col("size") >= LARGE, F.col("size")).otherwise(0))
+    if least_size < LARGE:
+        mixed = _mixed(left, grouped.where(F.col("rank") == 0).select("sid"), percent)
+        grouped = grouped.join(mixed, "sid", "left").withColumn("gid", F.coalesce("mixed", "gid")).drop("mixed")
     grouped = saved(grouped, "groups")
     rows = left.select("token", "sid").join(grouped, "sid")
     matrix = rows.where(F.col("size") >= least_size).select("token", "gid").distinct()
     group = grouped.groupBy("gid").agg(
-        F.first("family").alias("g_family"), F.first("size").alias("g_size"), F.min("n").alias("low"), F.max("n").alias("high"),
+        F.first("family").alias("g_family"), F.first("rank").alias("g_rank"), F.min("n").alias("low"), F.max("n").alias("high"),
         F.min("end").alias("g_first"), F.max("end").alias("g_last"))
-    smaller = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("family") < F.col("g_family")))
+    asks = (F.struct("rank", "gid") < F.struct("g_rank", "g_gid")) & ((F.col("g_rank") == 0) | (F.col("family") != F.col("g_family")))
+    asks |= (F.col("g_rank") == 0) & (F.col("gid") == F.col("g_gid"))
     in_size = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent)
-    met = rows.select("token", "sid", "n", "end", "family", "size").join(matrix.join(group, "gid"), "token").where(smaller & in_size)
+    there = matrix.join(group, "gid").withColumnRenamed("gid", "g_gid")
+    return rows.select("token", "sid", "n", "end", "family", "rank", "gid").join(there, "token").where(asks & in_size), grouped
+
+
+def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nodes with the groups of other families (of least_size nodes or more) that the matrix cannot rule out: sid, gid; and all groups.
+
+    `before`: groups (sid, gid) that stay as they are.
+    """
+    met, grouped = _met(places, named, percent, least_size, before)
+    met = met.select("sid", F.col("g_gid").alias("gid"), "n", "end", "low", "high", "g_first", "g_last")
     counted = met.groupBy("sid", "gid", "n", "end", "low", "high", "g_first", "g_last").agg(F.count(F.lit(1)).alias("k"))
     # What the query must share with a member that ends after it grows with the member's size. With one that ends before it, it falls by
     # t^2 / (1 + t) a size but for rounding, which moves it by less than one: the least lies among the largest sizes over which it falls by one.

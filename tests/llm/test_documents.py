@@ -339,3 +339,55 @@ def test_words_whose_polynomials_are_equal(frame):
     linked = {r.doc_id: r.component_id for r in jaccard.near_duplicates(frame(rows, parts=1)).collect()}
     assert linked[4] == 4 and linked[5] == 5
     assert {r.doc_id: r.n_dup_lines for r in outliers.statistics(frame(rows, parts=1)).collect()}[3] == 0
+
+
+def test_jaccard_does_not_join_unlinked_near_copies_pair_by_pair(frame, monkeypatch):
+    """Texts that share a passage of 95 words and are not linked: few joined rows a text, far fewer than pairs."""
+    from tests.llm.conftest import prose
+    met, joined = jaccard._met, []
+
+    def counting(*args):
+        rows, groups = met(*args)
+        joined.append(rows.count())
+        return rows, groups
+
+    monkeypatch.setattr(jaccard, "_met", counting)
+    passage = prose(5, 95)
+    for number in (300, 600):
+        joined.clear()
+        rows = [(i, passage + " " + " ".join(f"own{i}x{k}" for k in range(15)), "en", "a") for i in range(number)]
+        found = jaccard.near_duplicates(frame(rows, extra=False)).collect()
+        assert all(r.component_id == r.doc_id for r in found)
+        # About seven tokens of the passage are in each prefix; every pair would make 7 * number * (number - 1) / 2 rows.
+        assert sum(joined) <= 7 * number * (number / jaccard.GROUP + 2)
+
+
+def test_long_pages_take_linear_time(spark):
+    """A page of 1 MB of blanks, one of 100,000 comments and one of 100,000 tags that are not closed."""
+    import time
+
+    from ledgerlens.llm import lines
+    pages = ["a" + " " * 1_000_000 + "b", "<!-- x " * 100_000, "<div " * 100_000 + "end", "<script>" * 50_000, "one\n \t \n two <b>bold</b><!-- no --><p>three</p>"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page_id long, html string").repartition(1)
+    df.limit(1).select(lines.html_lines(F.col("html"))).collect()
+    began = time.time()
+    found = [r[0] for r in df.select(lines.html_lines(F.col("html"))).collect()]
+    assert time.time() - began < 2 * len(pages)
+    texts = {len(t): t for t in found}
+    assert "one\ntwo bold\nthree" in texts.values() and "" in texts.values() and 1_000_002 in texts
+
+
+def test_lines_with_every_internal_name(frame, monkeypatch):
+    from ledgerlens.llm import lines
+    names = ("__lines", "__site", "__pages", "__keep", "__common", "__split", "__salt", "__part", "__large", "__salts", "c0", "c1", "__key", "__line", "__n", "n_lines")
+    rows = [(i, f"same header\ntext {i}\nsame footer", "en", "a") for i in range(20)]
+    df = frame(rows, extra=False)
+    for name in names:
+        df = df.withColumn(name, F.lit(f"own {name}"))
+    for bound in (lines.BROADCAST, 0):
+        monkeypatch.setattr(lines, "BROADCAST", bound)
+        found = lines.drop_boilerplate(df, "source", "text")
+        assert found.columns == [c for c in df.columns if c != "n_lines"] + ["n_lines", "n_dropped"]
+        for r in found.collect():
+            assert r.text == f"text {r.doc_id}" and (r.n_lines, r.n_dropped) == (3, 2)
+            assert all(r[name] == f"own {name}" for name in names if name != "n_lines")

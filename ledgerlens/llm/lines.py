@@ -28,10 +28,11 @@ LEAST = 5
 BROADCAST = 1_000_000
 SALT_PAGES = 10_000
 
-# Elements whose content is no text, and tags that end a line (fixed values of HTML).
-UNSEEN = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>|<!--.*?-->"
-BLOCK = r"(?i)</?(html|head|body|title|nav|header|footer|main|article|section|aside|div|p|ul|ol|li|h[1-6]|br|hr|table|tr|td|th|pre|blockquote)\b[^>]*>"
-TAG = r"<[^>]*>"
+# Elements whose content is no text, and tags that end a line (fixed values of HTML). What is not closed reaches to the end of the page, and
+# a tag ends before the next one begins, so that every pattern goes over a page once.
+UNSEEN = r"(?is)<(script|style)\b[^<>]*>.*?(?:</(script|style)>|\z)|<!--.*?(?:-->|\z)"
+BLOCK = r"(?i)</?(html|head|body|title|nav|header|footer|main|article|section|aside|div|p|ul|ol|li|h[1-6]|br|hr|table|tr|td|th|pre|blockquote)\b[^<>]*>"
+TAG = r"<[^<>]*>"
 
 
 def html_lines(html: Column) -> Column:
@@ -39,7 +40,7 @@ def html_lines(html: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, UNSEEN, ""), BLOCK, "\n"), TAG, "")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s*\n\s*", "\n"), F.lit("\n "))
+    return F.trim(F.regexp_replace(text, r"(?<!\s)\s*\n\s*", "\n"), F.lit("\n "))
 
 
 def host(url: Column) -> Column:
@@ -63,8 +64,15 @@ def boilerplate(df: DataFrame, site: str, text: str, ratio: float = RATIO, least
 
 def drop_boilerplate(df: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """df with the boilerplate lines taken out of the text, n_lines (lines with a word before) and n_dropped."""
-    common = saved(boilerplate(df, site, text, ratio, least), "boilerplate")
-    rows = df.drop("n_lines", "n_dropped")
+    # Columns have numbers for names here, so that none clashes with another.
+    names = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
+    left = _dropped(df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index(site)}", f"c{names.index(text)}", ratio, least)
+    return left.toDF(*names, "n_lines", "n_dropped")
+
+
+def _dropped(rows: DataFrame, site: str, text: str, ratio: float, least: int) -> DataFrame:
+    common = saved(boilerplate(rows, site, text, ratio, least), "boilerplate")
+    names = rows.columns
     held = common.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("__lines") + F.length(F.coalesce("__site", F.lit("")))), F.lit(0))).first()
     if held[1] + held[0] <= BROADCAST:
         rows = rows.join(F.broadcast(common), rows[site].eqNullSafe(common["__site"]), "left")
@@ -83,7 +91,7 @@ def drop_boilerplate(df: DataFrame, site: str = "source", text: str = "text", ra
     none = F.array().cast("array<bigint>")
     keep = F.filter(F.col("__split"), lambda x: (_bare(x) == "") | ~F.array_contains(F.col("__common"), F.xxhash64(_bare(x))))
     rows = rows.withColumns({"__split": lines, "__common": F.coalesce(F.col("__lines"), none)}).withColumn("__keep", keep)
-    columns = [F.array_join("__keep", "\n").alias(text) if c == text else F.col(c) for c in df.columns if c not in ("n_lines", "n_dropped")]
+    columns = [F.array_join("__keep", "\n").alias(text) if c == text else F.col(c) for c in names]
     counted = F.when(F.col(text).isNull(), F.lit(0).cast("long")).otherwise(worded(F.col("__split")))
     left = F.when(F.col(text).isNull(), F.lit(0).cast("long")).otherwise(worded(F.col("__keep")))
     return rows.select(*columns, counted.alias("n_lines"), (counted - left).alias("n_dropped"))

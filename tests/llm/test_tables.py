@@ -194,3 +194,11 @@ def test_pipeline_equals_its_stages_in_plain_form(spark):
     words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in kept.values())
     mixed = sum(len(re.findall(r"[^\x20\x09-\x0D]+", kept[r.doc_id].text)) for r in out)
     assert abs(mixed - words) < 0.15 * words
+
+
+def test_pipeline_rows_that_differ_in_nulls_only_are_told_apart(spark):
+    rows = [(9999, "text", "en", None, 4), (9999, "text", None, "en", 4), (9999, None, "text", "en", 4), (None, "text", "en", None, 4), (9999, "text", "en", None, None),
+            (9999, "text", "en", None, 5), (9999, "", "en", None, 4), (None, None, None, None, None), (0, "", "", "", 0)]
+    df = spark.createDataFrame(rows + rows, "doc_id long, text string, lang string, source string, n_chars long")
+    keys = [r.key for r in df.select(corpus_pipeline._key()).collect()]
+    assert len(set(keys)) == len(rows) and keys[:len(rows)] == keys[len(rows):] and {len(k) for k in keys} == {32}

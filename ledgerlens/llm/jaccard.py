@@ -21,7 +21,8 @@ small ones are grouped across families, by size and by the most common of their
 stand together. The matrix
 holds for each group the union of its members' prefix tokens, their range of sizes and of prefix ends. A query node of the smaller family counts its
 prefix tokens in the group's union, which bounds the overlap with every member as above; only groups that can reach t are opened, that is,
-compared member by member. Of two groups one asks the other, and a group of several families asks itself too. Pairs inside a family need no comparison: they are connected already. This is done for families of LARGE nodes or more first, so that
+compared member by member; in a group of several families only with members that the same bound lets pass alone. Of two groups one asks the other, and a group
+of several families asks itself too. Pairs inside a family need no comparison: they are connected already. This is done for families of LARGE nodes or more first, so that
 their outlying members join them before they are compared with each other, then for all.
 
 Exact, up to collisions of 64-bit hashes. Null, empty and wordless texts have no set and are linked with nothing; texts with fewer than five words have one
@@ -206,6 +207,11 @@ def _tokens(df: DataFrame, text_col: str, needed: DataFrame) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Of the stars' pairs (a, b) of nodes those that are linked."""
+    return _linked(pairs, tokens, percent)
+
+
+def _linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) of nodes those that are linked."""
     left = tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("ta"))
     right = tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("tb"))
@@ -260,8 +266,8 @@ def _mixed(left: DataFrame, small: DataFrame, percent: int) -> DataFrame:
     return nodes.join(sizes, ["anchor", "class"]).select("sid", mixed)
 
 
-def _met(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Tokens of query nodes with the groups whose matrix holds them (of families of least_size nodes or more); and all groups."""
+def _met(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tokens of query nodes with the groups whose matrix holds them (of families of least_size nodes or more); all groups; all open tokens."""
     families = places.join(named, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "end", F.coalesce("component", "sid").alias("family"))
     # Tokens that still lie in several families.
     open_ = families.groupBy("token").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("token")
@@ -289,17 +295,28 @@ def _met(places: DataFrame, named: DataFrame, percent: int, least_size: int, bef
     asks |= (F.col("g_rank") == 0) & (F.col("gid") == F.col("g_gid"))
     in_size = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent)
     there = matrix.join(group, "gid").withColumnRenamed("gid", "g_gid")
-    return rows.select("token", "sid", "n", "end", "family", "rank", "gid").join(there, "token").where(asks & in_size), grouped
+    return rows.select("token", "sid", "n", "end", "family", "rank", "gid").join(there, "token").where(asks & in_size), grouped, left
+
+
+def _members(left: DataFrame, grouped: DataFrame, opened: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a node and a member of an opened group of several families, whose prefixes share enough tokens."""
+    own = grouped.where(F.col("rank") == 0).select(F.col("sid").alias("b"), "gid")
+    member = left.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("end").alias("b_end"), F.col("family").alias("b_family")).join(own, "b")
+    both = left.join(opened, "sid").join(member, ["token", "gid"]).where((F.col("family") != F.col("b_family")) & _fit(F.col("n"), F.col("m"), percent))
+    votes = both.groupBy("sid", "b", "n", "m", (F.col("end") <= F.col("b_end")).alias("first")).agg(F.count(F.lit(1)).alias("k"))
+    enough = votes.where(F.col("k") >= _need(F.col("n"), F.col("m"), F.col("first"), percent))
+    return enough.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
 
 
-def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Nodes with the groups of other families (of least_size nodes or more) that the matrix cannot rule out: sid, gid; and all groups.
+def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Nodes with the groups of large families that the matrix cannot rule out (sid, gid); pairs (a, b) of nodes of small ones, of
+    least_size nodes or more; and all groups.
 
     `before`: groups (sid, gid) that stay as they are.
     """
-    met, grouped = _met(places, named, percent, least_size, before)
-    met = met.select("sid", F.col("g_gid").alias("gid"), "n", "end", "low", "high", "g_first", "g_last")
-    counted = met.groupBy("sid", "gid", "n", "end", "low", "high", "g_first", "g_last").agg(F.count(F.lit(1)).alias("k"))
+    met, grouped, left = _met(places, named, percent, least_size, before)
+    met = met.select("sid", F.col("g_gid").alias("gid"), "g_rank", "n", "end", "low", "high", "g_first", "g_last")
+    counted = met.groupBy("sid", "gid", "g_rank", "n", "end", "low", "high", "g_first", "g_last").agg(F.count(F.lit(1)).alias("k"))
     # What the query must share with a member that ends after it grows with the member's size. With one that ends before it, it falls by
     # t^2 / (1 + t) a size but for rounding, which moves it by less than one: the least lies among the largest sizes over which it falls by one.
     n = F.col("n")
@@ -308,13 +325,19 @@ def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int,
     last = -(-100 * (100 + percent) // percent ** 2)
     least = F.least(*[_need(n, F.greatest(small, large - k), F.lit(False), percent) for k in range(last)])
     ahead = F.when(F.col("end") > F.col("g_first"), least)
-    return counted.where(F.col("k") >= F.least(after, ahead)).select("sid", "gid"), grouped.select("sid", "gid", "size")
+    opened = saved(counted.where(F.col("k") >= F.least(after, ahead)).select("sid", "gid", "g_rank"), "opened")
+    small = opened.where(F.col("g_rank") == 0).select("sid", "gid")
+    pairs = saved(_members(left, grouped, small, percent), "pairs") if least_size < LARGE else None
+    return opened.where(F.col("g_rank") > 0).select("sid", "gid"), pairs, grouped.select("sid", "gid", "size")
 
 
-def _compare(opened: DataFrame, grouped: DataFrame, df: DataFrame, text_col: str, percent: int) -> DataFrame:
-    """Links (a, b) between nodes and the members of the groups opened for them; a group's sets travel as one row."""
+def _compare(opened: DataFrame, pairs: DataFrame | None, grouped: DataFrame, df: DataFrame, text_col: str, percent: int) -> DataFrame:
+    """Links (a, b) between nodes and the members of the groups opened for them, whose sets travel as one row, and of the pairs."""
     inside = grouped.join(opened.select("gid").distinct(), "gid", "left_semi").select("gid", F.col("sid").alias("b"))
-    tokens = saved(_tokens(df, text_col, opened.select("sid").union(inside.select("b"))), "tokens")
+    needed = opened.select("sid").union(inside.select("b"))
+    if pairs is not None:
+        needed = needed.union(pairs.select(F.explode(F.array("a", "b"))))
+    tokens = saved(_tokens(df, text_col, needed), "tokens")
     held = inside.join(tokens, F.col("b") == F.col("sid")).groupBy("gid").agg(F.collect_list("b").alias("b"), F.collect_list("tokens").alias("sets"))
     met = opened.join(tokens, "sid").join(held, "gid").select("sid", "tokens", "b", "sets")
 
@@ -334,7 +357,8 @@ def _compare(opened: DataFrame, grouped: DataFrame, df: DataFrame, text_col: str
             a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return met.mapInArrow(check, "a long, b long")
+    found = met.mapInArrow(check, "a long, b long")
+    return found if pairs is None else found.union(_linked(pairs, tokens, percent))
 
 
 def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -357,12 +381,11 @@ def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT
     tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
     found = saved(_verify(pairs, tokens, percent), "linked")
     # Large families take in their outlying members before these are compared with each other.
-    opened, groups = _opened(places, components(found), percent, LARGE)
-    opened = saved(opened, "opened")
-    found = saved(found.union(_compare(opened, groups, df, text_col, percent)), "linked")
-    other, groups = _opened(places, components(found), percent, 1, groups.where(F.col("size") >= LARGE))
+    opened, _, groups = _opened(places, components(found), percent, LARGE)
+    found = saved(found.union(_compare(opened, None, groups, df, text_col, percent)), "linked")
+    other, pairs, groups = _opened(places, components(found), percent, 1, groups.where(F.col("size") >= LARGE))
     other = saved(other.join(opened, ["sid", "gid"], "left_anti"), "opened")
-    return saved(found.union(_compare(other, groups, df, text_col, percent)), "links")
+    return saved(found.union(_compare(other, pairs, groups, df, text_col, percent)), "links")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

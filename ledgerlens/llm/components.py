@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import saved
+from ledgerlens.llm.common import Scratch
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -28,10 +28,12 @@ def _small(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """node and component (its least node) of every node of the edges (a, b: long). Rounds grow with the logarithm of the size."""
-    edges = saved(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    scratch = Scratch(edges.sparkSession)
+    edges = scratch.save(edges.select("a", "b").where("a <> b").distinct(), "edges")
     state = None
     while True:
-        edges = saved(_small(_large(edges)), "stars")
+        edges = scratch.save(_small(_large(edges)), "stars")
+        scratch.drop_all_but(1)
         found = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if found == state:
             break

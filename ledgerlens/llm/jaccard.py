@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bloom, grid
-from ledgerlens.llm.common import WORDS_PER_SHINGLE, saved
+from ledgerlens.llm.common import WORDS_PER_SHINGLE, Scratch, saved
 from ledgerlens.llm.components import components
 
 PERCENT = 80
@@ -128,9 +128,11 @@ def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> Data
     spark = df.sparkSession
     texts = df.select(F.col(text_col).alias("__text"))
 
-    low = saved(_counts(texts, None, percent), "tokens")
-    some = _hot(low)
-    more = saved(_counts(texts, spark.sparkContext.broadcast(some), percent), "tokens")
+    scratch = Scratch(spark)
+    low = scratch.save(_counts(texts, None, percent), "tokens")
+    some = spark.sparkContext.broadcast(_hot(low))
+    more = scratch.save(_counts(texts, some, percent), "tokens")
+    some.destroy()
     shared = low.union(more)
     hot_token, hot_count = _hot(shared)
     heavy = spark.sparkContext.broadcast((hot_token, hot_count))
@@ -179,7 +181,11 @@ def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> Data
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))),
                      pa.array(ends_n, pa.int64()), pa.array(ends_t, pa.int64())], ["__id", "n", "sid", "hits", "end_n", "end_t"])
 
-    return saved(rows.mapInArrow(list_, f"__id {kind}, n long, sid long, hits array<long>, end_n long, end_t long"), "nodes")
+    table = saved(rows.mapInArrow(list_, f"__id {kind}, n long, sid long, hits array<long>, end_n long, end_t long"), "nodes")
+    heavy.destroy()
+    twice.destroy()
+    scratch.drop_all_but(0)
+    return table
 
 
 def _sid(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -189,9 +195,9 @@ def _sid(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
     return grid.mix((sums[ends] - sums[ends - size]) ^ grid.mix(size.astype(grid.U)))
 
 
-def _tokens(df: DataFrame, text_col: str, needed: DataFrame) -> DataFrame:
+def _tokens(df: DataFrame, text_col: str, needed: DataFrame, scratch: Scratch) -> DataFrame:
     """sid and tokens (binary) of the needed nodes (sid), made again from the texts: far less to store than all sets."""
-    needed = saved(needed.distinct(), "needed")
+    needed = scratch.save(needed.distinct(), "needed")
     wanted = bloom.build(needed, "sid", needed.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +209,10 @@ def _tokens(df: DataFrame, text_col: str, needed: DataFrame) -> DataFrame:
                 once = once[bloom.test(wanted.value, sid[once])]
                 yield pa.RecordBatch.from_arrays([pa.array(sid[once].view(np.int64)), pa.array([found[i].tobytes() for i in once], pa.binary())], ["sid", "tokens"])
 
-    return df.select(F.col(text_col).alias("__text")).mapInArrow(run, "sid long, tokens binary").groupBy("sid").agg(F.any_value("tokens").alias("tokens"))
+    made = df.select(F.col(text_col).alias("__text")).mapInArrow(run, "sid long, tokens binary").groupBy("sid").agg(F.any_value("tokens").alias("tokens"))
+    tokens = scratch.save(made, "sets")
+    wanted.destroy()
+    return tokens
 
 
 def _verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -266,12 +275,12 @@ def _mixed(left: DataFrame, small: DataFrame, percent: int) -> DataFrame:
     return nodes.join(sizes, ["anchor", "class"]).select("sid", mixed)
 
 
-def _met(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _met(places: DataFrame, named: DataFrame, percent: int, least_size: int, scratch: Scratch, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Tokens of query nodes with the groups whose matrix holds them (of families of least_size nodes or more); all groups; all open tokens."""
     families = places.join(named, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "end", F.coalesce("component", "sid").alias("family"))
     # Tokens that still lie in several families.
     open_ = families.groupBy("token").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("token")
-    left = saved(families.join(open_, "token", "left_semi"), "open")
+    left = scratch.save(families.join(open_, "token", "left_semi"), "open")
     members = left.select("sid", "n", "end", "family").distinct()
     sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
     parts = F.ceil(F.greatest(F.col("size") / GROUP, F.col("all") / GROUP_TOKENS))
@@ -308,13 +317,14 @@ def _members(left: DataFrame, grouped: DataFrame, opened: DataFrame, percent: in
     return enough.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
 
 
-def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int, scratch: Scratch,
+            before: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """Nodes with the groups of large families that the matrix cannot rule out (sid, gid); pairs (a, b) of nodes of small ones, of
     least_size nodes or more; and all groups.
 
     `before`: groups (sid, gid) that stay as they are.
     """
-    met, grouped, left = _met(places, named, percent, least_size, before)
+    met, grouped, left = _met(places, named, percent, least_size, scratch, before)
     met = met.select("sid", F.col("g_gid").alias("gid"), "g_rank", "n", "end", "low", "high", "g_first", "g_last")
     counted = met.groupBy("sid", "gid", "g_rank", "n", "end", "low", "high", "g_first", "g_last").agg(F.count(F.lit(1)).alias("k"))
     # What the query must share with a member that ends after it grows with the member's size. With one that ends before it, it falls by
@@ -325,19 +335,19 @@ def _opened(places: DataFrame, named: DataFrame, percent: int, least_size: int,
     last = -(-100 * (100 + percent) // percent ** 2)
     least = F.least(*[_need(n, F.greatest(small, large - k), F.lit(False), percent) for k in range(last)])
     ahead = F.when(F.col("end") > F.col("g_first"), least)
-    opened = saved(counted.where(F.col("k") >= F.least(after, ahead)).select("sid", "gid", "g_rank"), "opened")
+    opened = scratch.save(counted.where(F.col("k") >= F.least(after, ahead)).select("sid", "gid", "g_rank"), "opened")
     small = opened.where(F.col("g_rank") == 0).select("sid", "gid")
-    pairs = saved(_members(left, grouped, small, percent), "pairs") if least_size < LARGE else None
+    pairs = scratch.save(_members(left, grouped, small, percent), "pairs") if least_size < LARGE else None
     return opened.where(F.col("g_rank") > 0).select("sid", "gid"), pairs, grouped.select("sid", "gid", "size")
 
 
-def _compare(opened: DataFrame, pairs: DataFrame | None, grouped: DataFrame, df: DataFrame, text_col: str, percent: int) -> DataFrame:
+def _compare(opened: DataFrame, pairs: DataFrame | None, grouped: DataFrame, df: DataFrame, text_col: str, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between nodes and the members of the groups opened for them, whose sets travel as one row, and of the pairs."""
     inside = grouped.join(opened.select("gid").distinct(), "gid", "left_semi").select("gid", F.col("sid").alias("b"))
     needed = opened.select("sid").union(inside.select("b"))
     if pairs is not None:
         needed = needed.union(pairs.select(F.explode(F.array("a", "b"))))
-    tokens = saved(_tokens(df, text_col, needed), "tokens")
+    tokens = _tokens(df, text_col, needed, scratch)
     held = inside.join(tokens, F.col("b") == F.col("sid")).groupBy("gid").agg(F.collect_list("b").alias("b"), F.collect_list("tokens").alias("sets"))
     met = opened.join(tokens, "sid").join(held, "gid").select("sid", "tokens", "b", "sets")
 
@@ -377,15 +387,22 @@ def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("k"), "b"))
     best = tried.withColumn("rank", rank).where(F.col("rank") <= TRIED)
     pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = saved(pairs, "stars")
-    tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
+    # What a step has stored goes as soon as its links are.
+    scratch = Scratch(df.sparkSession)
+    pairs = scratch.save(pairs, "stars")
+    tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")), scratch)
     found = saved(_verify(pairs, tokens, percent), "linked")
+    scratch.drop_all_but(0)
     # Large families take in their outlying members before these are compared with each other.
-    opened, _, groups = _opened(places, components(found), percent, LARGE)
-    found = saved(found.union(_compare(opened, None, groups, df, text_col, percent)), "linked")
-    other, pairs, groups = _opened(places, components(found), percent, 1, groups.where(F.col("size") >= LARGE))
-    other = saved(other.join(opened, ["sid", "gid"], "left_anti"), "opened")
-    return saved(found.union(_compare(other, pairs, groups, df, text_col, percent)), "links")
+    opened, _, groups = _opened(places, components(found), percent, LARGE, scratch)
+    found = saved(found.union(_compare(opened, None, groups, df, text_col, percent, scratch)), "linked")
+    opened = saved(opened, "asked")
+    scratch.drop_all_but(0)
+    other, pairs, groups = _opened(places, components(found), percent, 1, scratch, groups.where(F.col("size") >= LARGE))
+    other = scratch.save(other.join(opened, ["sid", "gid"], "left_anti"), "opened")
+    found = saved(found.union(_compare(other, pairs, groups, df, text_col, percent, scratch)), "links")
+    scratch.drop_all_but(0)
+    return found
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

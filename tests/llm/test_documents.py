@@ -49,6 +49,65 @@ def test_quality_rejects_outliers_and_keeps_prose(frame):
     assert not any(verdict[i] for i in verdict if i >= 1000)
 
 
+def test_quality_rejects_mild_outliers(frame):
+    from tests.llm.conftest import prose
+    rows = [(i, prose(i, 300 + i % 200), "en", "a") for i in range(300)]
+    words = {k: prose(k, 400).split(" ") for k in (1, 2, 3, 4)}
+    rows += [(1001, " ".join(w + " #" * (k % 4 == 0) for k, w in enumerate(words[1])), "en", "a"),
+             (1002, " ".join(a + b for a, b in zip(words[2][::2], words[2][1::2])), "en", "a"),
+             (1003, "\n".join(["one line"] * 25 + [" ".join(words[3][k:k + 5]) for k in range(0, 400, 5)]), "en", "a"),
+             (1004, " ".join(words[4] + words[4][:35]), "en", "a")]
+    found = {r.doc_id: r for r in outliers.quality(frame(rows)).collect()}
+    assert all(found[i].kept for i in range(300))
+    assert not any(found[i].base_failed and i != 1003 for i in range(1001, 1005)) and not any(found[i].kept for i in range(1001, 1005))
+    assert found[1001].n_symbols == 100 and found[1003].n_dup_lines == 24 and found[1004].n_repeat_words == 70
+
+
+def plain_mcd(counts):
+    """Squared distances of one group by NumPy: every row as a start, exact halves, least determinant."""
+    words, letters = counts[:, 0], counts[:, 1]
+    usual, length = np.exp(np.median(np.round(np.log(words), 2))), np.median(np.round(np.log(letters / words), 3))
+    z = np.column_stack([np.log((letters + usual * np.exp(length)) / (words + usual)) - length, *[np.sqrt(counts[:, k] / (words + usual)) for k in (2, 3, 4)]])
+    z, least, half = np.round(z * outliers.UNIT) / outliers.UNIT, np.diag(outliers.resolution(usual) ** 2), -(-len(z) // 2)
+
+    def far(centre, scatter):
+        return np.einsum("ij,jk,ik->i", z - centre, np.linalg.inv(scatter), z - centre)
+
+    best = None
+    for start in range(len(z)):
+        centre, scatter = z[start], np.zeros((4, 4))
+        for _ in range(30):
+            near = z[np.argsort(far(centre, scatter + least), kind="stable")[:half]]
+            centre, scatter = near.mean(axis=0), np.cov(near.T, bias=True)
+        found = (np.linalg.det(scatter + least), start, centre, scatter)
+        best = found if best is None or found[:2] < best[:2] else best
+    return far(best[2], outliers.consistency(half / len(z)) * best[3] + least)
+
+
+def test_outliers_equal_a_plain_determinant_search(spark):
+    """Groups of 60 to 500 rows, with no, 30 % and 40 % rows in one far cluster."""
+    draw, rows, bad = np.random.default_rng(4), [], set()
+    for source, (size, share) in {"a": (60, 0), "b": (200, 0.3), "c": (300, 0.4), "d": (500, 0.3), "e": (60, 0.4)}.items():
+        for k in range(size):
+            words = int(draw.integers(150, 600))
+            far = k < share * size
+            letters = int(words * draw.normal(7.5 if far else 5.0, 0.15))
+            marks, repeats = (int(words * draw.normal(0.5, 0.03)), 0) if far else (int(draw.poisson(2)), int(draw.poisson(1)) * 6)
+            bad |= {len(rows)} if far else set()
+            rows.append((len(rows), "en", source, words, letters, marks, int(draw.poisson(0.3)), repeats))
+    stats = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in outliers.COUNTS)).repartition(3)
+    found = {r.doc_id: r for r in outliers.judge(stats).collect()}
+    assert not any(r.base_failed for r in found.values())
+    for source in "abcde":
+        ids = [r[0] for r in rows if r[2] == source]
+        want, got = plain_mcd(np.array([r[3:] for r in rows if r[2] == source], float)), np.array([found[i].distance for i in ids])
+        clean = np.array([i not in bad for i in ids])
+        assert ((want > outliers.CUTOFF) == ~clean).all() and ((got > outliers.CUTOFF) == ~clean).all()
+        # The half of the operator ends with a whole bin of distances, that of the plain search with a row.
+        assert np.median(np.abs(got - want)[clean] / (1 + want[clean])) < 0.15 and np.corrcoef(got, want)[0, 1] > 0.98
+    assert outliers.consistency(1.0) == 1.0 and abs(outliers.consistency(0.5) - 2.10906) < 1e-4
+
+
 def test_quality_of_odd_rows(frame, odd_rows):
     found = outliers.quality(frame(odd_rows)).collect()
     assert len(found) == len(odd_rows)

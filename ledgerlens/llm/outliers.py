@@ -231,7 +231,8 @@ def judge(stats: DataFrame, keys: tuple[str, str] = ("lang", "source"), id_col:
     wanted = levels.select("__g").distinct()
     every = good.select(F.explode(F.array("__own", "__lang", F.lit("0:"))).alias("__g"), *COUNTS).join(wanted, "__g", "left_semi")
     every = saved(every.groupBy("__g", *COUNTS).agg(F.count(F.lit(1)).alias("__n")), "counts")
-    usual = every.groupBy("__g").agg(*_usual())
+    # Saved, so Spark knows its size: one row per group, sent to all tasks where that is small.
+    usual = saved(every.groupBy("__g").agg(*_usual()), "usual")
     points = every.join(usual, "__g").select(*GROUP, *_features(), "__n").groupBy(*GROUP, *Z).agg(F.sum("__n").alias("__n"))
     model = fit(saved(points, "points"))
     judged = rows.join(levels, "__own", "left").join(model, "__g", "left").select("*", *_features())

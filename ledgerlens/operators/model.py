@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerlens import schemas as S
@@ -155,14 +157,15 @@ def _history_field(column: str, key: str, tracked, since: Column) -> Column:
 
 
 def scd2_from_days(history: DataFrame, daily: DataFrame, key: str = "user_id",
-                   tracked: tuple[str, ...] = ("email_hash", "risk_tier", "country_code"), day: str = "partition_date") -> DataFrame:
+                   tracked: tuple[str, ...] = ("email_hash", "risk_tier", "country_code"), day: str = "partition_date", full_days: list = ()) -> DataFrame:
     """The history after many days at once: what applying `scd2_snapshot` day by day
-    (without hard deletes) gives, in one window per key instead of a rewrite per day.
+    gives (with hard deletes on `full_days`, without on others), in one window per key instead of a rewrite per day.
     Days up to the start of a key's open version are already in the history and are
     left out, so applying the same days again changes nothing.
 
     `daily` holds at most one row per key and day, so a window group has at most one
-    row per day and the open row.
+    row per day and the open row. A key is closed by the first of `full_days` after one of its
+    rows that comes before its next row: on a full day, all keys that are left have a row.
     """
     is_open = F.col("valid_to").isNull()
     since = F.col(day).cast("timestamp")
@@ -170,20 +173,35 @@ def scd2_from_days(history: DataFrame, daily: DataFrame, key: str = "user_id",
                          F.lit(None).cast("string").alias("scd_id"))
     start = history.where(is_open).select(key, *tracked, "updated_at", "valid_from", F.lit(True).alias("_old"), "scd_id")
     order = Window.partitionBy(key).orderBy(F.col("_old").desc(), "valid_from")
-    before = F.lag(F.struct(*tracked)).over(order)
     known_until = F.max(F.when(F.col("_old"), F.col("valid_from"))).over(Window.partitionBy(key))
     fresh = F.col("_old") | F.col("_known").isNull() | (F.col("valid_from") > F.col("_known"))
-    rows = start.unionByName(steps).withColumn("_known", known_until).where(fresh).withColumn("_before", before)
-    opens = rows.where(F.col("_old") | F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct(*tracked)))
+    rows = _next_full_day(start.unionByName(steps), full_days).withColumn("_known", known_until).where(fresh)
+    following = F.lead("valid_from").over(order)
+    rows = rows.withColumn("_closed", F.when(following.isNull() | (F.col("_full") < following), F.col("_full")))
+    rows = rows.withColumns({
+        "_before": F.lag(F.struct(*tracked)).over(order), "_gap": F.lag("_closed").over(order).isNotNull(),
+        "_end": F.min("_closed").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))})
+    opens = rows.where(F.col("_old") | F.col("_gap") | F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct(*tracked)))
     versions = opens.withColumns({
-        "valid_to": F.lead("valid_from").over(order),
+        "valid_to": F.least("_end", F.lead("valid_from").over(order)),
         "scd_id": F.coalesce("scd_id", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("valid_from").cast("string"))))})
     return history.where(~is_open).unionByName(versions.select(*history.columns))
 
 
+def _next_full_day(rows: DataFrame, full_days: list) -> DataFrame:
+    """Adds `_full`, the first full day after a row's start. The lookup has one row per calendar day from the first full day to the last."""
+    if not full_days:
+        return rows.withColumn("_full", F.lit(None).cast("timestamp"))
+    full = sorted(set(full_days))
+    before = full[0] - dt.timedelta(days=1)
+    spans = rows.sparkSession.createDataFrame(list(zip([before, *full[:-1]], full)), "start date, until date")
+    lookup = spans.select(F.explode(F.sequence("start", F.date_sub("until", 1))).alias("_at"), F.col("until").cast("timestamp").alias("_full"))
+    return rows.withColumn("_at", F.greatest(F.to_date("valid_from"), F.lit(before))).join(F.broadcast(lookup), "_at", "left").drop("_at")
+
+
 def scd2_rebuild(history: DataFrame, daily: DataFrame, first_day, key: str = "user_id",
-                 tracked: tuple[str, ...] = ("email_hash", "risk_tier", "country_code"), day: str = "partition_date") -> DataFrame:
-    """The history made anew from a day on; `daily` holds the profiles of all days from `first_day`.
+                 tracked: tuple[str, ...] = ("email_hash", "risk_tier", "country_code"), day: str = "partition_date", full_days: list = ()) -> DataFrame:
+    """The history made anew from a day on; `daily` holds the profiles of all days from `first_day`, `full_days` those that list all users.
 
     What the history says up to `first_day` stays, the version open at that time is taken up
     again. So days may come in any order and grouping and be repeated: the result is that of
@@ -191,7 +209,22 @@ def scd2_rebuild(history: DataFrame, daily: DataFrame, first_day, key: str = "us
     """
     start = day_literal(first_day).cast("timestamp")
     known = history.where(F.col("valid_from") < start).withColumn("valid_to", F.when(F.col("valid_to") < start, F.col("valid_to")))
-    return scd2_from_days(known, daily.where(F.col(day) >= day_literal(first_day)), key, tracked, day)
+    later = [d for d in full_days if str(d) >= str(first_day)]
+    return scd2_from_days(known, daily.where(F.col(day) >= day_literal(first_day)), key, tracked, day, later)
+
+
+def full_listing(profiles: DataFrame, day, key: str = "user_id") -> DataFrame:
+    """A full entity as events of its day: one row per key, and one row without a key that marks the day as full, so that an empty entity counts too."""
+    listed = distinct_on(profiles.where(F.col(key).isNotNull()), [key], [F.xxhash64(*profiles.columns)])
+    mark = profiles.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in profiles.schema])
+    return listed.unionByName(mark).withColumn("partition_date", day_literal(day))
+
+
+def daily_profiles(seen: DataFrame, listed: DataFrame, full_days: list, key: str = "user_id") -> DataFrame:
+    """One profile per key and day: that of the full entity on full days, that of the transactions on others."""
+    columns = seen.columns
+    by_transactions = seen.where(~F.col("partition_date").isin(full_days)) if full_days else seen
+    return by_transactions.unionByName(listed.where(F.col(key).isNotNull()).select(*columns))
 
 
 def profile_for_history(staged: DataFrame, *extra: str) -> DataFrame:

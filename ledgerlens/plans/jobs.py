@@ -123,7 +123,9 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
     transactions cannot tell that.
 
     The user history is made of one profile per user and day, and changes hold from their
-    day on: days may come one by one, together, or late, with the same result.
+    day on: days may come one by one, together, or late, with the same result. Full entities
+    are kept by day as well, so a late day before one keeps what it closed; a day's listing
+    stays until the day gets another one.
     """
     started, lake = time.monotonic(), Lake(root)
     days = _days_of(spark, lake, date)
@@ -147,13 +149,18 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
     history = scans.scan_or_empty(spark, history_path, S.USER_HISTORY)
     by_day = model.profile_for_history(model.stage_users_by_day(silver), "partition_date").select(*S.USERS_DAILY.names)
     sinks.replace_days(by_day, lake.gold("users_daily"), days, many=len(days) > 1)
-    if users is None and days:
-        seen = scans.scan_or_empty(spark, lake.gold("users_daily"), S.USERS_DAILY)
-        sinks.rewrite_table(model.scd2_rebuild(history, seen, days[0]), history_path)
-    elif users is not None:
-        since = f"{days[-1]} 00:00:00" if days else as_of
-        profile = model.profile_for_history(users)
-        sinks.rewrite_table(model.scd2_snapshot(history, profile, as_of=since, hard_deletes=True), history_path)
+    if users is not None:
+        listing_day = days[-1] if days else str(as_of)[:10]
+        listing = model.full_listing(model.profile_for_history(users), listing_day)
+        sinks.replace_days(listing.select(*S.USERS_DAILY.names), lake.gold("users_listed"), [listing_day])
+    if days or users is not None:
+        first = days[0] if days else listing_day
+        from_first = F.col("partition_date") >= F.lit(first).cast("date")
+        seen = scans.scan_or_empty(spark, lake.gold("users_daily"), S.USERS_DAILY).where(from_first)
+        listed = scans.scan_or_empty(spark, lake.gold("users_listed"), S.USERS_DAILY).where(from_first)
+        full_days = [r[0] for r in listed.where("user_id IS NULL").select("partition_date").distinct().collect()]
+        daily = model.daily_profiles(seen, listed, full_days)
+        sinks.rewrite_table(model.scd2_rebuild(history, daily, first, full_days=full_days), history_path)
     sinks.overwrite_table(model.dim_users(spark.read.parquet(history_path)), lake.gold("dim_users"))
     _merge_small(spark, lake.gold("dim_merchants"),
                  model.dim_merchants(model.stg_merchants(tables["merchants"]), as_of, merchants), "merchant_id")

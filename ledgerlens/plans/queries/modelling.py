@@ -168,11 +168,48 @@ D1, D2 = "TIMESTAMP '2024-01-01'", "TIMESTAMP '2024-01-02'"
 
 
 @query("scd2_snapshot", f"""
-WITH j AS ({HISTORY_SQL})
-SELECT user_id, old_tier AS risk_tier, {D1} AS valid_from, CASE WHEN NOT has OR old_tier <> new_tier THEN {D2} END AS valid_to FROM j WHERE had
-UNION ALL SELECT user_id, new_tier, {D2}, NULL FROM j WHERE has AND (NOT had OR old_tier <> new_tier)""".replace("WITH j AS", "SELECT * FROM (WITH j AS") + ")")
+WITH j AS ({HISTORY_SQL}),
+v AS (
+  SELECT user_id, old_tier AS risk_tier, {D1} AS valid_from, CASE WHEN NOT has OR old_tier <> new_tier THEN {D2} END AS valid_to FROM j WHERE had
+  UNION ALL SELECT user_id, new_tier, {D2}, NULL FROM j WHERE has AND (NOT had OR old_tier <> new_tier))
+SELECT v.user_id, u.email_hash, v.risk_tier, u.country_code, valid_from AS updated_at, valid_from, valid_to,
+  md5(CAST(v.user_id AS VARCHAR) || '|' || CAST(valid_from AS VARCHAR)) AS scd_id
+FROM v JOIN {{users_in}} u ON u.user_id = v.user_id""".replace("WITH j AS", "SELECT * FROM (WITH j AS") + ")")
 def scd2_snapshot(spark, sf):
-    return _history(spark, sf).select("user_id", "risk_tier", "valid_from", "valid_to")
+    return _history(spark, sf)
+
+
+@query("history_late_days", """
+SELECT * FROM (WITH seen AS (SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) > 200000 AS high FROM orders GROUP BY 1, 2),
+full_days AS (SELECT DISTINCT make_date(year(d), 1, 1) AS f FROM seen),
+listed AS (SELECT user_id, make_date(year(d) + 1, 1, 1) AS d, bool_or(high) AS high FROM seen GROUP BY 1, 2),
+events AS (SELECT * FROM seen WHERE d NOT IN (SELECT f FROM full_days) UNION ALL SELECT * FROM listed WHERE d IN (SELECT f FROM full_days)),
+steps AS (SELECT *, lead(d) OVER w AS following, lag(high) OVER w AS before_it, (SELECT min(f) FROM full_days WHERE f > d) AS f
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY d)),
+ended AS (SELECT *, CASE WHEN following IS NULL OR f < following THEN f END AS closed FROM steps),
+opened AS (SELECT *, before_it IS NULL OR before_it <> high OR lag(closed) OVER (PARTITION BY user_id ORDER BY d) IS NOT NULL AS opens FROM ended),
+runs AS (SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY user_id ORDER BY d) AS run FROM opened),
+versions AS (SELECT user_id, bool_or(high) AS high, min(d) AS since, max(closed) AS closed, run FROM runs GROUP BY user_id, run)
+SELECT user_id, CASE WHEN high THEN 'high' ELSE 'low' END AS risk_tier, CAST(since AS TIMESTAMP) AS valid_from,
+  CAST(coalesce(closed, lead(since) OVER (PARTITION BY user_id ORDER BY since)) AS TIMESTAMP) AS valid_to FROM versions)""")
+def history_late_days(spark, sf):
+    """Customers by the days of their orders, all customers of a year listed on the next year's first day; the odd years' orders come late."""
+    when = F.col("o_orderdate").cast("date")
+    tier = F.when(F.max("o_totalprice") > 200000, "high").otherwise("low").alias("risk_tier")
+    fixed = [F.md5(F.col("user_id").cast("string")).alias("email_hash"), "risk_tier", F.lit(None).cast("string").alias("country_code"), "partition_date"]
+    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "user_id")
+    seen = orders.groupBy("user_id", when.alias("partition_date")).agg(tier).select("user_id", *fixed)
+    listed = orders.groupBy("user_id", F.make_date(F.year(when) + 1, F.lit(1), F.lit(1)).alias("partition_date")).agg(tier).select("user_id", *fixed)
+    # One row for each year.
+    full_days = [r[0] for r in orders.select(F.make_date(F.year(when), F.lit(1), F.lit(1)).alias("first_day")).distinct().collect()]
+    listed = listed.where(F.col("partition_date").isin(full_days))
+    empty = seen.limit(0).select("user_id", "email_hash", "risk_tier", "country_code", *[F.lit(None).cast(t).alias(c) for c, t in (
+        ("updated_at", "timestamp"), ("valid_from", "timestamp"), ("valid_to", "timestamp"), ("scd_id", "string"))])
+    first, late = min(full_days), min(d for d in full_days if d.year % 2)
+    early = model.daily_profiles(seen.where(F.year("partition_date") % 2 == 0), listed, full_days)
+    history = model.scd2_rebuild(empty, early, first, full_days=full_days)
+    daily = model.daily_profiles(seen, listed, full_days)
+    return model.scd2_rebuild(history, daily, late, full_days=full_days).select("user_id", "risk_tier", "valid_from", "valid_to")
 
 
 @query("dim_users", f"""

@@ -118,6 +118,25 @@ def test_users_entity_closes_vanished_users(spark, tmp_path):
     assert history == {("u1", "low", True), ("u2", "high", False)}
 
 
+def test_a_late_day_keeps_what_full_entities_closed(spark, tmp_path):
+    days = ["2026-04-24", "2026-04-25", "2026-04-26"]
+    ddl = "user_id string, email_hash string, risk_tier string, country_code string"
+    entity = {"2026-04-25": [("u1", "h1", "low", "MX"), ("u2", "h2", "high", "MX")], "2026-04-26": [("u1", "h1", "low", "MX")]}
+    found = {}
+    for name, order in (("in_order", days), ("late", [days[1], days[2], days[0]])):
+        root = str(tmp_path / name)
+        for k, day in enumerate(days):
+            land(root, day, 10, [tx(10 * k, "u1", day), tx(10 * k + 1, "u3", "2026-04-24") if k == 0 else tx(10 * k + 1, "u2", day)])
+        for day in order:
+            listed = spark.createDataFrame(entity[day], ddl) if day in entity else None
+            jobs.run_all_layers(spark, root, day, [10], as_of=AS_OF, users=listed)
+        found[name] = history(spark, root)
+    assert found["late"] == found["in_order"]
+    # u3 of the first day is in no entity, u2 not in the last one.
+    ends = {(user, until[:10]) for user, _, _, until in found["late"]}
+    assert {("u3", "2026-04-25"), ("u2", "2026-04-26"), ("u1", "None")} <= ends
+
+
 def test_audit_lines(spark, lake, first_day):
     lines = spark.read.json(Lake(lake).audit)
     assert {"bronze_ingest", "silver_cleanse", "gold_modeling", "anomaly_detection"} <= {r["job_name"] for r in lines.collect()}

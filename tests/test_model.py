@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -79,6 +80,38 @@ def test_scd2_from_days_equals_day_by_day(spark):
     assert intervals(model.scd2_from_days(half, daily)) == intervals(slow)
 
 
+def test_history_from_events_equals_snapshots_in_order(spark):
+    """Random users on random days, some of them full: days at once and a late day give what snapshots in order give."""
+    draw = random.Random(5)
+    days = [dt.date(2026, 4, i) for i in range(1, 9)]
+    full_days, names = [days[2], days[4], days[7]], [f"u{i}" for i in range(12)]
+    seen, listed, slow = [], [], spark.createDataFrame([], S.USER_HISTORY)
+    for day in days:
+        today = [(u, "h", draw.choice(["low", "high"]), "MX") for u in names if draw.random() < 0.5]
+        seen += [(*r, day) for r in today]
+        if day in full_days:
+            today = [] if day == days[4] else [(u, "h", draw.choice(["low", "high"]), "MX") for u in names if draw.random() < 0.6]
+            listed += [(*r, day) for r in today]
+        slow = model.scd2_snapshot(slow, users(spark, *today), as_of=f"{day} 00:00:00", hard_deletes=day in full_days)
+        slow = spark.createDataFrame(slow.collect(), S.USER_HISTORY)
+    seen, listed = spark.createDataFrame(seen, S.USERS_DAILY), spark.createDataFrame(listed, S.USERS_DAILY)
+    want, empty = intervals(slow), spark.createDataFrame([], S.USER_HISTORY)
+    at_once = model.scd2_rebuild(empty, model.daily_profiles(seen, listed, full_days), days[0], full_days=full_days)
+    assert intervals(at_once) == want and at_once.count() == slow.count()
+    for late in (days[0], days[1], days[3], days[5]):
+        without = model.daily_profiles(seen.where(F.col("partition_date") != late), listed, full_days)
+        before = spark.createDataFrame(model.scd2_rebuild(empty, without, days[0], full_days=full_days).collect(), S.USER_HISTORY)
+        again = model.scd2_rebuild(before, model.daily_profiles(seen, listed, full_days), late, full_days=full_days)
+        assert intervals(again) == want and again.count() == slow.count(), late
+
+
+def test_full_listing_marks_its_day_and_keeps_one_row_a_key(spark):
+    profiles = users(spark, ("u1", "h", "low", "MX"), ("u1", "h", "low", "MX"), (None, "h", "low", "MX"))
+    rows = model.full_listing(profiles, "2026-04-01").collect()
+    assert sorted(str(r["user_id"]) for r in rows) == ["None", "u1"]
+    assert [str(r["partition_date"]) for r in model.full_listing(profiles.limit(0), "2026-04-01").collect()] == ["2026-04-01"]
+
+
 FACT_DDL = ("transaction_id string, user_id string, merchant_id string, time_sk int, amount decimal(18,2), currency string, transaction_type string, "
             "status string, payment_method string, is_flagged_fraud boolean, fraud_score decimal(5,4), latitude decimal(9,6), "
             "longitude decimal(9,6), country_code string, _silver_processed_at timestamp, loaded_at timestamp")

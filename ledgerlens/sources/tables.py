@@ -81,13 +81,13 @@ def raw_json(rows: DataFrame) -> DataFrame:
 
 
 def land_transactions(rows: DataFrame, root: str, hours_per_folder: int = 6) -> None:
-    """Write transactions as JSON lines into landing folders yyyy/mm/dd/HH."""
+    """Write transactions as JSON lines, gzipped, into landing folders yyyy/mm/dd/HH."""
     spark = rows.sparkSession
     hour = (F.floor(F.hour("timestamp") / hours_per_folder) * hours_per_folder).cast("int")
     slot = F.concat_ws("-", F.date_format("timestamp", "yyyy-MM-dd"), F.lpad(hour.cast("string"), 2, "0"))
     lines = raw_json(rows).select("value", slot.alias("slot"), F.pmod("transaction_id", F.lit(4)).alias("_part"))
     staging = f"{root}/landing"
-    lines.repartition("slot", "_part").drop("_part").write.partitionBy("slot").text(staging)
+    lines.repartition("slot", "_part").drop("_part").write.partitionBy("slot").option("compression", "gzip").text(staging)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(staging).getFileSystem(conf)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import grid
+from ledgerlens.llm.common import lean
 from ledgerlens.llm.store import Store, ragged
 
 BLANK = "▁"
@@ -312,7 +313,7 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
                                                   pa.ListArray.from_arrays(_offsets(number), pa.array(ids)), decoded], [id_col, "ids", "decoded"])
 
     kind = narrow.schema[0].dataType.simpleString()
-    return narrow.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return narrow.mapInArrow(lean(run), f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def digests(ids: Column, decoded: Column) -> list[Column]:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import fingerprints, jaccard, mixing, outliers, pieces, records, suffixes
-from ledgerlens.llm.common import new_folder
+from ledgerlens.llm.common import give_back, new_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -122,6 +122,33 @@ def test_pieces_equal_the_library(frame, odd_rows):
     assert counted((r.doc_id, tuple(r.ids), r.decoded) for r in found) == counted(want)
 
 
+def _held_mb():
+    """Memory of this process that is in no file."""
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(line.split()[1]) for line in f if line.startswith(("Pss_Anon", "Pss_Shmem"))) / 1024
+
+
+@pytest.mark.parametrize("operator", ["pieces", "outliers"])
+def test_a_worker_keeps_no_freed_memory(frame, odd_rows, monkeypatch, operator):
+    import random
+
+    import pyarrow as pa
+    df, ran = frame(odd_rows), []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: ran.append(run) or self)
+    if operator == "pieces":
+        pieces.encode(df, public_tokenizers.path("piece_bpe_32k.model"))
+    else:
+        outliers.statistics(df)
+    draw = random.Random(7)
+    texts = [" ".join(f"{draw.getrandbits(30):x}" for _ in range(200)) for _ in range(5000)]
+    columns = [pa.array(range(len(texts))), *[pa.array(["en"] * len(texts))] * (0 if operator == "pieces" else 2), pa.array(texts)]
+    names = [f"c{i}" for i in range(len(columns))]
+    assert sum(b.num_rows for b in ran[0](pa.RecordBatch.from_arrays(columns, names) for _ in range(2))) == 2 * len(texts)
+    after = _held_mb()
+    give_back()
+    assert after - _held_mb() < 25
+
+
 def test_agenda_equals_the_library_on_random_text():
     import random
 

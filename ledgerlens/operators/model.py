@@ -258,22 +258,23 @@ def dim_merchants(staged: DataFrame, as_of, raw_merchants: DataFrame | None = No
 
 # ---------------------------------------------------------------- facts
 
-def _key_lookup(facts: DataFrame, keys: DataFrame, key: str, spread_heavy: bool, heavy_rows: int) -> DataFrame:
+def _key_lookup(facts: DataFrame, keys: DataFrame, key: str, spread_heavy: bool, heavy_rows: int, counted: DataFrame | None) -> DataFrame:
     """Left join of a surrogate key. Spark broadcasts `keys` while it is below the
-    broadcast limit; beyond that both sides shuffle and heavy keys are spread."""
+    broadcast limit; beyond that both sides shuffle and heavy keys are spread. The keys are
+    counted in `counted`, which holds at least the facts' rows, so that what made the facts is not run again."""
     if not spread_heavy:
         return facts.join(keys, key, "left")
-    heavy = heavy_keys(count_per_key(facts, key), key, min_rows=heavy_rows)
+    heavy = heavy_keys(count_per_key(facts if counted is None else counted, key), key, min_rows=heavy_rows)
     return salted_join(facts, keys, key, "left", heavy, F.col("transaction_id"))
 
 
-def fact_user_key(facts: DataFrame, users: DataFrame, spread_heavy: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def fact_user_key(facts: DataFrame, users: DataFrame, spread_heavy: bool = False, heavy_rows: int = HEAVY_ROWS, counted: DataFrame | None = None) -> DataFrame:
     current = users.where("is_current").select("user_id", "user_sk")
-    return _key_lookup(facts, current, "user_id", spread_heavy, heavy_rows)
+    return _key_lookup(facts, current, "user_id", spread_heavy, heavy_rows, counted)
 
 
-def fact_merchant_key(facts: DataFrame, merchants: DataFrame, spread_heavy: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    return _key_lookup(facts, merchants.select("merchant_id", "merchant_sk"), "merchant_id", spread_heavy, heavy_rows)
+def fact_merchant_key(facts: DataFrame, merchants: DataFrame, spread_heavy: bool = False, heavy_rows: int = HEAVY_ROWS, counted: DataFrame | None = None) -> DataFrame:
+    return _key_lookup(facts, merchants.select("merchant_id", "merchant_sk"), "merchant_id", spread_heavy, heavy_rows, counted)
 
 
 def drop_unresolved_keys(df: DataFrame, keys: tuple[str, ...] = ("user_sk", "merchant_sk")) -> DataFrame:
@@ -290,12 +291,13 @@ def filter_by_watermark(source: DataFrame, target: DataFrame | None, column: str
 
 
 def fct_transactions(staged: DataFrame, users: DataFrame, merchants: DataFrame, *, target: DataFrame | None = None,
-                     spread_heavy: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                     spread_heavy: bool = False, heavy_rows: int = HEAVY_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Facts with resolved keys. `created_at` keeps the silver stamp, so that the next
-    incremental run can tell what is new."""
+    incremental run can tell what is new. `counted`: a stored table with all rows of `staged`, copies too, to find heavy keys in."""
     fresh = filter_by_watermark(staged, target)
-    keyed = fact_user_key(fresh, users, spread_heavy, heavy_rows)
-    keyed = fact_merchant_key(keyed, merchants, spread_heavy, heavy_rows)
+    counted = fresh if counted is None else counted
+    keyed = fact_user_key(fresh, users, spread_heavy, heavy_rows, counted)
+    keyed = fact_merchant_key(keyed, merchants, spread_heavy, heavy_rows, counted)
     derived = time_key(F.to_date("_silver_processed_at"))
     return drop_unresolved_keys(keyed).select(
         "transaction_id", "user_sk", "merchant_sk", F.coalesce("time_sk", derived).alias("time_sk"), "amount", "currency",

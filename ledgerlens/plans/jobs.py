@@ -169,7 +169,7 @@ def run_gold_modeling(spark: SparkSession, root: str, date: str | list[str], *,
     newest = [F.col("time_sk").desc_nulls_last(), F.xxhash64(*[c for c in tables["transactions"].columns if c != "loaded_at"])]
     facts = model.fct_transactions(
         model.stg_transactions(tables["transactions"], newest), spark.read.parquet(lake.gold("dim_users")),
-        spark.read.parquet(lake.gold("dim_merchants")), spread_heavy=spread_heavy)
+        spark.read.parquet(lake.gold("dim_merchants")), spread_heavy=spread_heavy, counted=tables["transactions"])
     written, touched = sinks.upsert_partitions(facts, lake.gold("fact_transactions"), whole=[int(d.replace("-", "")) for d in days],
                                               index=KeyIndex(lake.gold("fact_keys")))
     _book(spark, lake, touched)

@@ -136,6 +136,17 @@ def test_facts_need_both_keys(spark, spread):
     assert out[0]["is_flagged_fraud"] is False and out[0]["fraud_score"] == 0
 
 
+def test_heavy_keys_are_counted_in_the_staged_table(spark, tmp_path):
+    staged(spark, "a", "b").unionAll(staged(spark, "b", stamp=D2)).unionAll(staged(spark, "c", user="nobody")).write.parquet(f"{tmp_path}/staged")
+    rows = spark.read.parquet(f"{tmp_path}/staged")
+    order = [F.col("_silver_processed_at").desc()]
+    plain, spread = (model.fct_transactions(model.stg_transactions(rows, order), *star(spark), spread_heavy=heavy, heavy_rows=1, counted=rows) for heavy in (False, True))
+    assert sorted(plain.collect()) == sorted(spread.collect()) and spread.count() == 2
+    # Rows are told apart once, not again for each count of keys.
+    windows = [x for x in spread._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x and "windowspecdefinition(transaction_id" in x]
+    assert len(windows) == 1, windows
+
+
 def test_time_key_falls_back_to_the_load_day(spark):
     rows = staged(spark, "a").withColumn("time_sk", F.lit(None).cast("int"))
     assert model.fct_transactions(rows, *star(spark)).collect()[0]["time_sk"] == 20260401

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bloom, grid
-from ledgerlens.llm.common import WORDS_PER_SHINGLE, Scratch, lean, saved
+from ledgerlens.llm.common import WORDS_PER_SHINGLE, Scratch, map_arrow, saved
 from ledgerlens.llm.components import components
 
 PERCENT = 80
@@ -106,7 +106,7 @@ def _counts(texts: DataFrame, known: Broadcast | None, percent: int) -> DataFram
                 token, number = np.unique(np.concatenate(part), return_counts=True) if part else (np.zeros(0, grid.U), np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(number)], ["token", "n"])
 
-    return texts.mapInArrow(lean(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
+    return map_arrow(texts, count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
 
 
 def _hot(shared: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +181,7 @@ def _sets_table(df: DataFrame, id_col: str, text_col: str, percent: int) -> Data
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))),
                      pa.array(ends_n, pa.int64()), pa.array(ends_t, pa.int64())], ["__id", "n", "sid", "hits", "end_n", "end_t"])
 
-    table = saved(rows.mapInArrow(lean(list_), f"__id {kind}, n long, sid long, hits array<long>, end_n long, end_t long"), "nodes")
+    table = saved(map_arrow(rows, list_, f"__id {kind}, n long, sid long, hits array<long>, end_n long, end_t long"), "nodes")
     heavy.destroy()
     twice.destroy()
     scratch.drop_all_but(0)
@@ -209,7 +209,7 @@ def _tokens(df: DataFrame, text_col: str, needed: DataFrame, scratch: Scratch) -
                 once = once[bloom.test(wanted.value, sid[once])]
                 yield pa.RecordBatch.from_arrays([pa.array(sid[once].view(np.int64)), pa.array([found[i].tobytes() for i in once], pa.binary())], ["sid", "tokens"])
 
-    made = df.select(F.col(text_col).alias("__text")).mapInArrow(lean(run), "sid long, tokens binary").groupBy("sid").agg(F.any_value("tokens").alias("tokens"))
+    made = map_arrow(df.select(F.col(text_col).alias("__text")), run, "sid long, tokens binary").groupBy("sid").agg(F.any_value("tokens").alias("tokens"))
     tokens = scratch.save(made, "sets")
     wanted.destroy()
     return tokens
@@ -236,7 +236,7 @@ def _linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
-    return both.mapInArrow(lean(check), "a long, b long")
+    return map_arrow(both, check, "a long, b long")
 
 
 def _overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -367,7 +367,7 @@ def _compare(opened: DataFrame, pairs: DataFrame | None, grouped: DataFrame, df:
             a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    found = met.mapInArrow(lean(check), "a long, b long")
+    found = map_arrow(met, check, "a long, b long")
     return found if pairs is None else found.union(_linked(pairs, tokens, percent))
 
 

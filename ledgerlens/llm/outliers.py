@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import grid
-from ledgerlens.llm.common import WORDS_PER_SHINGLE, lean, saved
+from ledgerlens.llm.common import WORDS_PER_SHINGLE, map_arrow, saved
 
 UNIT = 4000
 FEATURES = 4
@@ -95,7 +95,7 @@ def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *map(pa.array, found)], [*batch.schema.names[:kept], *COUNTS])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:kept])
-    return narrow.mapInArrow(lean(count), types + "".join(f", {c} long" for c in COUNTS))
+    return map_arrow(narrow, count, types + "".join(f", {c} long" for c in COUNTS))
 
 
 def base_failed() -> Column:

@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import grid
-from ledgerlens.llm.common import lean
+from ledgerlens.llm.common import map_arrow
 from ledgerlens.llm.store import Store, ragged
 
 BLANK = "▁"
-# Bytes of text that are encoded together.
-CHUNK = 1 << 21
+# Bytes of text that are encoded together; a worker holds up to 70 times as much meanwhile.
+CHUNK = 1 << 19
 # Longer words go through `merge` one at a time.
 WIDTHS = (6, 10, 16, 28)
 _NONE = np.int32(2 ** 31 - 1)
@@ -313,7 +313,7 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
                                                   pa.ListArray.from_arrays(_offsets(number), pa.array(ids)), decoded], [id_col, "ids", "decoded"])
 
     kind = narrow.schema[0].dataType.simpleString()
-    return narrow.mapInArrow(lean(run), f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return map_arrow(narrow, run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def digests(ids: Column, decoded: Column) -> list[Column]:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import fingerprints, jaccard, mixing, outliers, pieces, records, suffixes
-from ledgerlens.llm.common import give_back, new_folder
+from ledgerlens.llm.common import BATCH, give_back, map_arrow, new_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -149,6 +149,40 @@ def test_a_worker_keeps_no_freed_memory(frame, odd_rows, monkeypatch, operator):
     assert after - _held_mb() < 25
 
 
+def test_encoding_holds_little_at_once():
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+    coder, draw = pieces.Vocabulary(public_tokenizers.path("piece_bpe_32k.model")), random.Random(7)
+    words = [f"{draw.getrandbits(30):x}" for _ in range(5000)]
+    texts = pa.array([" ".join(draw.choices(words, k=400)) for _ in range(2000)])
+    tracemalloc.start()
+    try:
+        held = sum(int(n.sum()) for _, _, n in coder.encode(texts)), tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+    assert held[0] == sum(map(len, coder.library.encode(texts.to_pylist()))) and held[1] < 60
+
+
+@pytest.mark.parametrize("mine, most", [(None, 5), ("16m", 17)])
+def test_arrow_batches_are_small_unless_somebody_set_them(spark, mine, most):
+    import pyarrow as pa
+    rows = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("text"))
+
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes / 2**20])], ["n", "mb"])
+
+    before = spark.conf.get(BATCH)
+    try:
+        spark.conf.set(BATCH, mine) if mine else spark.conf.unset(BATCH)
+        found = map_arrow(rows, measure, "n long, mb double").agg(F.sum("n"), F.max("mb")).first()
+    finally:
+        spark.conf.set(BATCH, before)
+    assert found[0] == 8000 and most / 2 < found[1] < most
+
+
 def test_agenda_equals_the_library_on_random_text():
     import random
 

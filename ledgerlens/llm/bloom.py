@@ -13,6 +13,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import brief_shuffles
+
 MOST_BITS = 28
 LEAST_BITS = 20
 BITS_PER_KEY = 24
@@ -25,7 +27,8 @@ def build(keys: DataFrame, key: str, number: int) -> Broadcast:
     places = F.array(*[F.shiftrightunsigned(F.col(key), s).bitwiseAND(F.lit((1 << bits) - 1)) for s in _SHIFTS])
     words = keys.select(F.explode(places).alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
-    found = words.toArrow()
+    with brief_shuffles(keys.sparkSession):
+        found = words.toArrow()
     out = np.zeros((1 << bits) >> 6, np.uint64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return keys.sparkSession.sparkContext.broadcast((bits, out))

@@ -278,9 +278,13 @@ def _mixed(left: DataFrame, small: DataFrame, percent: int) -> DataFrame:
 def _met(places: DataFrame, named: DataFrame, percent: int, least_size: int, scratch: Scratch, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Tokens of query nodes with the groups whose matrix holds them (of families of least_size nodes or more); all groups; all open tokens."""
     families = places.join(named, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "end", F.coalesce("component", "sid").alias("family"))
+    # Read twice below; kept, so that places are dealt out by node once.
+    brief = Scratch(places.sparkSession)
+    families = brief.save(families, "families")
     # Tokens that still lie in several families.
     open_ = families.groupBy("token").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("token")
     left = scratch.save(families.join(open_, "token", "left_semi"), "open")
+    brief.drop_all_but(0)
     members = left.select("sid", "n", "end", "family").distinct()
     sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
     parts = F.ceil(F.greatest(F.col("size") / GROUP, F.col("all") / GROUP_TOKENS))
@@ -371,24 +375,36 @@ def _compare(opened: DataFrame, pairs: DataFrame | None, grouped: DataFrame, df:
     return found if pairs is None else found.union(_linked(pairs, tokens, percent))
 
 
+def _places(table: DataFrame, scratch: Scratch) -> DataFrame:
+    """token, sid, n, end, shared (prefix tokens that may join the node with others) of the tokens that several nodes hold."""
+    # Equal sets have equal rows: one of them is taken while the tokens are still a list, which is far shorter than a row for each.
+    end = F.struct("end_n", "end_t").alias("end")
+    nodes = scratch.save(table.where(F.size("hits") > 0).select("sid", "n", end, "hits").dropDuplicates(["sid"]), "distinct")
+    places = nodes.select("sid", "n", "end", F.size("hits").alias("shared"), F.explode("hits").alias("token"))
+    # A node holds a token once.
+    several = places.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
+    places = saved(places.join(several, "token", "left_semi").select("token", "sid", "n", "end", "shared"), "places")
+    scratch.drop_all_but(0)
+    return places
+
+
 def links(df: DataFrame, text_col: str, table: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes of a table from _sets_table: enough of them that every linked pair is connected."""
-    shared = (F.size("hits") / F.col("n")).alias("shared")
-    places = table.select("sid", "n", F.struct("end_n", "end_t").alias("end"), shared, F.explode("hits").alias("token")).distinct()
-    several = places.groupBy("token").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("token")
-    places = saved(places.join(several, "token", "left_semi").select("token", "sid", "n", "end", "shared"), "places")
-    # The stars of a token: of its nodes in each of STARS parts the one with the largest part of its tokens shared.
-    least = F.min(F.struct((-F.col("shared")).alias("s"), F.xxhash64("sid", F.lit(1)).alias("h"), F.col("sid").alias("b"), F.col("n").alias("m"), F.col("end").alias("b_end"))).alias("s")
+    # What a step has stored goes as soon as its links are.
+    scratch = Scratch(df.sparkSession)
+    places = _places(table, scratch)
+    # The stars of a token: of its nodes in each of STARS parts the one with the largest part (in thousandths) of its tokens shared. What
+    # travels for each token is short: hashes and fractions hardly compress.
+    part_shared = F.floor(F.col("shared") * 1000 / F.col("n"))
+    least = F.min(F.struct((-part_shared).cast("int").alias("s"), F.col("sid").alias("b"), F.col("n").alias("m"), F.col("end").alias("b_end"))).alias("s")
     stars = places.groupBy("token", F.pmod(F.xxhash64("sid", F.lit(0)), F.lit(STARS)).alias("part")).agg(least).select("token", "s.b", "s.m", "s.b_end")
     named = places.join(stars, "token").where((F.col("sid") != F.col("b")) & _fit(F.col("n"), F.col("m"), percent))
-    votes = named.groupBy(F.col("sid").alias("a"), "b", "n", "m", (F.col("end") <= F.col("b_end")).alias("first")).agg(F.count(F.lit(1)).alias("k"))
     # Half of the needed votes is enough to try: this step may miss pairs, the next one finds them.
-    tried = votes.where(2 * F.col("k") >= _need(F.col("n"), F.col("m"), F.col("first"), percent))
+    need = _need(F.col("n"), F.col("m"), F.col("end") <= F.col("b_end"), percent).alias("need")
+    tried = named.groupBy(F.col("sid").alias("a"), "b", need).agg(F.count(F.lit(1)).alias("k")).where("2 * k >= need")
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("k"), "b"))
     best = tried.withColumn("rank", rank).where(F.col("rank") <= TRIED)
     pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    # What a step has stored goes as soon as its links are.
-    scratch = Scratch(df.sparkSession)
     pairs = scratch.save(pairs, "stars")
     tokens = _tokens(df, text_col, pairs.select(F.explode(F.array("a", "b")).alias("sid")), scratch)
     found = saved(_verify(pairs, tokens, percent), "linked")

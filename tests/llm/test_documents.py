@@ -370,6 +370,60 @@ def test_jaccard_group_bound_is_the_least_need(percent):
             assert min(need[:k + 1]) == min(need[max(0, k + 1 - last):k + 1])
 
 
+def test_jaccard_places_have_one_row_of_each_node(frame, odd_rows, monkeypatch):
+    """Exact copies: their rows are taken together before their tokens become rows; tokens of a single node go."""
+    from tests.llm.conftest import prose
+    exploded, save = [], jaccard.Scratch.save
+
+    def counting(self, df, label):
+        made = save(self, df, label)
+        if label == "distinct":
+            exploded.append(made.agg(F.sum(F.size("hits"))).first()[0])
+        return made
+
+    monkeypatch.setattr(jaccard.Scratch, "save", counting)
+    passage = prose(78, 60)
+    rows = [r for r in odd_rows if r[0] is not None] + [(300 + i, passage + " " + prose(1000 + i % 4, 30), "en", "d") for i in range(40)]
+    table = jaccard._sets_table(frame(rows), "doc_id", "text", 80).cache()
+    places = jaccard._places(table, jaccard.Scratch(table.sparkSession)).collect()
+    nodes = {r.sid: r for r in table.collect() if r.n}
+    holders = defaultdict(set)
+    for r in nodes.values():
+        for t in r.hits:
+            holders[t].add(r.sid)
+    expected = [(t, s, nodes[s].n, (nodes[s].end_n, nodes[s].end_t), len(nodes[s].hits)) for t, sids in holders.items() if len(sids) > 1 for s in sids]
+    assert expected and counted((r.token, r.sid, r.n, tuple(r.end), r.shared) for r in places) == counted(expected)
+    assert exploded == [sum(len(r.hits) for r in nodes.values())]
+    table.unpersist()
+
+
+def test_near_duplicates_leave_no_shuffle_files(frame):
+    """What the steps have shuffled goes when they have ended; counts of a few rows may stay until the driver collects its garbage."""
+    import os
+    import time
+
+    from ledgerlens.llm import common
+    from tests.llm.conftest import prose
+    df = frame([(i, prose(i // 3, 200), "en", "a") for i in range(600)])
+    spark = df.sparkSession
+
+    def left():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = [os.path.join(d, f) for top in disk.localDirsString() for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")]
+        return {f: os.path.getsize(f) for f in files}
+
+    before, setting = set(left()), spark.conf.get(common.CLEANUP, None)
+    found = jaccard.near_duplicates(df)
+    for _ in range(50):  # files are deleted a little later
+        stay = sum(size for f, size in left().items() if f not in before)
+        if stay < 50_000:
+            break
+        time.sleep(0.2)
+    assert stay < 50_000
+    assert spark.conf.get(common.CLEANUP, None) == setting
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i - i % 3 for i in range(600)}
+
+
 def test_jaccard_with_null_ids(frame, odd_rows):
     found = jaccard.near_duplicates(frame(odd_rows)).collect()
     assert counted((r.doc_id, r.n_shingles) for r in found) == counted((i, len(shingles(t))) for i, t, *_ in odd_rows)

@@ -397,31 +397,31 @@ def test_jaccard_places_have_one_row_of_each_node(frame, odd_rows, monkeypatch):
     table.unpersist()
 
 
-def test_near_duplicates_leave_no_shuffle_files(frame):
-    """What the steps have shuffled goes when they have ended; counts of a few rows may stay until the driver collects its garbage."""
+def test_saved_tables_leave_no_shuffle_files(spark):
+    """What was shuffled for a stored table goes when it is written, without waiting for the driver to collect its garbage."""
     import os
     import time
 
     from ledgerlens.llm import common
-    from tests.llm.conftest import prose
-    df = frame([(i, prose(i // 3, 200), "en", "a") for i in range(600)])
-    spark = df.sparkSession
 
     def left():
         disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
         files = [os.path.join(d, f) for top in disk.localDirsString() for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")]
         return {f: os.path.getsize(f) for f in files}
 
-    before, setting = set(left()), spark.conf.get(common.CLEANUP, None)
-    found = jaccard.near_duplicates(df)
-    for _ in range(50):  # files are deleted a little later
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = set(left()), spark.conf.get(key, None)
+    scratch = common.Scratch(spark)
+    keys = spark.range(200_000).select(F.xxhash64("id").alias("k")).repartition(4, "k")
+    tables = [common.saved(keys, "keys"), scratch.save(keys, "keys")]
+    for _ in range(25):  # files are deleted a little later
         stay = sum(size for f, size in left().items() if f not in before)
-        if stay < 50_000:
+        if stay < 100_000:
             break
         time.sleep(0.2)
-    assert stay < 50_000
-    assert spark.conf.get(common.CLEANUP, None) == setting
-    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i - i % 3 for i in range(600)}
+    assert stay < 100_000
+    assert spark.conf.get(key, None) == setting
+    assert [t.distinct().count() for t in tables] == [200_000] * 2
 
 
 def test_jaccard_with_null_ids(frame, odd_rows):
